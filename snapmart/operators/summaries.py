@@ -77,9 +77,14 @@ def envelope_preview(envelopes: DataFrame, n: int = 5) -> DataFrame:
         F.col("ingested_at").desc_nulls_last(), "ingestion_id").limit(n)
 
 
-def record_preview(records: DataFrame, n: int = 10) -> DataFrame:
-    """A few raw records with their main fields."""
+def record_fields(records: DataFrame) -> DataFrame:
+    """The main fields of raw records."""
     return records.select(
         F.col("coin.id").alias("coin_id"), "coin.name", "coin.current_price",
         "coin.market_cap", "coin.total_volume",
-    ).limit(n)
+    )
+
+
+def record_preview(records: DataFrame, n: int = 10) -> DataFrame:
+    """A few raw records, in no particular order."""
+    return record_fields(records).limit(n)
