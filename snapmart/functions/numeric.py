@@ -8,7 +8,9 @@ from pyspark.sql import Column, functions as F
 _INTEGRAL = float(2 ** 53)
 
 # Raw amounts carry at most eight decimals.
-_MONEY = "decimal(28,8)"
+_UNITS = 1e8
+# Whole parts up to here fit a bigint.
+_LARGEST_WHOLE = 9e18
 
 
 def round_half_away(x: Column, digits: int) -> Column:
@@ -38,11 +40,19 @@ def greatest_or_zero(a: Column, b: Column) -> Column:
 def exact_sum(x: Column) -> Column:
     """Sum of doubles that does not depend on the order rows arrive in.
 
-    Adds as decimals; falls back to the plain sum if a value does not fit.
+    Whole parts and fractions (in units of 1e-8) are added as integers, which costs
+    little more than a plain sum. Falls back to the plain sum if a value is too
+    large, infinite or NaN.
     """
-    amount = x.try_cast(_MONEY)
-    all_fit = F.count_if(x.isNotNull() & amount.isNull()) == 0
-    return F.when(all_fit, F.coalesce(F.try_sum(amount).cast("double"), F.sum(x))).otherwise(F.sum(x))
+    whole = F.floor(x)
+    units = F.rint((x - whole) * _UNITS).try_cast("bigint")
+    total = (
+        F.try_sum(whole.cast("decimal(19,0)"))
+        + F.try_sum(units.cast("decimal(10,0)")) * F.lit("0.00000001").cast("decimal(8,8)")
+    )
+    return F.when(
+        F.max(F.abs(x)) < _LARGEST_WHOLE, F.coalesce(total.cast("double"), F.sum(x)),
+    ).otherwise(F.sum(x))
 
 
 def exact_avg(x: Column) -> Column:

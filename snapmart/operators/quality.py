@@ -225,8 +225,11 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("append").json(path)
 
 
-def summary_lines(results: DataFrame) -> DataFrame:
-    """The verdicts as text, one line per rule."""
-    icon = F.when(F.col("passed"), "✅").otherwise("❌")
+def summary_lines(results: DataFrame, mark_stale: bool = False) -> DataFrame:
+    """The verdicts as text, one line per rule; ``mark_stale`` singles out late data."""
+    icon = F.when(F.col("passed"), "✅")
+    if mark_stale:
+        icon = icon.when(F.col("check_type") == "FRESHNESS", "⚠️ STALE")
     return results.select(F.concat(
-        icon, F.lit(" ["), "check_type", F.lit("] "), "column", F.lit(": "), "message").alias("line"))
+        icon.otherwise("❌"), F.lit(" ["), "check_type", F.lit("] "), "column", F.lit(": "), "message",
+    ).alias("line"))

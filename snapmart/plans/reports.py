@@ -193,15 +193,25 @@ def weekend_weekday(fact: DataFrame, dim_coin: DataFrame, dim_date: DataFrame,
     """Mean volume on weekends against weekdays, largest difference first."""
     flagged = fact.select("coin_sk", "date_sk", "total_volume").join(
         dim_date.select("date_sk", "is_weekend"), "date_sk")
-    names = dim_coin.select("coin_sk", "name", "symbol")
     weekend = F.when(F.col("is_weekend"), F.col("total_volume"))
     weekday = F.when(~F.col("is_weekend"), F.col("total_volume"))
+    # One row per entity before names come in; entities of the same name are then added up.
+    per_entity = flagged.groupBy("coin_sk").agg(
+        F.count("*").alias("rows"),
+        exact_sum(weekend).alias("weekend"), F.count(weekend).alias("weekend_rows"),
+        exact_sum(weekday).alias("weekday"), F.count(weekday).alias("weekday_rows"),
+    )
+
+    def mean(kind: str) -> Column:
+        return F.try_divide(exact_sum(F.col(kind)), F.sum(f"{kind}_rows"))
+
     return (
-        flagged.join(names, "coin_sk").groupBy("name", "symbol")
+        per_entity.join(dim_coin.select("coin_sk", "name", "symbol"), "coin_sk")
+        .groupBy("name", "symbol")
         .agg(
-            F.count("*").alias("_rows"),
-            exact_avg(weekend).alias("avg_weekend_volume"),
-            exact_avg(weekday).alias("avg_weekday_volume"),
+            F.sum("rows").alias("_rows"),
+            mean("weekend").alias("avg_weekend_volume"),
+            mean("weekday").alias("avg_weekday_volume"),
         )
         .filter(F.col("_rows") >= min_rows).drop("_rows")
         .withColumn("weekend_vs_weekday_pct_diff", round_half_away(

@@ -46,7 +46,10 @@ def stream_envelopes(spark: SparkSession, path: str, layout: str = "documents",
 
 
 def corrupt_envelopes(envelopes: DataFrame) -> DataFrame:
-    """Envelopes that could not be parsed in full, with the text that was found."""
+    """Envelopes that could not be parsed in full, with the text that was found.
+
+    Spark refuses to count raw JSON by this column alone: collect or write the rows.
+    """
     return envelopes.filter(F.col(CORRUPT).isNotNull()).select("ingestion_id", CORRUPT)
 
 

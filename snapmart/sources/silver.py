@@ -53,12 +53,16 @@ def _hour_number(ts):
 
 
 def stored_rows_in_hours_of(df: DataFrame, path: str) -> DataFrame | None:
-    """Stored silver rows whose hour also occurs in ``df``; None if nothing is stored."""
+    """Stored silver rows whose hour also occurs in ``df``; None if nothing is stored.
+
+    The hours are looked up first (at most one value per calendar hour), so only
+    their folders are scanned.
+    """
     spark = df.sparkSession
     if not exists(spark, path):
         return None
-    hours = df.select(*PARTITION_COLUMNS).distinct()
-    return read_silver(spark, path).join(hours, list(PARTITION_COLUMNS), "left_semi")
+    hours = df.select(_folder_hour().alias("hour")).filter("hour IS NOT NULL").distinct()
+    return read_silver(spark, path).filter(_folder_hour().isin([row.hour for row in hours.collect()]))
 
 
 def append_silver(df: DataFrame, path: str, keys=("ingestion_id", "coin_id")) -> None:

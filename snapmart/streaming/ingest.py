@@ -46,9 +46,11 @@ def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
     Only the hours present in ``batch`` are rewritten. Repeating a batch changes
     nothing.
     """
+    batch = batch.persist()
     stored = stored_rows_in_hours_of(batch, silver_path)
     both = batch if stored is None else stored.unionByName(batch)
     merged = materialise(deduplicate(both), "merge")
+    batch.unpersist()
     write_silver(merged, silver_path, touched_partitions_only=True)
 
 

@@ -10,15 +10,16 @@ from snapmart.functions import (
     calendar_columns, hour_key, minutes_between_boundaries, partition_parts, round_half_away,
 )
 from snapmart.operators import contracts, dedup, quality, summaries
+from snapmart.operators.latest import newest_time
 from snapmart.operators.ordered import over_history
 from snapmart.operators.records import (
     add_partition_columns, derive_measures, flatten_and_cast, flatten_records, keep_valid, rejected,
 )
 from snapmart.plans import gold, reports
 from snapmart.plans.silver import (
-    SNAPSHOT_KEY, deduplicate, run_bronze_to_silver, run_quality_on_silver, to_silver,
+    SNAPSHOT_KEY, deduplicate, run_bronze_to_silver, run_quality_on_silver,
 )
-from snapmart.schemas import CONTRACTS, STAGING_COLUMNS
+from snapmart.schemas import CONTRACTS, FACT_PARTITION
 from snapmart.session import scratch_path
 from snapmart.sources import bronze
 from snapmart.sources.gold import GoldStore
@@ -177,7 +178,7 @@ def silver_preview(spark, sf_dir):
 
 
 def _quality_as_of(rows):
-    return rows.agg(F.max("batch_ingested_at")).scalar() + F.expr("interval 61 minutes 30 seconds")
+    return newest_time(rows) + F.expr("interval 61 minutes 30 seconds")
 
 
 @query
@@ -191,7 +192,7 @@ def dq_suite(spark, sf_dir):
 def dq_suite_raw(spark, sf_dir):
     """The checks with stricter limits on rows that were never cleaned."""
     rows = _flat(spark, sf_dir)
-    late = rows.agg(F.max("batch_ingested_at")).scalar() + F.expr("interval 95 minutes")
+    late = newest_time(rows) + F.expr("interval 95 minutes")
     rules = quality.default_rules(max_null_pct=2.5, max_dup_pct=0.5, strict_volume=True)
     return quality.run_checks(rows, rules, late)
 
@@ -390,7 +391,8 @@ def _star(spark, sf_dir):
 
 
 def _after_last(fact, interval):
-    return fact.agg(F.max("batch_ingested_at")).scalar() + F.expr(f"interval {interval}")
+    day = FACT_PARTITION if FACT_PARTITION in fact.columns else None
+    return newest_time(fact, day=day) + F.expr(f"interval {interval}")
 
 
 SYMBOLS = ("click", "view", "purchase")
