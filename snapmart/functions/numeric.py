@@ -41,18 +41,16 @@ def exact_sum(x: Column) -> Column:
     """Sum of doubles that does not depend on the order rows arrive in.
 
     Whole parts and fractions (in units of 1e-8) are added as integers, which costs
-    little more than a plain sum. Falls back to the plain sum if a value is too
-    large, infinite or NaN.
+    little more than a plain sum. Falls back to the plain sum where those integers
+    overflow or a value is too large, infinite or NaN.
     """
     whole = F.floor(x)
     units = F.rint((x - whole) * _UNITS).try_cast("bigint")
     total = (
-        F.try_sum(whole.cast("decimal(19,0)"))
-        + F.try_sum(units.cast("decimal(10,0)")) * F.lit("0.00000001").cast("decimal(8,8)")
-    )
-    return F.when(
-        F.max(F.abs(x)) < _LARGEST_WHOLE, F.coalesce(total.cast("double"), F.sum(x)),
-    ).otherwise(F.sum(x))
+        F.try_sum(whole).cast("decimal(20,0)")
+        + F.try_sum(units).cast("decimal(20,0)") * F.lit("0.00000001").cast("decimal(8,8)")
+    ).cast("double")
+    return F.when(F.max(F.abs(x)) < _LARGEST_WHOLE, F.coalesce(total, F.sum(x))).otherwise(F.sum(x))
 
 
 def exact_avg(x: Column) -> Column:

@@ -21,21 +21,22 @@ MAX_GROUP_ROWS = 5_000_000
 _SLICE, _POSITION, _LENGTH = "_slice", "_position", "_length"
 
 
-def _slice_count(df: DataFrame) -> int:
+def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _sliced(df: DataFrame, order: Sequence[Column], slices: int | None) -> DataFrame:
     return (
-        df.repartitionByRange(slices or _slice_count(df), *order)
+        df.repartitionByRange(slices or _shuffle_partitions(df), *order)
         .withColumn(_SLICE, F.spark_partition_id())
     )
 
 
-def has_large_group(df: DataFrame, keys: Sequence[str], max_rows: int) -> bool:
-    """Whether some key holds more than ``max_rows`` rows (reads only the key columns)."""
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest group and rows in all (reads only the key columns)."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    return not sizes.filter(F.col("_rows") > max_rows).isEmpty()
+    largest, total = sizes.agg(F.max("_rows"), F.sum("_rows")).first()
+    return largest or 0, total or 0
 
 
 def over_history(
@@ -55,9 +56,17 @@ def over_history(
     has more than ``max_group_rows`` rows.
     """
     history = Window.partitionBy(*keys).orderBy(*order)
-    if not has_large_group(df, keys, max_group_rows):
+    largest, total = group_sizes(df, keys)
+    if largest <= max_group_rows:
         return df.withColumns(columns(history))
 
+    near = back + ahead
+    if slices is None:
+        # Slices of at most max_group_rows, unless the rows at the cuts would then be
+        # too many for one task.
+        slices = max(
+            _shuffle_partitions(df),
+            min(-(-total // max(max_group_rows, 1)), max_group_rows // max(2 * near, 1)))
     total_order = [F.col(c) for c in (*keys, *order)]
     in_slice = Window.partitionBy(_SLICE).orderBy(*total_order)
     within = Window.partitionBy(_SLICE, *keys).orderBy(*order)
@@ -70,7 +79,6 @@ def over_history(
     lengths = done.groupBy(_SLICE).agg(F.max(_POSITION).alias(_LENGTH))
     placed = done.join(F.broadcast(lengths), _SLICE)
 
-    near = back + ahead
     from_end = F.col(_LENGTH) - F.col(_POSITION)
     at_cut = (F.col(_POSITION) <= back) | (from_end < ahead)
     # Every neighbour a row at a cut looks at lies within this band, which holds at

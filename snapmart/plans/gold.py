@@ -13,7 +13,7 @@ from snapmart.schemas import (
     DIM_COIN_CONTRACT, DIM_DATE_CONTRACT, FACT_CONTRACT, FACT_MEASURES, FACT_PARTITION,
     STAGING_COLUMNS, STAGING_TIMESTAMPS, staging_schema,
 )
-from snapmart.session import materialise
+from snapmart.session import materialised
 from snapmart.sources.gold import GoldStore
 from snapmart.sources.silver import read_silver
 from snapmart.sources.tables import verify_counts
@@ -46,11 +46,13 @@ def stage(silver: DataFrame, upper_case: bool = False) -> DataFrame:
     return silver.select(*[column(c) for c in STAGING_COLUMNS if c in kinds])
 
 
-def load_staging(silver: DataFrame, path: str) -> int:
-    """Replace the staging table; returns the rows written."""
+def load_staging(silver: DataFrame, path: str) -> dict[str, int]:
+    """Replace the staging table; returns the rows written and how many cannot become facts."""
     counts = Observation("staging")
-    stage(silver).observe(counts, F.count("*").alias("rows")).write.mode("overwrite").parquet(path)
-    return counts.get["rows"]
+    stage(silver).observe(
+        counts, F.count("*").alias("staged"), F.count_if(~_loadable()).alias("quarantined"),
+    ).write.mode("overwrite").parquet(path)
+    return dict(counts.get)
 
 
 def hours_of(staging: DataFrame) -> DataFrame:
@@ -85,20 +87,19 @@ def snapshot_id() -> Column:
     return F.concat("coin_id", F.lit("_"), "ingestion_id")
 
 
-def loadable(staging: DataFrame) -> DataFrame:
-    """Staging rows that can become fact rows."""
-    return staging.filter(snapshot_id().isNotNull() & F.col("batch_ingested_at").isNotNull())
+def _loadable() -> Column:
+    return snapshot_id().isNotNull() & F.col("batch_ingested_at").isNotNull()
 
 
 def quarantined(staging: DataFrame) -> DataFrame:
-    """Staging rows without an entity, a batch or a batch time."""
-    return staging.filter(snapshot_id().isNull() | F.col("batch_ingested_at").isNull())
+    """Staging rows without an entity, a batch or a batch time; they cannot become facts."""
+    return staging.filter(~_loadable())
 
 
 def new_facts(staging: DataFrame, dim: DataFrame, fact: DataFrame, loaded_at: Column) -> DataFrame:
     """Fact rows for the snapshots in staging that ``fact`` does not hold."""
     snapshots = keep_latest(
-        loadable(staging).select(
+        staging.filter(_loadable()).select(
             snapshot_id().alias("snapshot_id"), "coin_id", "ingestion_id",
             *FACT_MEASURES, "batch_ingested_at", "last_updated"),
         ["snapshot_id"], ["last_updated", "batch_ingested_at"])
@@ -131,17 +132,17 @@ def load_gold(silver: DataFrame, root: str, as_of: Column | None = None) -> dict
     loaded_at = F.current_timestamp() if as_of is None else as_of
     staging_path = f"{store.root}/staging"
 
-    rows = load_staging(silver, staging_path)
-    if rows == 0:
-        return {"staged": 0, "quarantined": 0}
+    counts = load_staging(silver, staging_path)
+    if counts["staged"] == 0:
+        return counts
     staging = spark.read.schema(staging_schema()).parquet(staging_path)
 
-    latest = materialise(latest_entities(staging, loaded_at), "entities")
-    store.replace_dim_coin(upsert_entities(store.dim_coin(), latest, loaded_at))
+    with materialised(latest_entities(staging, loaded_at), "entities") as latest:
+        store.replace_dim_coin(upsert_entities(store.dim_coin(), latest, loaded_at))
     store.append_dim_date(insert_if_absent(store.dim_date(), hours_of(staging), ["date_sk"]))
     fact = _facts_of_staged_days(store.fact(), staging)
     store.append_fact(new_facts(staging, store.dim_coin(), fact, loaded_at))
-    return {"staged": rows, "quarantined": quarantined(staging).count()}
+    return counts
 
 
 def run_silver_to_gold(spark: SparkSession, silver_path: str, root: str,

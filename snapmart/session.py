@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapmart.sources.files import remove
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -41,12 +45,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch area and return a scan of it.
 
     Cuts the lineage in a way that survives lost executors, and fixes the values
-    of expressions such as the partition id that must not be evaluated twice.
+    of expressions such as the partition id that must not be evaluated twice. The
+    table stays for as long as the scratch area does.
     """
+    return _written(df, scratch_path(df.sparkSession, label))
+
+
+@contextmanager
+def materialised(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like :func:`materialise`, for use within a ``with`` block; removed afterwards."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    try:
+        yield _written(df, path)
+    finally:
+        remove(df.sparkSession, path)

@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _locate(spark, path)
+    fs.delete(target, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, target = _locate(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapmart.schemas import CONTRACTS, DIM_COIN, DIM_DATE, FACT, FACT_CONTRACT, FACT_PARTITION
-from snapmart.sources.files import child_names, exists
+from snapmart.sources.files import child_names, exists, remove
 
 
 def stored_fact_schema() -> T.StructType:
@@ -50,14 +50,19 @@ class GoldStore:
     def tables(self) -> dict[str, DataFrame]:
         return {FACT: self.fact(), DIM_COIN: self.dim_coin(), DIM_DATE: self.dim_date()}
 
-    def replace_dim_coin(self, df: DataFrame) -> None:
+    def replace_dim_coin(self, df: DataFrame, keep: int = 10) -> None:
+        """Write a new version and drop all but the newest ``keep``."""
         versions = self._versions(DIM_COIN)
         number = versions[-1] + 1 if versions else 1
         # A folder left behind by a failed write has no marker and is overwritten.
         df.write.mode("overwrite").parquet(f"{self.path(DIM_COIN)}/v={number}")
+        for old in [*versions, number][:-keep]:
+            remove(self.spark, f"{self.path(DIM_COIN)}/v={old}")
 
     def append_dim_date(self, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.path(DIM_DATE))
+        # Most loads bring no new hour, and even an empty write would add a file.
+        if not df.isEmpty():
+            df.write.mode("append").parquet(self.path(DIM_DATE))
 
     def append_fact(self, df: DataFrame) -> None:
         """Append rows; within a file they are sorted so row-group statistics can skip data."""

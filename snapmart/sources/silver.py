@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapmart.functions.temporal import partition_parts
 from snapmart.schemas import PARTITION_COLUMNS, silver_schema
-from snapmart.session import materialise
 from snapmart.sources.files import exists
 
 
@@ -71,5 +70,5 @@ def append_silver(df: DataFrame, path: str, keys=("ingestion_id", "coin_id")) ->
     if stored is not None:
         known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
         match = [F.equal_null(F.col(k), F.col(f"_known_{k}")) for k in keys]
-        df = materialise(df.join(known, match, "left_anti"), "silver-append")
+        df = df.join(known, match, "left_anti")
     write_silver(df, path, mode="append")

@@ -9,7 +9,7 @@ from snapmart.operators.records import flatten_and_cast, keep_valid
 from snapmart.plans.gold import load_gold
 from snapmart.plans.silver import SNAPSHOT_KEY, deduplicate
 from snapmart.schemas import PARTITION_COLUMNS, silver_schema
-from snapmart.session import materialise
+from snapmart.session import materialised
 from snapmart.sources.bronze import explode_records, stream_envelopes
 from snapmart.sources.silver import stored_rows_in_hours_of, write_silver
 
@@ -49,9 +49,9 @@ def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
     batch = batch.persist()
     stored = stored_rows_in_hours_of(batch, silver_path)
     both = batch if stored is None else stored.unionByName(batch)
-    merged = materialise(deduplicate(both), "merge")
-    batch.unpersist()
-    write_silver(merged, silver_path, touched_partitions_only=True)
+    with materialised(deduplicate(both), "merge") as merged:
+        batch.unpersist()
+        write_silver(merged, silver_path, touched_partitions_only=True)
 
 
 def start_keep_latest(rows: DataFrame, silver_path: str, checkpoint: str, **trigger) -> StreamingQuery:

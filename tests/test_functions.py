@@ -70,6 +70,8 @@ def test_exact_sum_falls_back(spark):
     assert sums(spark, [1.0, float("inf")])[0] == math.inf
     large = sums(spark, [1e30, 2e30])
     assert large[0] == large[2]
+    many = sums(spark, [5e18, 5e18, 1.5])
+    assert many[0] == many[2]
 
 
 def test_minutes_count_boundaries(spark):

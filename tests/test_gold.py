@@ -92,6 +92,21 @@ def test_unfinished_version_is_ignored(spark, scratch):
     assert store.dim_coin().count() == 3
 
 
+def test_old_versions_are_dropped(spark, scratch):
+    store = GoldStore(spark, scratch)
+    for _ in range(4):
+        store.replace_dim_coin(store.dim_coin(), keep=2)
+    kept = [n for n in os.listdir(store.path("dim_coin")) if n.startswith("v=")]
+    assert sorted(kept) == ["v=3", "v=4"]
+
+
+def test_second_load_adds_no_date_file(spark, scratch):
+    _, store = loaded(spark, scratch, first_load(spark), "2024-07-01")
+    before = sorted(os.listdir(store.path("dim_date")))
+    loaded(spark, scratch, first_load(spark), "2024-07-02")
+    assert sorted(os.listdir(store.path("dim_date"))) == before
+
+
 def test_staging_duplicates_and_null_keys(spark, scratch):
     rows = silver_of(spark, [
         ("b1", T1, record(id="aa", current_price=1, last_updated="2024-06-15T10:00:00Z")),
