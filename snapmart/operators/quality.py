@@ -140,67 +140,81 @@ def _measured(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     })
 
 
-def _percent(failed: Column) -> Column:
-    return F.coalesce(F.try_divide(failed * F.lit(100.0), F.col("total")), F.lit(0.0))
-
-
 def _two_decimals(x: Column) -> Column:
     return F.format_string("%.2f", round_half_away(x, 2))
 
 
-def _verdict(rule: Rule, measure: Column, as_of: Column) -> Column:
-    total = F.col("total")
-    zero, limit, label = F.lit(0).cast("bigint"), F.lit(rule.limit_text), F.lit(rule.label)
-    if rule.kind in _ROW_RULES:
-        failed, pct = measure, _percent(measure)
-        passed = pct <= rule.threshold if rule.kind == "NOT_NULL" else failed == 0
-        message = {
-            "NOT_NULL": lambda: F.concat(
-                failed, F.lit("/"), total, F.lit(" nulls ("), _two_decimals(pct),
-                F.lit("%) — threshold "), limit, F.lit("%")),
-            "GREATER_THAN": lambda: F.concat(failed, F.lit(" records where "), label, F.lit(" <= "), limit),
-            "GREATER_THAN_OR_EQUAL": lambda: F.concat(
-                failed, F.lit(" records where "), label, F.lit(" < "), limit),
-            "RANGE": lambda: F.concat(failed, F.lit(" records outside "), limit, F.lit(" for "), label),
-        }[rule.kind]()
-    elif rule.kind == "NO_DUPLICATES":
-        failed = total - measure
-        pct = _percent(failed)
-        passed = pct <= rule.threshold
-        message = F.concat(
-            failed, F.lit(" duplicate rows on ["), label, F.lit("] ("), _two_decimals(pct), F.lit("%)"))
-    elif rule.kind == "UNIQUE_COUNT":
-        passed = measure >= rule.threshold
-        failed = F.when(passed, zero).otherwise(zero + 1)
-        pct = F.when(passed, 0.0).otherwise(100.0)
-        message = F.concat(
-            measure, F.lit(" distinct values in "), label, F.lit(" (expected >= "), limit, F.lit(")"))
-    else:
-        lag = (F.unix_micros(as_of) - F.unix_micros(measure)) / F.lit(60_000_000.0)
-        passed = F.coalesce(lag <= rule.threshold, F.lit(False))
-        failed = F.when(passed, zero).otherwise(total)
-        pct = F.when(passed, 0.0).otherwise(100.0)
-        message = F.when(measure.isNull(), F.lit("No timestamp data found.")).otherwise(F.concat(
-            F.lit("Latest record is "), F.format_string("%.1f", round_half_away(lag, 1)),
-            F.lit(" min old (threshold: "), limit, F.lit(" min)")))
+def _facts_of_rule(rule: Rule, measure: Column, as_of: Column) -> Column:
+    """What is known of one rule before the verdict; the measure of freshness is its lag."""
+    if rule.kind == "FRESHNESS":
+        measure = F.unix_micros(as_of) - F.unix_micros(measure)
     return F.struct(
         F.lit(rule.name).alias("check_name"),
-        label.alias("column"),
+        F.lit(rule.label).alias("column"),
         F.lit(rule.kind).alias("check_type"),
-        passed.alias("passed"),
-        total.alias("total_records"),
-        failed.cast("bigint").alias("failed_records"),
-        round_half_away(pct, 4).alias("failure_pct"),
         F.lit(rule.threshold).cast("double").alias("threshold"),
-        message.alias("message"),
+        F.lit(rule.limit_text).alias("limit"),
+        measure.cast("bigint").alias("measure"),
+    )
+
+
+def _by_kind(cases: dict[str, Column], otherwise: Column) -> Column:
+    chosen = F
+    for kind, value in cases.items():
+        chosen = chosen.when(F.col("check_type") == kind, value)
+    return chosen.otherwise(otherwise)
+
+
+def _verdicts(rows: DataFrame) -> DataFrame:
+    """Verdict columns from one row per rule."""
+    total, measure, threshold = F.col("total"), F.col("measure"), F.col("threshold")
+    failed, pct, label, limit = F.col("failed_records"), F.col("pct"), F.col("column"), F.col("limit")
+    lag = measure / F.lit(60_000_000.0)
+    fresh = F.coalesce(lag <= threshold, F.lit(False))
+    share = F.coalesce(F.try_divide(failed * F.lit(100.0), total), F.lit(0.0))
+
+    # Rules about the table as a whole fail for all of it or not at all; NULL for others.
+    whole = F.col("whole")
+    counted = (
+        rows.withColumn("whole", _by_kind(
+            {"UNIQUE_COUNT": measure >= threshold, "FRESHNESS": fresh}, F.lit(None)))
+        .withColumn("failed_records", _by_kind({
+            "NO_DUPLICATES": total - measure,
+            "UNIQUE_COUNT": F.when(whole, 0).otherwise(1),
+            "FRESHNESS": F.when(whole, 0).otherwise(total),
+        }, measure))
+        .withColumn("pct", F.when(whole, 0.0).when(~whole, 100.0).otherwise(share))
+    )
+    within = pct <= threshold
+    passed = F.coalesce(whole, _by_kind({"NOT_NULL": within, "NO_DUPLICATES": within}, failed == 0))
+
+    where = F.concat(failed, F.lit(" records where "), label)
+    message = _by_kind({
+        "NOT_NULL": F.concat(failed, F.lit("/"), total, F.lit(" nulls ("), _two_decimals(pct),
+                             F.lit("%) — threshold "), limit, F.lit("%")),
+        "GREATER_THAN": F.concat(where, F.lit(" <= "), limit),
+        "GREATER_THAN_OR_EQUAL": F.concat(where, F.lit(" < "), limit),
+        "RANGE": F.concat(failed, F.lit(" records outside "), limit, F.lit(" for "), label),
+        "NO_DUPLICATES": F.concat(failed, F.lit(" duplicate rows on ["), label, F.lit("] ("),
+                                  _two_decimals(pct), F.lit("%)")),
+        "UNIQUE_COUNT": F.concat(measure, F.lit(" distinct values in "), label,
+                                 F.lit(" (expected >= "), limit, F.lit(")")),
+    }, F.concat(F.lit("Latest record is "), F.format_string("%.1f", round_half_away(lag, 1)),
+                F.lit(" min old (threshold: "), limit, F.lit(" min)")))
+    return counted.select(
+        "check_name", "column", "check_type", passed.alias("passed"), total.alias("total_records"),
+        failed.cast("bigint").alias("failed_records"), round_half_away(pct, 4).alias("failure_pct"),
+        "threshold",
+        F.when((F.col("check_type") == "FRESHNESS") & measure.isNull(), "No timestamp data found.")
+        .otherwise(message).alias("message"),
     )
 
 
 def run_checks(df: DataFrame, rules: Sequence[Rule], as_of: Column | None = None) -> DataFrame:
     """Verdict of every rule, in rule order."""
     as_of = F.current_timestamp() if as_of is None else as_of
-    verdicts = [_verdict(rule, F.col(f"m{i}"), as_of) for i, rule in enumerate(rules)]
-    return _measured(df, rules).select(F.inline(F.array(*verdicts)))
+    facts = [_facts_of_rule(rule, F.col(f"m{i}"), as_of) for i, rule in enumerate(rules)]
+    return _verdicts(_measured(df, rules).select("total", F.inline(F.array(*facts))))
 
 
 def build_report(results: DataFrame, dataset: str, as_of: Column | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapmart.functions.temporal import partition_parts
 from snapmart.schemas import PARTITION_COLUMNS, silver_schema
+from snapmart.session import materialised
 from snapmart.sources.files import exists
 
 
@@ -66,9 +67,10 @@ def stored_rows_in_hours_of(df: DataFrame, path: str) -> DataFrame | None:
 
 def append_silver(df: DataFrame, path: str, keys=("ingestion_id", "coin_id")) -> None:
     """Append the rows whose key is not stored yet, so a repeated run adds nothing."""
-    stored = stored_rows_in_hours_of(df, path)
-    if stored is not None:
-        known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-        match = [F.equal_null(F.col(k), F.col(f"_known_{k}")) for k in keys]
-        df = df.join(known, match, "left_anti")
-    write_silver(df, path, mode="append")
+    with materialised(df, "append") as rows:
+        stored = stored_rows_in_hours_of(rows, path)
+        if stored is not None:
+            known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+            match = [F.equal_null(F.col(k), F.col(f"_known_{k}")) for k in keys]
+            rows = rows.join(known, match, "left_anti")
+        write_silver(rows, path, mode="append")
