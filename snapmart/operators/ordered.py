@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from snapmart.session import materialise
 
 # A group up to this many rows is sorted by one task.
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 1_000_000
 
 _SLICE, _POSITION, _LENGTH = "_slice", "_position", "_length"
 
