@@ -89,12 +89,12 @@ fact AS (
   FROM lineitem JOIN part ON p_partkey = l_partkey),
 latest AS (SELECT * FROM fact WHERE batch_ingested_at = (SELECT max(batch_ingested_at) FROM fact))"""
 
-MACRO_FREE_SILVER = f"{FLAT}, {DERIVED}, {DEDUPED}, {SILVER}"
+_SILVER_STEPS = f"{FLAT}, {DERIVED}, {DEDUPED}, {SILVER}"
 _FLAT = f"WITH {FLAT} "
 _DERIVED = f"WITH {FLAT}, {DERIVED} "
 _DEDUPED = f"WITH {FLAT}, {DERIVED}, {DEDUPED} "
-_SILVER = f"WITH {MACRO_FREE_SILVER} "
-_GOLD = f"WITH {MACRO_FREE_SILVER}, {GOLD} "
+_SILVER = f"WITH {_SILVER_STEPS} "
+_GOLD = f"WITH {_SILVER_STEPS}, {GOLD} "
 _LINES = f"WITH {LINES} "
 
 FLAT_COLUMNS = """ingestion_id, batch_ingested_at, coin_id, symbol, name, current_price, high_24h, low_24h,
@@ -223,7 +223,9 @@ def _checks(prefix, source, parts):
     return f"{prefix}, checked AS (SELECT * FROM {source}) " + " UNION ALL ".join(parts)
 
 
-_SUITE = _checks(_SILVER, "silver", _suite(5.0, 1.0, _at_least, 61.5))
+_SUITE_CHECKS = _suite(5.0, 1.0, _at_least, 61.5)
+_VERDICTS = (f"{_SILVER}, checked AS (SELECT * FROM silver), verdicts AS ("
+             + " UNION ALL ".join(_SUITE_CHECKS) + ") ")
 
 # --- Gold ---------------------------------------------------------------------
 
@@ -436,18 +438,16 @@ def oracles() -> dict[str, str]:
             SELECT coin_id, symbol, name, current_price, market_cap, total_volume, price_change_pct_24h,
               is_bullish_24h, batch_ingested_at
             FROM silver ORDER BY market_cap_rank, batch_ingested_at DESC, coin_id LIMIT 15""",
-        "dq_suite": _SUITE,
+        "dq_suite": _VERDICTS + "SELECT * FROM verdicts",
         "dq_suite_raw": _checks(_DERIVED, "derived", _suite(2.5, 0.5, _greater, 95)),
         "dq_configured_rules": _checks(_DERIVED, "derived", [
             _not_null("current_price", 5.0), _greater("current_price", 0), _not_null("coin_id", 5.0),
             _not_null("market_cap", 5.0), _greater("total_volume", 0)]),
-        "dq_report": _SUITE.replace(", checked AS (", ", checked AS (", 1).replace(
-            "checked AS (SELECT * FROM silver) ", "checked AS (SELECT * FROM silver), verdicts AS (", 1) + """)
+        "dq_report": _VERDICTS + """
             SELECT 'silver_layer' AS dataset, count(*) AS total_checks, count(*) FILTER (passed) AS passed,
               count(*) FILTER (NOT passed) AS failed, bool_and(passed) AS overall_pass, count(*) AS result_count
             FROM verdicts""",
-        "dq_summary_lines": _SUITE.replace(
-            "checked AS (SELECT * FROM silver) ", "checked AS (SELECT * FROM silver), verdicts AS (", 1) + """)
+        "dq_summary_lines": _VERDICTS + """
             SELECT CASE WHEN passed THEN '✅' ELSE '❌' END || ' [' || check_type || '] ' || "column" || ': '
               || message AS line FROM verdicts""",
         "dq_null_summary": _DERIVED + f"""
@@ -524,7 +524,7 @@ def oracles() -> dict[str, str]:
         "rolling_average_sliced": _GOLD + _rolling("TRUE"),
         "freshness_monitor": _GOLD + _freshness("89 minutes 59 seconds"),
         "freshness_monitor_stale": _GOLD + _freshness("91 minutes"),
-        "marketcap_rank": _GOLD + _CAP_RANK.replace("SELECT name,", "SELECT name,", 1) + " ORDER BY rank, coin_id LIMIT 15",
+        "marketcap_rank": _GOLD + _CAP_RANK + " ORDER BY rank, coin_id LIMIT 15",
         "marketcap_rank_all": _GOLD + _CAP_RANK,
         "line_hourly_trend": _LINES + _trend("365 DAY", rounded(mean("price_change_pct_24h"), 6)),
         "line_weekend_weekday": _LINES + _WEEKEND,

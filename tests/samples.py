@@ -34,7 +34,6 @@ def put(folder, name, document, indent=2):
 
 def as_records(spark, rows):
     """(batch, time, record) triples as exploded bronze rows."""
-    from pyspark.sql import functions as F
     from snapmart.schemas import record_schema
 
     def text(v):
@@ -42,7 +41,7 @@ def as_records(spark, rows):
     names = record_schema().fieldNames()
     data = [(b, t, tuple(text(r.get(n)) for n in names)) for b, t, r in rows]
     schema = f"ingestion_id string, batch_ingested_at string, coin struct<{','.join(n + ':string' for n in names)}>"
-    return spark.createDataFrame(data, schema).withColumn("coin", F.col("coin"))
+    return spark.createDataFrame(data, schema)
 
 
 def silver_of(spark, rows):
