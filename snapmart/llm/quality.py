@@ -42,7 +42,7 @@ def _without(text: Column, characters: str) -> Column:
 
 
 def word_hashes(text: Column) -> Column:
-    return F.transform(words(text), F.xxhash64)
+    return F.transform(words(text), lambda word: F.xxhash64(word))
 
 
 def joined_hashes(hashes: Column, apart: int) -> Column:
