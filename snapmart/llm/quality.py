@@ -190,4 +190,8 @@ def keep_good(documents: DataFrame, labels: DataFrame, settings: Settings = Sett
     """The documents that pass, with all their columns."""
     judged = judge(documents, fit(documents, labels, settings), settings)
     verdict = next(c for c in judged.columns if c not in documents.columns)
-    return judged.filter(F.col(verdict)["kept"]).drop(verdict)
+    (number,) = fresh(judged, "_number")
+    # The number keeps the optimiser from moving the filter below the steps that work
+    # out the verdict, where each would be repeated for every word.
+    return judged.withColumn(number, F.monotonically_increasing_id()).filter(
+        F.col(verdict)["kept"] & (F.col(number) >= 0)).drop(verdict, number)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import quality, simhash
+from snapmart.llm import decontamination, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,5 +26,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they overlap with."""
+    return decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
+
+
 def registry() -> dict[str, Query]:
-    return {fn.__name__: fn for fn in (op1_simhash, op2_quality_rules)}
+    return {fn.__name__: fn for fn in (op1_simhash, op2_quality_rules, op8_decontamination)}
