@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import decontamination, quality, simhash
+from snapmart.llm import decontamination, mixing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes from every document."""
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items they overlap with."""
     return decontamination.contaminated(
@@ -33,4 +38,4 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {fn.__name__: fn for fn in (op1_simhash, op2_quality_rules, op8_decontamination)}
+    return {fn.__name__: fn for fn in (op1_simhash, op2_quality_rules, op5_mixing, op8_decontamination)}
