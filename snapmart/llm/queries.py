@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import decontamination, mixing, quality, simhash
+from snapmart.llm import binary, decontamination, mixing, quality, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every context limit means for the documents."""
+    return tokens.context_report(tokens.encoded_lengths(table(spark, sf_dir, "documents")))
+
+
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to files and read back."""
+    return binary.stored_ids(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items they overlap with."""
     return decontamination.contaminated(
@@ -38,4 +48,4 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {fn.__name__: fn for fn in (op1_simhash, op2_quality_rules, op5_mixing, op8_decontamination)}
+    return {fn.__name__: fn for fn in (op1_simhash, op2_quality_rules, op5_mixing, op6_token_counts, op7_token_ids, op8_decontamination)}
