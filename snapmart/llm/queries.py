@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import binary, decontamination, mixing, quality, simhash, tokens
+from snapmart.llm import binary, decontamination, html, mixing, quality, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,5 +47,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def registry() -> dict[str, Query]:
-    return {fn.__name__: fn for fn in (op1_simhash, op2_quality_rules, op5_mixing, op6_token_counts, op7_token_ids, op8_decontamination)}
+    return {fn.__name__: fn for fn in (
+        op1_simhash, op2_quality_rules, op5_mixing, op6_token_counts, op7_token_ids,
+        op8_decontamination, op10_html_extraction)}
