@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart.llm import binary, decontamination, html, mixing, quality, simhash, tokens
+from snapmart.llm import (
+    binary, decontamination, html, licenses, mixing, quality, sharding, simhash, tokens, urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's URL."""
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every block of every document that may be a license notice, and what it is."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes from every document."""
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
@@ -47,6 +59,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its slot and shard, as written to the shards."""
+    return sharding.sharded(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(table(spark, sf_dir, "pages"))
@@ -54,5 +71,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {fn.__name__: fn for fn in (
-        op1_simhash, op2_quality_rules, op5_mixing, op6_token_counts, op7_token_ids,
-        op8_decontamination, op10_html_extraction)}
+        op1_simhash, op2_quality_rules, op3_url_filters, op4_license_scans, op5_mixing,
+        op6_token_counts, op7_token_ids, op8_decontamination, op9_sharding, op10_html_extraction)}
