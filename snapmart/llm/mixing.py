@@ -174,7 +174,9 @@ def _drawn(placed: DataFrame, targets: DataFrame, block: int) -> DataFrame:
     end = F.least(F.col("start") + F.col("size"), (F.col("block_no") + 1) * block)
     pieces = pieces.select(
         "row", "rank", "block_no", (begin - F.col("start")).alias("from_word"), (end - begin).alias("n"))
-    return pieces.join(_slots(targets, block), ["rank", "block_no"]).select(
+    # Spark takes slots for a small table, as they are made from one row per source; without
+    # the hint it would broadcast them all.
+    return pieces.join(_slots(targets, block).hint("merge"), ["rank", "block_no"]).select(
         "row", "pass", "shard", "from_word", "n")
 
 
