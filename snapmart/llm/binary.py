@@ -21,65 +21,31 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from snapmart.llm.huffman import Coder, code_lengths
 from snapmart.llm.tokens import END_ID, encoder, vocabulary_path
 from snapmart.session import scratch_path
+from snapmart.sources.files import remove
 
 # A block ends with the document that brings it to so many ids.
 BLOCK_IDS = 1 << 17
 
-_BLOCKS = (
-    "part int, seq bigint, doc_ids array<bigint>, n_tokens array<bigint>, n_ids bigint, "
-    "checkpoints binary, payload binary")
+_HEAD = "part int, seq bigint, doc_ids array<bigint>, n_tokens array<bigint>, n_ids bigint"
+_RAW = _HEAD + ", ids binary"
+_BLOCKS = _HEAD + ", checkpoints binary, payload binary"
 _DOCUMENTS = "part int, seq bigint, place int, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
 
 
-def id_counts(documents: DataFrame, path: str) -> np.ndarray:
-    """How often each id occurs in all documents, the end id once per document.
-
-    One row per id and task, added up by Spark; as many numbers as the vocabulary has.
-    """
-    size = encoder(path).tokenizer.get_vocab_size()
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, totals = encoder(path), np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                ids = np.frombuffer(own.encode(text.as_py()), own.kind)
-                if len(ids):
-                    seen = np.bincount(ids)
-                    totals[:len(seen)] += seen
-            totals[END_ID] += batch.num_rows
-        used = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_pydict({"id": pa.array(used, pa.int64()), "n": pa.array(totals[used], pa.int64())})
-
-    texts = documents.select(F.col("text").cast("binary").alias("text"))
-    rows = texts.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    totals = np.zeros(size, dtype=np.int64)
-    for row in rows:
-        totals[row["id"]] = row["n"]
-    return totals
-
-
-@lru_cache(maxsize=4)
-def _coder(lengths: bytes) -> Coder:
-    return Coder(np.frombuffer(lengths, np.uint8))
-
-
-def _encode(path: str, lengths: bytes, block_ids: int) -> Callable:
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _collect_blocks(path: str, block_ids: int) -> Callable:
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        own, coder = encoder(path), _coder(lengths)
+        own = encoder(path)
         end = np.array([END_ID], dtype=own.kind).tobytes()
         part, seq = TaskContext.get().partitionId(), 0
         doc_ids, sizes, held, total = [], [], [], 0
 
         def block() -> pa.RecordBatch:
-            payload, checkpoints = coder.write(np.frombuffer(b"".join(held), own.kind))
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int64()),
                 "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())),
                 "n_tokens": pa.array([sizes], pa.list_(pa.int64())),
-                "n_ids": pa.array([total], pa.int64()),
-                "checkpoints": pa.array([checkpoints], pa.binary()),
-                "payload": pa.array([payload], pa.binary())})
+                "n_ids": pa.array([total], pa.int64()), "ids": pa.array([b"".join(held)], pa.binary())})
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
@@ -94,21 +60,74 @@ def _encode(path: str, lengths: bytes, block_ids: int) -> Callable:
         if doc_ids:
             yield block()
 
+    return collect
+
+
+def id_counts(raw: DataFrame, path: str) -> np.ndarray:
+    """How often each id occurs in all blocks; as many numbers as the vocabulary has.
+
+    A task sends one row per id at most.
+    """
+    kind, size = encoder(path).kind, encoder(path).tokenizer.get_vocab_size()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(size, dtype=np.int64)
+        for batch in batches:
+            for ids in batch.column(0):
+                totals += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
+        used = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_pydict({"id": pa.array(used, pa.int64()), "n": pa.array(totals[used], pa.int64())})
+
+    rows = raw.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    totals = np.zeros(size, dtype=np.int64)
+    for row in rows:
+        totals[row["id"]] = row["n"]
+    return totals
+
+
+@lru_cache(maxsize=4)
+def _coder(lengths: bytes) -> Coder:
+    return Coder(np.frombuffer(lengths, np.uint8))
+
+
+def _encode(kind: np.dtype, lengths: bytes) -> Callable:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(lengths)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                ids = np.frombuffer(row.column("ids")[0].as_buffer(), kind)
+                payload, checkpoints = coder.write(ids)
+                head = [row.column(name) for name in ("part", "seq", "doc_ids", "n_tokens", "n_ids")]
+                yield pa.RecordBatch.from_arrays(
+                    [*head, pa.array([checkpoints], pa.binary()), pa.array([payload], pa.binary())],
+                    ["part", "seq", "doc_ids", "n_tokens", "n_ids", "checkpoints", "payload"])
+
     return encode
 
 
 def write_ids(documents: DataFrame, folder: str, path: str | None = None,
               block_ids: int = BLOCK_IDS) -> None:
-    """Encode every whole text and write the files to ``folder``; NULL counts as empty."""
+    """Encode every whole text and write the files to ``folder``; NULL counts as empty.
+
+    Texts are tokenized once, in order of doc_id, and their ids kept in a table of blocks
+    until the code is known; that table is removed at the end.
+    """
     path = path or vocabulary_path()
     spark = documents.sparkSession
-    lengths = code_lengths(id_counts(documents, path))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (
+        documents.select("doc_id", F.col("text").cast("binary").alias("text"))
+        .repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
+    )
+    held = scratch_path(spark, "raw_ids")
+    ordered.mapInArrow(_collect_blocks(path, block_ids), _RAW).write.option("compression", "zstd").parquet(held)
+    raw = spark.read.schema(_RAW).parquet(held)
+    lengths = code_lengths(id_counts(raw, path))
     code = spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary")
     code.coalesce(1).write.parquet(f"{folder}/code")
-    keyed = documents.select("doc_id", F.col("text").cast("binary").alias("text"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = keyed.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_encode(path, lengths.tobytes(), block_ids), _BLOCKS).write.parquet(f"{folder}/blocks")
+    raw.mapInArrow(_encode(encoder(path).kind, lengths.tobytes()), _BLOCKS).write.parquet(f"{folder}/blocks")
+    remove(spark, held)
 
 
 def _decode(lengths: bytes, with_ids: bool) -> Callable:
