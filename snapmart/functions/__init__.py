@@ -1,7 +1,7 @@
 """Column functions shared by the operators; all are built-in expressions."""
 
 from snapmart.functions.numeric import (
-    exact_avg, exact_sum, greatest_or_zero, percent_of, positive_ratio, round_half_away,
+    greatest_or_zero, percent_of, positive_ratio, round_half_away,
 )
 from snapmart.functions.temporal import (
     calendar_columns, hour_key, minutes_between_boundaries, partition_parts,
@@ -9,7 +9,7 @@ from snapmart.functions.temporal import (
 from snapmart.functions.labels import change_bucket, change_bucket_index, freshness_status
 
 __all__ = [
-    "calendar_columns", "change_bucket", "change_bucket_index", "exact_avg", "exact_sum",
-    "freshness_status", "greatest_or_zero", "hour_key", "minutes_between_boundaries",
-    "partition_parts", "percent_of", "positive_ratio", "round_half_away",
+    "calendar_columns", "change_bucket", "change_bucket_index", "freshness_status",
+    "greatest_or_zero", "hour_key", "minutes_between_boundaries", "partition_parts",
+    "percent_of", "positive_ratio", "round_half_away",
 ]

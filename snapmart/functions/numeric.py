@@ -1,4 +1,4 @@
-"""Rounding, guarded division and order-independent sums."""
+"""Rounding and guarded division."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ from pyspark.sql import Column, functions as F
 # From this magnitude on a double has no fractional part left to round.
 _INTEGRAL = float(2 ** 53)
 
-# Raw amounts carry at most eight decimals.
-_UNITS = 1e8
-# Whole parts up to here fit a bigint.
-_LARGEST_WHOLE = 9e18
-
 
 def round_half_away(x: Column, digits: int) -> Column:
     """Round to ``digits`` decimals, halves away from zero, NULL and NaN kept."""
@@ -35,24 +30,3 @@ def greatest_or_zero(a: Column, b: Column) -> Column:
     """The larger of two values, a missing one counting as zero."""
     zero = F.lit(0.0)
     return F.greatest(F.coalesce(a, zero), F.coalesce(b, zero))
-
-
-def exact_sum(x: Column) -> Column:
-    """Sum of doubles that does not depend on the order rows arrive in.
-
-    Whole parts and fractions (in units of 1e-8) are added as integers, which costs
-    little more than a plain sum. Falls back to the plain sum where those integers
-    overflow or a value is too large, infinite or NaN.
-    """
-    whole = F.floor(x)
-    units = F.rint((x - whole) * _UNITS).try_cast("bigint")
-    total = (
-        F.try_sum(whole).cast("decimal(20,0)")
-        + F.try_sum(units).cast("decimal(20,0)") * F.lit("0.00000001").cast("decimal(8,8)")
-    ).cast("double")
-    return F.when(F.max(F.abs(x)) < _LARGEST_WHOLE, F.coalesce(total, F.sum(x))).otherwise(F.sum(x))
-
-
-def exact_avg(x: Column) -> Column:
-    """Mean over the non-null values, built on :func:`exact_sum`."""
-    return F.try_divide(exact_sum(x), F.count(x))

@@ -49,3 +49,9 @@ def minutes_between_boundaries(start: Column, end: Column) -> Column:
     def minute(ts: Column) -> Column:
         return F.floor(F.unix_micros(ts) / F.lit(60_000_000))
     return minute(end) - minute(start)
+
+
+def hour_number(ts: Column) -> Column:
+    """The hour of a timestamp as YYYYMMDDHH, built like the folder columns."""
+    p = partition_parts(ts)
+    return ((p["year"] * 100 + p["month"]) * 100 + p["day"]) * 100 + p["hour"]

@@ -6,16 +6,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapmart.schemas import TableContract
+from snapmart.schemas import LOAD_TIME, TableContract
 
 
-def conform(df: DataFrame, contract: TableContract, defaults: dict[str, Column] | None = None) -> DataFrame:
-    """Columns of the contract in order; a column ``df`` lacks gets its default, else NULL."""
-    defaults = defaults or {}
+def conform(df: DataFrame, contract: TableContract, loaded_at: Column | None = None) -> DataFrame:
+    """Columns of the contract in order; a column ``df`` lacks gets the contract's default,
+    the time of the load being ``loaded_at`` (by default now), else NULL."""
+    load_time = F.current_timestamp() if loaded_at is None else loaded_at
+
     def column(f):
         if f.name in df.columns:
             return F.col(f.name)
-        return defaults.get(f.name, F.lit(None))
+        default = contract.defaults.get(f.name)
+        return load_time if default == LOAD_TIME else F.lit(default)
+
     return df.select(*[column(f).cast(f.dataType).alias(f.name) for f in contract.schema])
 
 

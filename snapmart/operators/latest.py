@@ -5,23 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _newest_day(df: DataFrame, day: str | None) -> DataFrame:
-    if day is None:
-        return df
-    # Only the folder names are looked at for this maximum.
-    return df.filter(F.col(day) == df.select(day).agg(F.max(day)).scalar())
+def newest_time(df: DataFrame, ts: str = "batch_ingested_at") -> Column:
+    """The largest ``ts``, as a value to compare other columns with."""
+    return df.select(ts).agg(F.max(ts)).scalar()
 
 
-def newest_time(df: DataFrame, ts: str = "batch_ingested_at", day: str | None = None) -> Column:
-    """The largest ``ts``, as a value to compare other columns with.
+def latest_batch(df: DataFrame, ts: str = "batch_ingested_at") -> DataFrame:
+    """Keep rows whose ``ts`` is the maximum.
 
-    ``day`` names a partition column derived from ``ts``; with it only the newest
-    day is scanned.
+    Of a stored fact, pass :meth:`GoldStore.newest_fact`, which is one day's folder.
     """
-    return _newest_day(df, day).select(ts).agg(F.max(ts)).scalar()
-
-
-def latest_batch(df: DataFrame, ts: str = "batch_ingested_at", day: str | None = None) -> DataFrame:
-    """Keep rows whose ``ts`` is the maximum; ``day`` as in :func:`newest_time`."""
-    recent = _newest_day(df, day)
-    return recent.filter(F.col(ts) == newest_time(recent, ts))
+    return df.filter(F.col(ts) == newest_time(df, ts))

@@ -13,10 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from snapmart.session import materialise
-
-# A group up to this many rows is sorted by one task.
-MAX_GROUP_ROWS = 1_000_000
+from snapmart.session import materialise, scratch_dir
 
 _SLICE, _POSITION, _LENGTH = "_slice", "_position", "_length"
 
@@ -32,13 +29,6 @@ def _sliced(df: DataFrame, order: Sequence[Column], slices: int | None) -> DataF
     )
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Rows of the largest group and rows in all (reads only the key columns)."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    largest, total = sizes.agg(F.max("_rows"), F.sum("_rows")).first()
-    return largest or 0, total or 0
-
-
 def over_history(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,27 +36,23 @@ def over_history(
     columns: Callable[[WindowSpec], dict[str, Column]],
     back: int = 0,
     ahead: int = 0,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    sliced: bool = True,
     slices: int | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``back`` rows back and ``ahead`` rows on.
 
     ``columns`` maps the window of one key, ordered by ``order``, to named columns.
-    ``order`` should end in a unique column. Plain windows are used unless a key
-    has more than ``max_group_rows`` rows.
+    ``order`` should end in a unique column. ``sliced=False`` takes a plain window, for
+    histories of which each is known to fit a task; the choice does not depend on the
+    data. Slices go through a table in the scratch area (see :func:`scratch_scope`).
     """
+    scratch_dir(df.sparkSession)  # a missing setting shows on either path
     history = Window.partitionBy(*keys).orderBy(*order)
-    largest, total = group_sizes(df, keys)
-    if largest <= max_group_rows:
+    if not sliced:
         return df.withColumns(columns(history))
 
     near = back + ahead
-    if slices is None:
-        # Slices of at most max_group_rows, unless the rows at the cuts would then be
-        # too many for one task.
-        slices = max(
-            _shuffle_partitions(df),
-            min(-(-total // max(max_group_rows, 1)), max_group_rows // max(2 * near, 1)))
+    slices = slices or _shuffle_partitions(df)
     total_order = [F.col(c) for c in (*keys, *order)]
     in_slice = Window.partitionBy(_SLICE).orderBy(*total_order)
     within = Window.partitionBy(_SLICE, *keys).orderBy(*order)

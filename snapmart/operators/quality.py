@@ -70,18 +70,24 @@ _BUILDERS = {
 }
 
 
-def rules_from_config(entries: Sequence[dict]) -> list[Rule]:
+def rules_from_config(entries: Sequence[dict], max_null_pct_allowed: float | None = None,
+                      max_duplicate_pct_allowed: float | None = None) -> list[Rule]:
     """Rules from declarations such as ``{"column": "price", "check": "greater_than", "value": 0}``.
 
     Entries name the check and its column(s); further entries are passed on as
-    arguments, ``value`` being the first of them.
+    arguments, ``value`` being the first of them. The two percentages are the limits of
+    checks for missing and repeated values that give none of their own.
     """
+    limits = {"not_null": max_null_pct_allowed, "no_duplicates": max_duplicate_pct_allowed}
     rules = []
     for entry in entries:
         options = dict(entry)
-        build = _BUILDERS.get(options.pop("check"))
+        check = options.pop("check")
+        build = _BUILDERS.get(check)
         if build is None:
             raise ValueError(f"unknown check in {entry}")
+        if limits.get(check) is not None and not {"value", "max_pct"} & options.keys():
+            options["value"] = limits[check]
         target = options.pop("columns", None) or options.pop("column")
         first = [options.pop("value")] if "value" in options else []
         rules.append(build(target, *first, **options))
@@ -239,6 +245,20 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("append").json(path)
 
 
+def report_lines(report: DataFrame) -> DataFrame:
+    """A stored report as text: a head with status, run, data set and totals, then one
+    line per rule. ``line_no`` gives their order within a run."""
+    status = F.when(F.col("overall_pass"), "✅ PASSED").otherwise("❌ FAILED")
+    head = F.array(
+        F.concat(F.lit("Data quality: "), status), F.concat(F.lit("Run: "), "run_id"),
+        F.concat(F.lit("Dataset: "), "dataset"), F.concat(F.lit("Run at: "), "run_at"),
+        F.concat(F.lit("Checks: "), "total_checks", F.lit(", passed: "), "passed", F.lit(", failed: "), "failed"))
+    body = F.transform("results", lambda r: F.concat(
+        F.when(r["passed"], "✅").otherwise("❌"), F.lit(" ["), r["check_type"], F.lit("] "),
+        r["column"], F.lit(": "), r["message"]))
+    return report.select("run_id", F.posexplode(F.concat(head, body)).alias("line_no", "line"))
+
+
 def summary_lines(results: DataFrame, mark_stale: bool = False) -> DataFrame:
     """The verdicts as text, one line per rule; ``mark_stale`` singles out late data."""
     icon = F.when(F.col("passed"), "✅")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from snapmart.functions import change_bucket, change_bucket_index, exact_avg, exact_sum
+from snapmart.functions import change_bucket, change_bucket_index
 from snapmart.operators.quality import distinct_rows
 
 
@@ -23,7 +23,7 @@ def quality_summary(df: DataFrame) -> DataFrame:
         F.count_if(F.col("market_cap").isNull()).alias("null_mktcap_count"),
         F.count_if(F.col("coin_id").isNull()).alias("null_coinid_count"),
         F.count_if("is_bullish_24h").alias("bullish_coins"),
-        exact_avg(F.col("price_change_pct_24h")).alias("avg_24h_change_pct"),
+        F.avg(F.col("price_change_pct_24h")).alias("avg_24h_change_pct"),
         F.count("coin_id").alias("non_null_coins"),
     )
 
@@ -36,9 +36,9 @@ def dataset_summary(df: DataFrame) -> DataFrame:
     """One row describing the whole data set."""
     return df.agg(
         F.count("*").alias("total_records"),
-        exact_avg(F.col("current_price")).alias("avg_price_usd"),
-        exact_sum(F.col("market_cap")).alias("total_market_cap"),
-        exact_sum(F.col("total_volume")).alias("total_volume_usd"),
+        F.avg(F.col("current_price")).alias("avg_price_usd"),
+        F.sum(F.col("market_cap")).alias("total_market_cap"),
+        F.sum(F.col("total_volume")).alias("total_volume_usd"),
         F.count_if("is_bullish_24h").alias("bullish_count"),
         F.count_if(~F.col("is_bullish_24h")).alias("bearish_count"),
         F.max("batch_ingested_at").alias("latest_ingestion"),
@@ -57,7 +57,7 @@ def change_distribution(df: DataFrame, missing_as_lowest: bool = False) -> DataF
             change_bucket(pct, missing_as_lowest).alias("price_bucket"),
             change_bucket_index(pct, missing_as_lowest).alias("bucket_index"),
         )
-        .agg(F.count("*").alias("coin_count"), exact_avg(pct).alias("avg_pct_change"))
+        .agg(F.count("*").alias("coin_count"), F.avg(pct).alias("avg_pct_change"))
         .orderBy("price_bucket")
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from snapmart.functions import calendar_columns, greatest_or_zero, hour_key
@@ -10,10 +13,11 @@ from snapmart.operators.dedup import keep_latest
 from snapmart.operators.keys import number_keys
 from snapmart.operators.upsert import insert_if_absent, take_incoming, update_matched
 from snapmart.schemas import (
-    DIM_COIN_CONTRACT, DIM_DATE_CONTRACT, FACT_CONTRACT, FACT_MEASURES, FACT_PARTITION,
+    DIM_COIN_CONTRACT, DIM_DATE_CONTRACT, FACT_CONTRACT, FACT_MEASURES,
     STAGING_COLUMNS, STAGING_TIMESTAMPS, staging_schema,
 )
-from snapmart.session import materialised
+from snapmart.session import materialised, require_utc
+from snapmart.sources.files import remove
 from snapmart.sources.gold import GoldStore
 from snapmart.sources.silver import read_silver
 from snapmart.sources.tables import verify_counts
@@ -67,7 +71,7 @@ def hours_of(staging: DataFrame) -> DataFrame:
 
 def latest_entities(staging: DataFrame, loaded_at: Column) -> DataFrame:
     """The newest staging row of every entity, stamped with the load time."""
-    known = staging.filter(F.col("coin_id").isNotNull())
+    known = staging.filter(_loadable())
     narrow = known.select(*_COIN_COLUMNS, "batch_ingested_at", "last_updated", "ingestion_id")
     return (
         keep_latest(narrow, ["coin_id"], ["batch_ingested_at", "last_updated", "ingestion_id"])
@@ -79,7 +83,7 @@ def upsert_entities(dim: DataFrame, latest: DataFrame, loaded_at: Column) -> Dat
     """The entity dimension after merging ``latest`` (one row per entity) into it."""
     last_key = F.coalesce(dim.agg(F.max("coin_sk")).scalar(), F.lit(0))
     fresh = number_keys(insert_if_absent(dim, latest, ["coin_id"]), "coin_id", "coin_sk", last_key)
-    fresh = conform(fresh, DIM_COIN_CONTRACT, {"is_active": F.lit(True), "first_seen_at": loaded_at})
+    fresh = conform(fresh, DIM_COIN_CONTRACT, loaded_at)
     return update_matched(dim, latest, "coin_id", COIN_RULES).unionByName(fresh)
 
 
@@ -87,38 +91,41 @@ def snapshot_id() -> Column:
     return F.concat("coin_id", F.lit("_"), "ingestion_id")
 
 
+# Staging columns that the gold tables must have a value for, directly or in a key.
+_NEEDED = ("coin_id", "ingestion_id", "batch_ingested_at", "symbol", "name", "current_price")
+
+
 def _loadable() -> Column:
-    return snapshot_id().isNotNull() & F.col("batch_ingested_at").isNotNull()
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in _NEEDED])
 
 
 def quarantined(staging: DataFrame) -> DataFrame:
-    """Staging rows without an entity, a batch or a batch time; they cannot become facts."""
+    """Staging rows that would break a NOT NULL promise of the dimensions or the fact."""
     return staging.filter(~_loadable())
 
 
+def quarantine_reasons(staging: DataFrame) -> DataFrame:
+    """(missing_column, rows) over the quarantined rows; a row counts for each column it lacks."""
+    counts = staging.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in _NEEDED])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("missing_column"), F.col(c).alias("rows")) for c in _NEEDED])))
+
+
 def new_facts(staging: DataFrame, dim: DataFrame, fact: DataFrame, loaded_at: Column) -> DataFrame:
-    """Fact rows for the snapshots in staging that ``fact`` does not hold."""
+    """Fact rows for the snapshots in staging that ``fact`` does not hold, on whatever day."""
     snapshots = keep_latest(
         staging.filter(_loadable()).select(
             snapshot_id().alias("snapshot_id"), "coin_id", "ingestion_id",
             *FACT_MEASURES, "batch_ingested_at", "last_updated"),
         ["snapshot_id"], ["last_updated", "batch_ingested_at"])
-    absent = insert_if_absent(fact, snapshots, ["snapshot_id"])
+    # Of the whole fact only the ids that are staged again take part in the anti join.
+    staged = staging.select(snapshot_id().alias("snapshot_id"))
+    stored = fact.select("snapshot_id").join(staged, "snapshot_id", "left_semi")
+    absent = insert_if_absent(stored, snapshots, ["snapshot_id"])
     keyed = absent.join(dim.select("coin_id", "coin_sk"), "coin_id")
     return conform(
         keyed.withColumn("date_sk", hour_key(F.col("batch_ingested_at"))),
-        FACT_CONTRACT, {"loaded_at": loaded_at})
-
-
-def _facts_of_staged_days(fact: DataFrame, staging: DataFrame) -> DataFrame:
-    """Only the fact partitions that staging can repeat.
-
-    A snapshot keeps its batch time, so a stored copy lies in the same day.
-    """
-    days = staging.select(F.to_date("batch_ingested_at").alias("day")).filter("day IS NOT NULL").distinct()
-    # At most one value per calendar day.
-    staged = [row.day for row in days.collect()]
-    return fact.filter(F.col(FACT_PARTITION).isin(staged))
+        FACT_CONTRACT, loaded_at)
 
 
 def load_gold(silver: DataFrame, root: str, as_of: Column | None = None) -> dict[str, int]:
@@ -130,19 +137,21 @@ def load_gold(silver: DataFrame, root: str, as_of: Column | None = None) -> dict
     spark = silver.sparkSession
     store = GoldStore(spark, root)
     loaded_at = F.current_timestamp() if as_of is None else as_of
-    staging_path = f"{store.root}/staging"
-
-    counts = load_staging(silver, staging_path)
-    if counts["staged"] == 0:
+    require_utc(spark)
+    # A folder of its own for each load, so loads do not read each other's rows.
+    staging_path = f"{store.root}/staging/{uuid.uuid4().hex}"
+    try:
+        counts = load_staging(silver, staging_path)
+        if counts["staged"] == 0:
+            return counts
+        staging = spark.read.schema(staging_schema()).parquet(staging_path)
+        with materialised(latest_entities(staging, loaded_at), "entities") as latest:
+            store.replace_dim_coin(upsert_entities(store.dim_coin(), latest, loaded_at))
+        store.append_dim_date(insert_if_absent(store.dim_date(), hours_of(staging), ["date_sk"]))
+        store.append_fact(new_facts(staging, store.dim_coin(), store.fact(), loaded_at))
         return counts
-    staging = spark.read.schema(staging_schema()).parquet(staging_path)
-
-    with materialised(latest_entities(staging, loaded_at), "entities") as latest:
-        store.replace_dim_coin(upsert_entities(store.dim_coin(), latest, loaded_at))
-    store.append_dim_date(insert_if_absent(store.dim_date(), hours_of(staging), ["date_sk"]))
-    fact = _facts_of_staged_days(store.fact(), staging)
-    store.append_fact(new_facts(staging, store.dim_coin(), fact, loaded_at))
-    return counts
+    finally:
+        remove(spark, staging_path)
 
 
 def run_silver_to_gold(spark: SparkSession, silver_path: str, root: str,

@@ -1,8 +1,9 @@
 """Named reports over the star schema.
 
 ``fact`` and the dimensions may be stored tables or any frames with their columns.
-A stored fact carries the day it is partitioned by, and the reports use it to
-read only the days they need. Ties are ordered by entity so that a report is the
+Reports on the newest batch should be given the newest day of a stored fact
+(:meth:`GoldStore.newest_fact`); those on a time range use the day it is partitioned
+by to read only the days they need. Ties are ordered by entity so that a report is the
 same on every run; missing values rank last.
 """
 
@@ -13,13 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapmart.functions import (
-    exact_avg, exact_sum, freshness_status, hour_key, minutes_between_boundaries, percent_of,
+    freshness_status, hour_key, minutes_between_boundaries, percent_of,
     round_half_away,
 )
 from snapmart.operators.latest import latest_batch
-from snapmart.operators.ordered import (
-    MAX_GROUP_ROWS, over_history, rank_descending, running_total, top,
-)
+from snapmart.operators.ordered import over_history, rank_descending, running_total, top
 from snapmart.operators.quality import distinct_rows
 from snapmart.schemas import FACT_PARTITION
 
@@ -35,7 +34,7 @@ def _day(fact: DataFrame) -> str | None:
 
 def _latest_with_names(fact: DataFrame, dim_coin: DataFrame) -> DataFrame:
     names = dim_coin.select("coin_sk", "coin_id", "name", "symbol")
-    return latest_batch(fact, day=_day(fact)).join(names, "coin_sk")
+    return latest_batch(fact).join(names, "coin_sk")
 
 
 def top_volume(fact: DataFrame, dim_coin: DataFrame, n: int = 10) -> DataFrame:
@@ -97,9 +96,9 @@ def hourly_trend(fact: DataFrame, dim_date: DataFrame, as_of: Column | None = No
         recent = recent.filter(F.col(FACT_PARTITION) >= F.to_date(start))
     per_hour = recent.groupBy("date_sk").agg(
         F.count_distinct("coin_sk").alias("coins_tracked"),
-        exact_sum(F.col("market_cap")).alias("total_market_cap_usd"),
-        exact_sum(F.col("total_volume")).alias("total_volume_usd"),
-        exact_avg(F.col("price_change_pct_24h")).alias("avg_price_change_pct"),
+        F.sum(F.col("market_cap")).alias("total_market_cap_usd"),
+        F.sum(F.col("total_volume")).alias("total_volume_usd"),
+        F.avg(F.col("price_change_pct_24h")).alias("avg_price_change_pct"),
         F.count_if("is_bullish_24h").alias("bullish_coins"),
         F.count_if(~F.col("is_bullish_24h")).alias("bearish_coins"),
     )
@@ -117,10 +116,11 @@ def _history(fact: DataFrame, dim_coin: DataFrame, symbols: Sequence[str] | None
 
 
 def snapshot_change(fact: DataFrame, dim_coin: DataFrame, symbols: Sequence[str] | None = CHANGE_SYMBOLS,
-                    include_next: bool = False, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                    include_next: bool = False, sliced: bool = True) -> DataFrame:
     """Price of every snapshot against the entity's previous one.
 
-    ``symbols=None`` takes all entities; ``include_next`` adds the following price.
+    ``symbols=None`` takes all entities; ``include_next`` adds the following price;
+    ``sliced`` as in :func:`over_history`.
     """
     price = F.col("current_price")
 
@@ -132,7 +132,7 @@ def snapshot_change(fact: DataFrame, dim_coin: DataFrame, symbols: Sequence[str]
 
     rows = over_history(
         _history(fact, dim_coin, symbols), ["coin_sk"], ["batch_ingested_at", "snapshot_id"],
-        neighbours, back=1, ahead=int(include_next), max_group_rows=max_group_rows)
+        neighbours, back=1, ahead=int(include_next), sliced=sliced)
     delta = price - F.coalesce("prev_price", price)
     following = ["next_price"] if include_next else []
     return rows.select(
@@ -143,14 +143,14 @@ def snapshot_change(fact: DataFrame, dim_coin: DataFrame, symbols: Sequence[str]
 
 
 def rolling_average(fact: DataFrame, dim_coin: DataFrame, symbols: Sequence[str] | None = ROLLING_SYMBOLS,
-                    points: int = 24, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                    points: int = 24, sliced: bool = True) -> DataFrame:
     """Mean price over the last ``points`` snapshots of the entity, and the distance to it."""
     def frame(history):
         return {"_mean": F.avg("current_price").over(history.rowsBetween(1 - points, 0))}
 
     rows = over_history(
         _history(fact, dim_coin, symbols), ["coin_sk"], ["batch_ingested_at", "snapshot_id"],
-        frame, back=points - 1, max_group_rows=max_group_rows)
+        frame, back=points - 1, sliced=sliced)
     return rows.select(
         "name", "symbol", "batch_ingested_at", "current_price",
         round_half_away(F.col("_mean"), 6).alias("rolling_24h_avg_price"),
@@ -164,14 +164,12 @@ _SHARE = "decimal(20,4)"
 def dominance(fact: DataFrame, dim_coin: DataFrame, n: int | None = 15) -> DataFrame:
     """Share of the newest batch's market cap per entity, with its running sum.
 
-    ``n=None`` lists the whole batch. With ``n`` the running sum is taken over the
-    first ``n`` rows, which are the same rows by share and by market cap as long
-    as the total is not negative; a negative total is reported as an error.
+    ``n=None`` lists the whole batch, else the first ``n`` rows by market cap with the
+    running sum over them. A negative total gives negative shares; rows stay in order of
+    market cap for the running sum.
     """
-    newest = latest_batch(fact, day=_day(fact))
-    total = newest.agg(exact_sum(F.col("market_cap"))).scalar()
-    if n is not None:
-        total = F.when(total < 0, F.raise_error("negative total; use n=None").cast("double")).otherwise(total)
+    newest = latest_batch(fact)
+    total = newest.agg(F.sum(F.col("market_cap"))).scalar()
     share = round_half_away(percent_of(F.col("market_cap"), total), 4)
     rows = _latest_with_names(fact, dim_coin).select(
         "name", "symbol", "market_cap", share.alias("dominance_pct"),
@@ -198,12 +196,12 @@ def weekend_weekday(fact: DataFrame, dim_coin: DataFrame, dim_date: DataFrame,
     # One row per entity before names come in; entities of the same name are then added up.
     per_entity = flagged.groupBy("coin_sk").agg(
         F.count("*").alias("rows"),
-        exact_sum(weekend).alias("weekend"), F.count(weekend).alias("weekend_rows"),
-        exact_sum(weekday).alias("weekday"), F.count(weekday).alias("weekday_rows"),
+        F.sum(weekend).alias("weekend"), F.count(weekend).alias("weekend_rows"),
+        F.sum(weekday).alias("weekday"), F.count(weekday).alias("weekday_rows"),
     )
 
     def mean(kind: str) -> Column:
-        return F.try_divide(exact_sum(F.col(kind)), F.sum(f"{kind}_rows"))
+        return F.try_divide(F.sum(F.col(kind)), F.sum(f"{kind}_rows"))
 
     return (
         per_entity.join(dim_coin.select("coin_sk", "name", "symbol"), "coin_sk")

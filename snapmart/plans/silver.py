@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from snapmart.operators.dedup import keep_latest
 from snapmart.operators.quality import Rule, build_report, default_rules, run_checks, write_report
 from snapmart.operators.records import flatten_and_cast, keep_valid, validity
-from snapmart.sources.bronze import read_bronze
+from snapmart.schemas import CORRUPT
+from snapmart.sources.bronze import explode_records, read_envelopes
 from snapmart.sources.silver import append_silver, read_silver, write_silver
 
 SNAPSHOT_KEY = ("ingestion_id", "coin_id")
@@ -26,15 +27,25 @@ def to_silver(records: DataFrame) -> DataFrame:
 
 
 def run_bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str,
-                         layout: str = "documents", mode: str = "overwrite") -> dict[str, int]:
-    """Build silver from bronze in one pass; returns the rows seen and kept.
+                         layout: str = "documents", mode: str = "overwrite",
+                         since=None, until=None) -> dict[str, int]:
+    """Build silver from bronze in one pass; returns the rows seen, kept and dropped, and
+    how many envelopes were damaged (their readable part is used).
+
+    ``since`` and ``until`` take only the hour folders of that range; for ``refresh`` and
+    ``append``, as ``overwrite`` would drop the rest of silver.
 
     ``overwrite`` replaces silver, ``refresh`` replaces only the hours found in
     bronze, ``append`` adds rows not stored yet.
     """
     counts = Observation("silver")
+    damage = Observation("bronze")
+    if mode == "overwrite" and (since is not None or until is not None):
+        raise ValueError("a time range needs mode='refresh' or 'append'")
+    envelopes = read_envelopes(spark, bronze_path, layout, since, until).observe(
+        damage, F.count_if(F.col(CORRUPT).isNotNull()).alias("damaged"))
     rows = (
-        read_bronze(spark, bronze_path, layout)
+        explode_records(envelopes)
         .transform(flatten_and_cast).transform(deduplicate)
         .observe(counts, F.count("*").alias("seen"), F.count_if(validity()).alias("kept"))
         .transform(keep_valid)
@@ -48,7 +59,8 @@ def run_bronze_to_silver(spark: SparkSession, bronze_path: str, silver_path: str
     else:
         raise ValueError(f"unknown mode {mode!r}")
     seen = counts.get
-    return {"seen": seen["seen"], "kept": seen["kept"], "dropped": seen["seen"] - seen["kept"]}
+    return {"seen": seen["seen"], "kept": seen["kept"], "dropped": seen["seen"] - seen["kept"],
+            "damaged": damage.get["damaged"]}
 
 
 def run_quality_on_silver(spark: SparkSession, silver_path: str, report_path: str | None = None,

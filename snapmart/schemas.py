@@ -127,6 +127,10 @@ def staging_schema() -> T.StructType:
     return T.StructType([silver[name] for name in STAGING_COLUMNS])
 
 
+# Default of a column that holds when its row was loaded.
+LOAD_TIME = "load time"
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     column: str
@@ -163,7 +167,7 @@ DIM_COIN_CONTRACT = TableContract(
     ),
     primary_key=("coin_sk",),
     unique=(("coin_id",),),
-    defaults={"is_active": True, "first_seen_at": "load time", "last_updated_at": "load time"},
+    defaults={"is_active": True, "first_seen_at": LOAD_TIME, "last_updated_at": LOAD_TIME},
 )
 
 DIM_DATE_CONTRACT = TableContract(
@@ -195,7 +199,7 @@ FACT_CONTRACT = TableContract(
         ForeignKey("coin_sk", DIM_COIN, "coin_sk"),
         ForeignKey("date_sk", DIM_DATE, "date_sk"),
     ),
-    defaults={"loaded_at": "load time"},
+    defaults={"loaded_at": LOAD_TIME},
     cluster_by=("date_sk", "coin_sk"),
 )
 

@@ -25,6 +25,13 @@ def get_spark(app_name: str = "snapmart") -> SparkSession:
     )
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Stored hours and folders are those of UTC; a session in another zone would mix them up."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; silver and gold are kept in UTC")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
@@ -50,14 +57,38 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_scopes: list[list[str]] = []
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch area and return a scan of it.
 
     Cuts the lineage in a way that survives lost executors, and fixes the values
     of expressions such as the partition id that must not be evaluated twice. The
-    table stays for as long as the scratch area does.
+    table stays until the :func:`scratch_scope` around the call ends, or for as long as
+    the scratch area does.
     """
-    return _written(df, scratch_path(df.sparkSession, label))
+    path = scratch_path(df.sparkSession, label)
+    if _scopes:
+        _scopes[-1].append(path)
+    return _written(df, path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what :func:`materialise` writes within the block when the block ends.
+
+    Frames built in the block have to be used in it::
+
+        with scratch_scope(spark):
+            reports.dominance(fact, coins, n=None).write.parquet(target)
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
 
 
 @contextmanager

@@ -7,9 +7,9 @@ files, so it is the layout for bulk data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from snapmart.functions.temporal import padded_partition_parts
+from snapmart.functions.temporal import hour_number, padded_partition_parts
 from snapmart.schemas import CORRUPT, PARTITION_COLUMNS, envelope_schema
 
 LAYOUTS = ("documents", "lines")
@@ -25,12 +25,28 @@ def _options(layout: str) -> dict:
     return {"multiLine": layout == "documents", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def read_envelopes(spark: SparkSession, path: str, layout: str = "documents") -> DataFrame:
-    """All envelopes below ``path`` under a declared schema, damaged ones included."""
-    return (
-        spark.read.schema(envelope_schema()).options(**_options(layout))
-        .option("recursiveFileLookup", True).json(path)
-    )
+def read_envelopes(spark: SparkSession, path: str, layout: str = "documents",
+                   since=None, until=None) -> DataFrame:
+    """Envelopes below ``path`` under a declared schema, damaged ones included.
+
+    With ``since`` or ``until`` only the hour folders of ``[since, until)`` are read
+    (the hour of ``until`` only if it lies within it); ``path`` must then be laid out in
+    year/month/day/hour folders. Without either, any folder below ``path`` is read.
+    ``record_count`` is that of the envelope, which may be a part of a batch.
+    """
+    reader = spark.read.options(**_options(layout))
+    if since is None and until is None:
+        return reader.schema(envelope_schema()).option("recursiveFileLookup", True).json(path)
+    folders = [T.StructField(c, T.IntegerType()) for c in PARTITION_COLUMNS]
+    df = reader.schema(T.StructType([*envelope_schema(), *folders])).json(path)
+    y, m, d, h = (F.col(c) for c in PARTITION_COLUMNS)
+    folder = ((y * 100 + m) * 100 + d) * 100 + h
+    if since is not None:
+        df = df.filter(folder >= hour_number(F.lit(since).cast("timestamp")))
+    if until is not None:
+        last = F.lit(until).cast("timestamp") - F.expr("interval 1 microsecond")
+        df = df.filter(folder <= hour_number(last))
+    return df.drop(*PARTITION_COLUMNS)
 
 
 def stream_envelopes(spark: SparkSession, path: str, layout: str = "documents",
@@ -62,9 +78,10 @@ def explode_records(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def read_bronze(spark: SparkSession, path: str, layout: str = "documents") -> DataFrame:
-    """Records of every envelope below ``path``."""
-    return explode_records(read_envelopes(spark, path, layout))
+def read_bronze(spark: SparkSession, path: str, layout: str = "documents",
+                since=None, until=None) -> DataFrame:
+    """Records of the envelopes below ``path``; the bounds as in :func:`read_envelopes`."""
+    return explode_records(read_envelopes(spark, path, layout, since, until))
 
 
 def build_envelopes(records: DataFrame, source: str, max_records: int = 10_000) -> DataFrame:
@@ -105,7 +122,8 @@ def write_bronze(envelopes: DataFrame, path: str, layout: str = "documents",
                  mode: str = "append") -> None:
     """Write envelopes below ``path`` in zero-padded year/month/day/hour folders."""
     _check(layout)
-    writer = envelopes.write.mode(mode).partitionBy(*PARTITION_COLUMNS)
+    # One or few tasks per hour, so that an hour does not get a file from every task.
+    writer = envelopes.hint("rebalance", *PARTITION_COLUMNS).write.mode(mode).partitionBy(*PARTITION_COLUMNS)
     if layout == "documents":
         writer = writer.option("maxRecordsPerFile", 1)
     writer.json(path)

@@ -20,6 +20,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """Time of the last change, in seconds since 1970."""
+    fs, target = _locate(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, target = _locate(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []

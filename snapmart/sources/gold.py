@@ -7,10 +7,12 @@ grow, so they are appended to; the fact is partitioned by day.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapmart.schemas import CONTRACTS, DIM_COIN, DIM_DATE, FACT, FACT_CONTRACT, FACT_PARTITION
-from snapmart.sources.files import child_names, exists, remove
+from snapmart.sources.files import child_names, exists, modified, remove
 
 
 def stored_fact_schema() -> T.StructType:
@@ -47,17 +49,37 @@ class GoldStore:
     def fact(self) -> DataFrame:
         return self._read(self.path(FACT), stored_fact_schema())
 
+    def newest_fact(self) -> DataFrame:
+        """The fact's newest day, found in the names of its folders; no other file is opened."""
+        prefix = f"{FACT_PARTITION}="
+        days = sorted((n for n in child_names(self.spark, self.path(FACT)) if n.startswith(prefix)), reverse=True)
+        for day in days:
+            # A failed write may leave a folder without files.
+            if any(n.startswith("part-") for n in child_names(self.spark, f"{self.path(FACT)}/{day}")):
+                value = F.lit(day.removeprefix(prefix)).cast("date")
+                return self.fact().filter(F.col(FACT_PARTITION).eqNullSafe(value))
+        return self.fact()
+
     def tables(self) -> dict[str, DataFrame]:
         return {FACT: self.fact(), DIM_COIN: self.dim_coin(), DIM_DATE: self.dim_date()}
 
-    def replace_dim_coin(self, df: DataFrame, keep: int = 10) -> None:
-        """Write a new version and drop all but the newest ``keep``."""
+    def replace_dim_coin(self, df: DataFrame) -> None:
+        """Write a new version. Old ones stay until :meth:`drop_old_versions`."""
         versions = self._versions(DIM_COIN)
         number = versions[-1] + 1 if versions else 1
         # A folder left behind by a failed write has no marker and is overwritten.
         df.write.mode("overwrite").parquet(f"{self.path(DIM_COIN)}/v={number}")
-        for old in [*versions, number][:-keep]:
-            remove(self.spark, f"{self.path(DIM_COIN)}/v={old}")
+
+    def drop_old_versions(self, hours: float = 24.0) -> int:
+        """Remove versions of the entity dimension replaced more than ``hours`` ago, which no
+        report that began since can be reading. Returns how many."""
+        base, limit = self.path(DIM_COIN), time.time() - hours * 3600
+        versions = self._versions(DIM_COIN)
+        old = [a for a, b in zip(versions, versions[1:])
+               if modified(self.spark, f"{base}/v={b}/_SUCCESS") < limit]
+        for number in old:
+            remove(self.spark, f"{base}/v={number}")
+        return len(old)
 
     def append_dim_date(self, df: DataFrame) -> None:
         # Most loads bring no new hour, and even an empty write would add a file.

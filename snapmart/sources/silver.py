@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapmart.functions.temporal import partition_parts
+from snapmart.functions.temporal import hour_number
 from snapmart.schemas import PARTITION_COLUMNS, silver_schema
-from snapmart.session import materialised
+from snapmart.session import materialised, require_utc
 from snapmart.sources.files import exists
 
 
@@ -19,6 +19,7 @@ def _laid_out(df: DataFrame) -> DataFrame:
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite",
                  touched_partitions_only: bool = False) -> None:
     """Write silver; ``touched_partitions_only`` replaces just the hours present in ``df``."""
+    require_utc(df.sparkSession)
     writer = _laid_out(df).write.mode(mode).partitionBy(*PARTITION_COLUMNS)
     if touched_partitions_only:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -35,10 +36,10 @@ def read_silver(spark: SparkSession, path: str, since=None, until=None) -> DataF
     stamp = F.col("batch_ingested_at")
     if since is not None:
         bound = F.lit(since).cast("timestamp")
-        df = df.filter((stamp >= bound) & (_folder_hour() >= _hour_number(bound)))
+        df = df.filter((stamp >= bound) & (_folder_hour() >= hour_number(bound)))
     if until is not None:
         bound = F.lit(until).cast("timestamp")
-        df = df.filter((stamp < bound) & (_folder_hour() <= _hour_number(bound)))
+        df = df.filter((stamp < bound) & (_folder_hour() <= hour_number(bound)))
     return df
 
 
@@ -47,30 +48,19 @@ def _folder_hour():
     return ((y * 100 + m) * 100 + d) * 100 + h
 
 
-def _hour_number(ts):
-    p = partition_parts(ts)
-    return ((p["year"] * 100 + p["month"]) * 100 + p["day"]) * 100 + p["hour"]
-
-
-def stored_rows_in_hours_of(df: DataFrame, path: str) -> DataFrame | None:
-    """Stored silver rows whose hour also occurs in ``df``; None if nothing is stored.
+def append_silver(df: DataFrame, path: str, keys=("ingestion_id", "coin_id")) -> None:
+    """Append the rows whose key is not stored yet, so a repeated run adds nothing.
 
-    The hours are looked up first (at most one value per calendar hour), so only
-    their folders are scanned.
+    Stored keys are looked up in all of silver, as a snapshot may be delivered again
+    with another batch time or with none; only the key columns are read for that. A
+    NULL in a key is a value like any other.
     """
     spark = df.sparkSession
-    if not exists(spark, path):
-        return None
-    hours = df.select(_folder_hour().alias("hour")).filter("hour IS NOT NULL").distinct()
-    return read_silver(spark, path).filter(_folder_hour().isin([row.hour for row in hours.collect()]))
-
-
-def append_silver(df: DataFrame, path: str, keys=("ingestion_id", "coin_id")) -> None:
-    """Append the rows whose key is not stored yet, so a repeated run adds nothing."""
+    require_utc(spark)
     with materialised(df, "append") as rows:
-        stored = stored_rows_in_hours_of(rows, path)
-        if stored is not None:
-            known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+        if exists(spark, path):
+            known = read_silver(spark, path).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
             match = [F.equal_null(F.col(k), F.col(f"_known_{k}")) for k in keys]
-            rows = rows.join(known, match, "left_anti")
-        write_silver(rows, path, mode="append")
+            write_silver(rows.join(known, match, "left_anti"), path, mode="append")
+        else:
+            write_silver(rows, path, mode="append")

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from snapmart.operators.dedup import drop_copies
 from snapmart.operators.records import flatten_and_cast, keep_valid
 from snapmart.plans.gold import load_gold
 from snapmart.plans.silver import SNAPSHOT_KEY, deduplicate
-from snapmart.schemas import PARTITION_COLUMNS, silver_schema
-from snapmart.session import materialised
+from snapmart.schemas import silver_schema
 from snapmart.sources.bronze import explode_records, stream_envelopes
-from snapmart.sources.silver import stored_rows_in_hours_of, write_silver
+from snapmart.sources.silver import append_silver, read_silver, write_silver
 
 
 def stream_rows(spark: SparkSession, bronze_path: str, layout: str = "documents",
@@ -21,47 +21,44 @@ def stream_rows(spark: SparkSession, bronze_path: str, layout: str = "documents"
     return explode_records(envelopes).transform(flatten_and_cast).transform(keep_valid)
 
 
-def first_seen(rows: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Drop repeats of a snapshot that arrive within ``delay`` of the first one."""
-    return rows.withWatermark("batch_ingested_at", delay).dropDuplicatesWithinWatermark(list(SNAPSHOT_KEY))
-
-
 def _started(writer, checkpoint: str, trigger: dict) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def start_first_seen(rows: DataFrame, silver_path: str, checkpoint: str, delay: str = "2 hours",
-                     **trigger) -> StreamingQuery:
-    """Append each snapshot once, as first seen; state is bounded by ``delay``."""
-    writer = (
-        first_seen(rows, delay).writeStream.format("parquet").outputMode("append")
-        .partitionBy(*PARTITION_COLUMNS).option("path", silver_path)
-    )
+def start_first_seen(rows: DataFrame, silver_path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append each snapshot once, as first seen, however late it or a repeat arrives.
+
+    What is stored is the only state. Batch jobs may append to the same folder.
+    """
+    writer = rows.writeStream.foreachBatch(lambda batch, _: append_silver(
+        drop_copies(batch, SNAPSHOT_KEY), silver_path, SNAPSHOT_KEY))
     return _started(writer, checkpoint, trigger or {"processingTime": "1 minute"})
 
 
-def merge_into_silver(batch: DataFrame, silver_path: str) -> None:
-    """Merge valid rows into silver, keeping the latest per snapshot, whenever they arrive.
+def start_keep_latest(rows: DataFrame, versions_path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append every batch's latest valid row per snapshot to ``versions_path``.
 
-    Only the hours present in ``batch`` are rewritten. Repeating a batch changes
-    nothing.
+    Files are only added, so another stream may read the folder meanwhile, and what a
+    batch writes does not grow with what is stored. Read it with :func:`read_latest`,
+    and compact hours that are closed with :func:`compact`. A batch that is written
+    twice changes nothing.
     """
-    batch = batch.persist()
-    stored = stored_rows_in_hours_of(batch, silver_path)
-    both = batch if stored is None else stored.unionByName(batch)
-    with materialised(deduplicate(both), "merge") as merged:
-        batch.unpersist()
-        write_silver(merged, silver_path, touched_partitions_only=True)
+    writer = rows.writeStream.foreachBatch(lambda batch, _: write_silver(
+        deduplicate(batch), versions_path, mode="append"))
+    return _started(writer, checkpoint, trigger or {"processingTime": "1 minute"})
+
 
+def read_latest(spark: SparkSession, versions_path: str, since=None, until=None) -> DataFrame:
+    """The latest valid row per snapshot out of all versions, however late they arrived."""
+    return deduplicate(read_silver(spark, versions_path, since, until))
 
-def start_keep_latest(rows: DataFrame, silver_path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep, per snapshot, the latest valid row, however late it arrives.
 
-    Rows are checked before they are deduplicated here, so the outcome does not
-    depend on how the stream is cut into batches.
+def compact(spark: SparkSession, versions_path: str, silver_path: str, since=None, until=None) -> None:
+    """Write the latest rows of a time range to ``silver_path``, replacing the hours touched.
+
+    Versions stay where they are. A range has to begin and end on the hour.
     """
-    writer = rows.writeStream.foreachBatch(lambda batch, _: merge_into_silver(batch, silver_path))
-    return _started(writer, checkpoint, trigger or {"processingTime": "1 minute"})
+    write_silver(read_latest(spark, versions_path, since, until), silver_path, touched_partitions_only=True)
 
 
 def stream_silver(spark: SparkSession, silver_path: str) -> DataFrame:

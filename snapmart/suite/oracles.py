@@ -117,12 +117,16 @@ def rounded(x: str, digits: int) -> str:
             f"THEN sign({x}) * floor(abs({x}) * {scale} + 0.5) / {scale} ELSE {x} END")
 
 
+def significant(x: str, digits: int = 10) -> str:
+    return f"CAST(printf('%.{digits - 1}e', ({x}) * 1.000000000003::DOUBLE) AS DOUBLE)"
+
+
 def total(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(28,8))) AS DOUBLE)"
+    return significant(f"sum({x})")
 
 
 def mean(x: str) -> str:
-    return f"({total(x)} / nullif(count({x}), 0))"
+    return significant(f"avg({x})")
 
 
 def _calendar(ts: str) -> str:
@@ -290,6 +294,21 @@ _CONTRACTS = _GOLD + " UNION ALL ".join([
       for k, c in _PROMISES["fact_market_snapshot"]],
 ])
 
+_BULLISH = "(SELECT count(*) FROM fact WHERE is_bullish_24h)"
+_CLICKS = "(SELECT count(*) FROM coins WHERE symbol = 'click')"
+_WEEKENDS = "(SELECT count(*) FROM hours WHERE is_weekend)"
+_EXPECTED = {
+    ("fact_market_snapshot", "NOT_NULL", "current_price"): _BULLISH,
+    ("fact_market_snapshot", "PRIMARY_KEY", "snapshot_id"): _BULLISH,
+    ("fact_market_snapshot", "FOREIGN_KEY", "coin_sk"): _BULLISH,
+    ("fact_market_snapshot", "FOREIGN_KEY", "date_sk"): _BULLISH,
+    ("dim_coin", "NOT_NULL", "name"): _CLICKS, ("dim_coin", "PRIMARY_KEY", "coin_sk"): _CLICKS,
+    ("dim_coin", "UNIQUE", "coin_id"): _CLICKS, ("dim_date", "NOT_NULL", "day_name"): _WEEKENDS,
+    ("dim_date", "PRIMARY_KEY", "date_sk"): _WEEKENDS, ("dim_date", "UNIQUE", "snapshot_hour"): _WEEKENDS,
+}
+_BROKEN = _GOLD + " UNION ALL ".join(
+    _promise(t, k, c, _EXPECTED.get((t, k, c), "0")) for t, kinds in _PROMISES.items() for k, c in kinds)
+
 _ORPHANS = _LINES + " UNION ALL ".join(
     [_promise("fact_market_snapshot", "NOT_NULL", c, f"(SELECT count(*) FROM fact WHERE {c} IS NULL)")
      for c in ("snapshot_id", "coin_sk", "date_sk", "current_price", "batch_ingested_at")]
@@ -359,14 +378,14 @@ SELECT name, symbol, market_cap, dominance_pct,
   CAST(sum(CAST(dominance_pct AS DECIMAL(20,4))) OVER (
     ORDER BY market_cap DESC NULLS LAST, coin_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS cumulative_dominance_pct
 FROM (SELECT *, {rounded('market_cap / total * 100', 4)} AS dominance_pct
-      FROM latest, (SELECT {total('market_cap')} AS total FROM latest))"""
+      FROM latest, (SELECT sum(market_cap) AS total FROM latest))"""
 
 _WEEKEND = f"""
-SELECT name, symbol, avg_weekend_volume, avg_weekday_volume,
-  {rounded('(avg_weekend_volume / nullif(avg_weekday_volume, 0) - 1) * 100', 2)} AS weekend_vs_weekday_pct_diff
+SELECT name, symbol, {significant('weekend')} AS avg_weekend_volume, {significant('weekday')} AS avg_weekday_volume,
+  {rounded('(weekend / nullif(weekday, 0) - 1) * 100', 2)} AS weekend_vs_weekday_pct_diff
 FROM (
-  SELECT name, symbol, {mean('CASE WHEN is_weekend THEN total_volume END')} AS avg_weekend_volume,
-    {mean('CASE WHEN NOT is_weekend THEN total_volume END')} AS avg_weekday_volume
+  SELECT name, symbol, avg(CASE WHEN is_weekend THEN total_volume END) AS weekend,
+    avg(CASE WHEN NOT is_weekend THEN total_volume END) AS weekday
   FROM fact GROUP BY name, symbol HAVING count(*) >= 10)
 ORDER BY abs(weekend_vs_weekday_pct_diff) DESC NULLS LAST, name, symbol LIMIT 20"""
 
@@ -412,6 +431,12 @@ def oracles() -> dict[str, str]:
               strftime(batch_ingested_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS ingested_at,
               count(*) AS record_count, count(*) AS data_records, 0 AS corrupt_envelopes
             FROM flat GROUP BY ingestion_id, batch_ingested_at""",
+        "bronze_since_until": _FLAT + """
+            SELECT ingestion_id, coin_id, symbol, current_price, last_updated FROM flat
+            WHERE batch_ingested_at >= TIMESTAMP '2024-01-10' AND batch_ingested_at < TIMESTAMP '2024-01-20 12:00:00'""",
+        "bronze_damaged": _DEDUPED + f"""
+            SELECT count(*) AS seen, count(*) FILTER ({VALID}) AS kept, TRUE AS all_damage_counted
+            FROM deduped WHERE ingestion_id NOT LIKE '%06'""",
         "bronze_to_silver": _SILVER + "SELECT * FROM silver",
         "record_fields": _FLAT + """
             SELECT CASE WHEN k <> 98 THEN CAST(user_id AS VARCHAR) END AS coin_id, 'user-' || user_id AS name,
@@ -502,7 +527,19 @@ def oracles() -> dict[str, str]:
               total_volume, last_updated
             FROM derived WHERE {VALID}
             QUALIFY row_number() OVER (PARTITION BY ingestion_id, coin_id ORDER BY last_updated DESC) = 1""",
-        "quarantined_rows": _FLAT + "SELECT coin_id, ingestion_id, last_updated FROM flat WHERE coin_id IS NULL",
+        "quarantined_rows": _FLAT + """
+            SELECT coin_id, ingestion_id, symbol, current_price, last_updated FROM flat
+            WHERE coin_id IS NULL OR symbol IS NULL OR current_price IS NULL""",
+        "quarantine_reasons": _FLAT + " UNION ALL ".join(
+            f"SELECT '{c}' AS missing_column, count(*) FILTER ({c} IS NULL) AS rows FROM flat"
+            for c in ("coin_id", "ingestion_id", "batch_ingested_at", "symbol", "name", "current_price")),
+        "fact_redelivered": _GOLD + """
+            SELECT snapshot_id, date_sk, batch_ingested_at, current_price,
+              CAST(batch_ingested_at AS DATE) AS snapshot_date FROM fact""",
+        "contract_violations_broken": _BROKEN,
+        "small_amounts": f"""
+            SELECT event_type, {total('value * 1e-10')} AS total_amount, {mean('value * 1e-10')} AS mean_amount
+            FROM events GROUP BY event_type""",
         "silver_to_gold": _COUNTS,
         "table_counts": _COUNTS,
         "contract_violations": _CONTRACTS,
@@ -526,15 +563,14 @@ def oracles() -> dict[str, str]:
         "freshness_monitor_stale": _GOLD + _freshness("91 minutes"),
         "marketcap_rank": _GOLD + _CAP_RANK + " ORDER BY rank, coin_id LIMIT 15",
         "marketcap_rank_all": _GOLD + _CAP_RANK,
-        "line_hourly_trend": _LINES + _trend("365 DAY", rounded(mean("price_change_pct_24h"), 6)),
+        "line_hourly_trend": _LINES + _trend("365 DAY", rounded("avg(price_change_pct_24h)", 6)),
         "line_weekend_weekday": _LINES + _WEEKEND,
         "line_rolling_average": _LINES + _rolling("TRUE"),
         "line_snapshot_change": _LINES + _change("symbol IN ('Brand#1', 'Brand#2', 'Brand#3')"),
         "line_top_volume": _LINES + _TOP_VOLUME,
         "line_freshness": _LINES + _freshness("2 hours"),
         "stream_first_seen": _DERIVED + f"""
-            SELECT ingestion_id, count(DISTINCT coin_id) AS snapshots, count(DISTINCT coin_id) AS entities
-            FROM derived WHERE {VALID} GROUP BY ingestion_id""",
+            SELECT DISTINCT ingestion_id, coin_id FROM derived WHERE {VALID}""",
         "stream_keep_latest": _DERIVED + f"""
             SELECT {_SNAPSHOT} FROM derived WHERE {VALID}
             QUALIFY row_number() OVER (PARTITION BY ingestion_id, coin_id ORDER BY last_updated DESC) = 1""",

@@ -19,8 +19,8 @@ from snapmart.plans import gold, reports
 from snapmart.plans.silver import (
     SNAPSHOT_KEY, deduplicate, run_bronze_to_silver, run_quality_on_silver,
 )
-from snapmart.schemas import CONTRACTS, FACT_PARTITION
-from snapmart.session import scratch_path
+from snapmart.schemas import CONTRACTS
+from snapmart.session import scratch_path, scratch_scope
 from snapmart.sources import bronze
 from snapmart.sources.gold import GoldStore
 from snapmart.sources.silver import append_silver, read_silver, write_silver
@@ -90,6 +90,31 @@ def bronze_to_silver(spark, sf_dir):
     return read_silver(spark, path)
 
 
+@query
+def bronze_since_until(spark, sf_dir):
+    """Records of a range of hour folders."""
+    path = _bronze_folder(spark, sf_dir, "lines")
+    return flatten_records(bronze.read_bronze(
+        spark, path, "lines", "2024-01-10", "2024-01-20 12:00:00")).select(
+        *SNAPSHOT_KEY, "symbol", "current_price", "last_updated")
+
+
+@query
+def bronze_damaged(spark, sf_dir):
+    """Counts of a run over envelopes of which those of two kinds of batch were cut short."""
+    path, cut = _bronze_folder(spark, sf_dir, "lines"), scratch_path(spark, "cut")
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    batch = F.get_json_object("value", "$.ingestion_id")
+    lines.select(
+        F.when(batch.endswith("06"), F.expr("substring(value, 1, 60)")).otherwise(F.col("value"))
+    ).write.text(cut)
+    counts = run_bronze_to_silver(spark, cut, scratch_path(spark, "silver"), "lines")
+    whole = lines.filter(batch.endswith("06")).count()
+    return spark.createDataFrame(
+        [(counts["seen"], counts["kept"], counts["damaged"] == whole)],
+        "seen bigint, kept bigint, all_damage_counted boolean")
+
+
 # --- Silver -------------------------------------------------------------------
 
 
@@ -235,7 +260,16 @@ def dq_summary_lines(spark, sf_dir):
 @query
 def dq_null_summary(spark, sf_dir):
     """Quick counts on rows that were never cleaned."""
-    return summaries.quality_summary(_flat(spark, sf_dir))
+    return significant(summaries.quality_summary(_flat(spark, sf_dir)), "avg_24h_change_pct")
+
+
+@query
+def small_amounts(spark, sf_dir):
+    """Sums and means of very small amounts per kind of event."""
+    events = adapter.table(spark, sf_dir, "events").withColumn("amount", F.col("value") * 1e-10)
+    return significant(events.groupBy("event_type").agg(
+        F.sum("amount").alias("total_amount"), F.avg("amount").alias("mean_amount")),
+        "total_amount", "mean_amount")
 
 
 @query
@@ -249,19 +283,24 @@ def null_counts(spark, sf_dir):
 @query
 def dataset_summary(spark, sf_dir):
     """The summary dashboard."""
-    return summaries.dataset_summary(adapter.stored_silver(spark, sf_dir))
+    return significant(
+        summaries.dataset_summary(adapter.stored_silver(spark, sf_dir)),
+        "avg_price_usd", "total_market_cap", "total_volume_usd")
 
 
 @query
 def change_distribution(spark, sf_dir):
     """Rows per bucket of price change."""
-    return summaries.change_distribution(adapter.stored_silver(spark, sf_dir))
+    return significant(
+        summaries.change_distribution(adapter.stored_silver(spark, sf_dir)), "avg_pct_change")
 
 
 @query
 def change_distribution_missing_lowest(spark, sf_dir):
     """Rows per bucket, missing changes counted in the last one."""
-    return summaries.change_distribution(adapter.stored_silver(spark, sf_dir), missing_as_lowest=True)
+    return significant(
+        summaries.change_distribution(adapter.stored_silver(spark, sf_dir), missing_as_lowest=True),
+        "avg_pct_change")
 
 
 @query
@@ -347,7 +386,24 @@ def fact_load_duplicates(spark, sf_dir):
 def quarantined_rows(spark, sf_dir):
     """Staging rows that cannot become facts."""
     return gold.quarantined(gold.stage(_flat(spark, sf_dir))).select(
-        "coin_id", "ingestion_id", "last_updated")
+        "coin_id", "ingestion_id", "symbol", "current_price", "last_updated")
+
+
+@query
+def quarantine_reasons(spark, sf_dir):
+    """How many staged rows lack each value that gold needs."""
+    return gold.quarantine_reasons(gold.stage(_flat(spark, sf_dir)))
+
+
+@query
+def fact_redelivered(spark, sf_dir):
+    """Fact after all snapshots came again with a batch time a day later: as after the first load."""
+    root, rows = scratch_path(spark, "gold"), adapter.stored_silver(spark, sf_dir)
+    later = F.col("batch_ingested_at") + F.expr("interval 1 day")
+    gold.load_gold(rows, root, adapter.loaded_at())
+    gold.load_gold(rows.withColumn("batch_ingested_at", later), root, adapter.loaded_at())
+    return GoldStore(spark, root).fact().select(
+        "snapshot_id", "date_sk", "batch_ingested_at", "current_price", "snapshot_date")
 
 
 @query
@@ -374,6 +430,29 @@ def contract_violations(spark, sf_dir):
     return found
 
 
+@query
+def contract_violations_broken(spark, sf_dir):
+    """The same checks on gold tables with rows that break every kind of promise."""
+    tables = adapter.stored_gold(spark, sf_dir).tables()
+    fact, coins, hours = (tables[n] for n in ("fact_market_snapshot", "dim_coin", "dim_date"))
+    bullish = fact.filter("is_bullish_24h")
+    broken = {
+        # Copies without a price, of an entity and an hour that do not exist.
+        "fact_market_snapshot": fact.unionByName(bullish.withColumns({
+            "current_price": F.lit(None).cast("double"), "coin_sk": F.lit(-1).cast("bigint"),
+            "date_sk": F.lit(-1).cast("bigint")})),
+        "dim_coin": coins.unionByName(coins.filter("symbol = 'click'").withColumn(
+            "name", F.lit(None).cast("string"))),
+        "dim_date": hours.unionByName(hours.filter("is_weekend").withColumn(
+            "day_name", F.lit(None).cast("string"))),
+    }
+    found = None
+    for name, contract in CONTRACTS.items():
+        rows = contracts.contract_violations(broken[name], contract, broken)
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query
 def fact_orphans(spark, sf_dir):
     """Violations in a fact made of line items checked against a part of its dimensions."""
@@ -390,9 +469,32 @@ def _star(spark, sf_dir):
     return store.fact(), store.dim_coin(), store.dim_date()
 
 
+def _newest(spark, sf_dir):
+    store = adapter.stored_gold(spark, sf_dir)
+    return store.newest_fact(), store.dim_coin()
+
+
 def _after_last(fact, interval):
-    day = FACT_PARTITION if FACT_PARTITION in fact.columns else None
-    return newest_time(fact, day=day) + F.expr(f"interval {interval}")
+    return newest_time(fact) + F.expr(f"interval {interval}")
+
+
+def significant(df: DataFrame, *columns: str, digits: int = 10) -> DataFrame:
+    """Sums and means to so many digits: the last ones depend on the order of adding up.
+
+    The factor moves amounts off the middle between two roundings, where they often lie.
+    """
+    return df.withColumns({
+        c: F.when(F.col(c).isNotNull(), F.format_string(
+            f"%.{digits - 1}e", F.col(c) * 1.000000000003).try_cast("double")) for c in columns})
+
+
+def _stored(spark, build):
+    """The rows of a report in a table of their own; what it needed on the way is removed."""
+    path = scratch_path(spark, "report")
+    with scratch_scope(spark):
+        rows = build()
+        rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 SYMBOLS = ("click", "view", "purchase")
@@ -400,27 +502,30 @@ SYMBOLS = ("click", "view", "purchase")
 
 @query
 def top_volume(spark, sf_dir):
-    fact, coins, _ = _star(spark, sf_dir)
+    fact, coins = _newest(spark, sf_dir)
     return reports.top_volume(fact, coins)
 
 
 @query
 def volatility_rank(spark, sf_dir):
-    fact, coins, _ = _star(spark, sf_dir)
+    fact, coins = _newest(spark, sf_dir)
     return reports.volatility_rank(fact, coins)
 
 
 @query
 def volatility_rank_all(spark, sf_dir):
     """The ranking over the whole newest batch."""
-    fact, coins, _ = _star(spark, sf_dir)
+    fact, coins = _newest(spark, sf_dir)
     return reports.volatility_rank(fact, coins, n=None)
 
 
 @query
 def hourly_trend(spark, sf_dir):
     fact, _, hours = _star(spark, sf_dir)
-    return reports.hourly_trend(fact, hours, _after_last(fact, "1 hour"))
+    newest, _ = _newest(spark, sf_dir)
+    return significant(
+        reports.hourly_trend(fact, hours, _after_last(newest, "1 hour")),
+        "total_market_cap_usd", "total_volume_usd", "avg_price_change_pct")
 
 
 @query
@@ -433,32 +538,33 @@ def snapshot_change(spark, sf_dir):
 def snapshot_change_all(spark, sf_dir):
     """Previous and next price of every snapshot of every entity."""
     fact, coins, _ = _star(spark, sf_dir)
-    return reports.snapshot_change(fact, coins, None, include_next=True)
+    return reports.snapshot_change(fact, coins, None, include_next=True, sliced=False)
 
 
 @query
 def snapshot_change_sliced(spark, sf_dir):
     """The same, on the path for entities too large for one task."""
     fact, coins, _ = _star(spark, sf_dir)
-    return reports.snapshot_change(fact, coins, None, include_next=True, max_group_rows=10)
+    return _stored(spark, lambda: reports.snapshot_change(fact, coins, None, include_next=True))
 
 
 @query
 def dominance(spark, sf_dir):
-    fact, coins, _ = _star(spark, sf_dir)
+    fact, coins = _newest(spark, sf_dir)
     return reports.dominance(fact, coins)
 
 
 @query
 def dominance_all(spark, sf_dir):
     """Shares and running sum over the whole newest batch."""
-    fact, coins, _ = _star(spark, sf_dir)
-    return reports.dominance(fact, coins, n=None)
+    fact, coins = _newest(spark, sf_dir)
+    return _stored(spark, lambda: reports.dominance(fact, coins, n=None))
 
 
 @query
 def weekend_weekday(spark, sf_dir):
-    return reports.weekend_weekday(*_star(spark, sf_dir))
+    return significant(
+        reports.weekend_weekday(*_star(spark, sf_dir)), "avg_weekend_volume", "avg_weekday_volume")
 
 
 @query
@@ -471,7 +577,7 @@ def rolling_average(spark, sf_dir):
 def rolling_average_sliced(spark, sf_dir):
     """The same over all entities, on the path for entities too large for one task."""
     fact, coins, _ = _star(spark, sf_dir)
-    return reports.rolling_average(fact, coins, None, max_group_rows=10)
+    return _stored(spark, lambda: reports.rolling_average(fact, coins, None))
 
 
 @query
@@ -488,14 +594,14 @@ def freshness_monitor_stale(spark, sf_dir):
 
 @query
 def marketcap_rank(spark, sf_dir):
-    fact, coins, _ = _star(spark, sf_dir)
+    fact, coins = _newest(spark, sf_dir)
     return reports.market_cap_rank(fact, coins)
 
 
 @query
 def marketcap_rank_all(spark, sf_dir):
     """The ranking over the whole newest batch."""
-    fact, coins, _ = _star(spark, sf_dir)
+    fact, coins = _newest(spark, sf_dir)
     return reports.market_cap_rank(fact, coins, n=None)
 
 
@@ -507,13 +613,15 @@ def line_hourly_trend(spark, sf_dir):
     """Totals per shipping day over the last year."""
     fact, _, days = adapter.line_items(spark, sf_dir)
     trend = reports.hourly_trend(fact, days, _after_last(fact, "1 hour"), days=365)
-    return trend.withColumn("avg_price_change_pct", round_half_away(F.col("avg_price_change_pct"), 6))
+    rounded = trend.withColumn("avg_price_change_pct", round_half_away(F.col("avg_price_change_pct"), 6))
+    return significant(rounded, "total_market_cap_usd", "total_volume_usd")
 
 
 @query
 def line_weekend_weekday(spark, sf_dir):
     """Mean quantity on weekends against weekdays per part name and brand."""
-    return reports.weekend_weekday(*adapter.line_items(spark, sf_dir))
+    return significant(
+        reports.weekend_weekday(*adapter.line_items(spark, sf_dir)), "avg_weekend_volume", "avg_weekday_volume")
 
 
 @query
@@ -554,13 +662,11 @@ def _drain(stream):
 
 @query
 def stream_first_seen(spark, sf_dir):
-    """Bronze folder streamed to silver, repeats dropped by watermark."""
+    """Bronze folder streamed to silver in several batches, repeats dropped."""
     source, target = _bronze_folder(spark, sf_dir, "lines"), scratch_path(spark, "stream")
-    rows = ingest.stream_rows(spark, source, "lines")
-    _drain(ingest.start_first_seen(
-        rows, target, scratch_path(spark, "progress"), delay="40 days", availableNow=True))
-    return read_silver(spark, target).groupBy("ingestion_id").agg(
-        F.count("*").alias("snapshots"), F.count_distinct("coin_id").alias("entities"))
+    rows = ingest.stream_rows(spark, source, "lines", max_files_per_trigger=60)
+    _drain(ingest.start_first_seen(rows, target, scratch_path(spark, "progress"), availableNow=True))
+    return read_silver(spark, target).select(*SNAPSHOT_KEY)
 
 
 @query
@@ -570,7 +676,7 @@ def stream_keep_latest(spark, sf_dir):
     _drain(ingest.start_keep_latest(
         ingest.stream_rows(spark, source, "lines", max_files_per_trigger=60), target,
         scratch_path(spark, "progress"), availableNow=True))
-    return read_silver(spark, target).select(
+    return ingest.read_latest(spark, target).select(
         *SNAPSHOT_KEY, "symbol", "current_price", "total_volume", "last_updated")
 
 
@@ -612,4 +718,4 @@ def neighbours_of_orders(spark, sf_dir):
     return over_history(
         orders, ["o_custkey"], ["o_orderdate", "o_orderkey"],
         lambda w: {"prev_total": F.lag("o_totalprice").over(w), "next_total": F.lead("o_totalprice").over(w)},
-        back=1, ahead=1, max_group_rows=20)
+        back=1, ahead=1)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmart.functions import (
-    change_bucket, change_bucket_index, exact_avg, exact_sum, freshness_status, greatest_or_zero,
+    change_bucket, change_bucket_index, freshness_status, greatest_or_zero,
     hour_key, minutes_between_boundaries, percent_of, positive_ratio, round_half_away,
 )
 
@@ -42,38 +42,6 @@ def test_greatest_or_zero(spark):
     assert list(row) == [0.0, 2.0, 0.0, 3.0]
 
 
-def sums(spark, values):
-    df = spark.createDataFrame([(v,) for v in values], "x double")
-    return df.agg(exact_sum(F.col("x")), exact_avg(F.col("x")), F.sum("x")).first()
-
-
-def test_exact_sum_does_not_depend_on_order(spark):
-    rng = random.Random(7)
-    values = [round(rng.uniform(-1e9, 1e9), 2) for _ in range(5000)]
-    cents = sum(round(v * 100) for v in values)
-    results = set()
-    for _ in range(3):
-        rng.shuffle(values)
-        results.add(sums(spark, values)[0])
-    assert results == {cents / 100}
-
-
-def test_exact_sum_small_and_negative_amounts(spark):
-    assert sums(spark, [-1.5, 0.00000001, None])[0] == -1.49999999
-    assert sums(spark, [-1.5, -2.25, 0.75])[:2] == (-3.0, -1.0)
-
-
-def test_exact_sum_falls_back(spark):
-    assert sums(spark, [None, None])[:2] == (None, None)
-    assert sums(spark, [])[0] is None
-    assert math.isnan(sums(spark, [1.0, float("nan")])[0])
-    assert sums(spark, [1.0, float("inf")])[0] == math.inf
-    large = sums(spark, [1e30, 2e30])
-    assert large[0] == large[2]
-    many = sums(spark, [5e18, 5e18, 1.5])
-    assert many[0] == many[2]
-
-
 def test_minutes_count_boundaries(spark):
     def minutes(a, b):
         return one(spark, minutes_between_boundaries(

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from samples import record, silver_of
@@ -92,14 +93,6 @@ def test_unfinished_version_is_ignored(spark, scratch):
     assert store.dim_coin().count() == 3
 
 
-def test_old_versions_are_dropped(spark, scratch):
-    store = GoldStore(spark, scratch)
-    for _ in range(4):
-        store.replace_dim_coin(store.dim_coin(), keep=2)
-    kept = [n for n in os.listdir(store.path("dim_coin")) if n.startswith("v=")]
-    assert sorted(kept) == ["v=3", "v=4"]
-
-
 def test_second_load_adds_no_date_file(spark, scratch):
     _, store = loaded(spark, scratch, first_load(spark), "2024-07-01")
     before = sorted(os.listdir(store.path("dim_date")))
@@ -175,7 +168,7 @@ def test_contract_violations(spark, scratch):
 
 def test_conform_fills_defaults(spark):
     row = conform(spark.createDataFrame([("x",)], "coin_id string"), DIM_COIN_CONTRACT,
-                  {"is_active": F.lit(True)}).first()
+                  F.lit("2024-01-01").cast("timestamp")).first()
     assert row.coin_id == "x" and row.is_active is True and row.ath is None and len(row) == 14
 
 
@@ -184,10 +177,48 @@ def test_generic_sink(spark, scratch):
     assert spark.read.csv(f"{scratch}/out", header=True).count() == 3
 
 
-def test_fact_is_compared_with_staged_days_only(spark, scratch):
-    _, store = loaded(spark, scratch, second_load(spark), "2024-07-01")
-    other = silver_of(spark, [("b9", "2024-06-20T01:00:00Z", record(id="aa"))])
-    plan = gold._facts_of_staged_days(store.fact(), gold.stage(other))._jdf.queryExecution().executedPlan().toString()
-    assert "snapshot_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    loaded(spark, scratch, other, "2024-07-02")
-    assert store.fact().count() == 5
+def test_snapshot_redelivered_across_midnight_is_one_fact(spark, scratch):
+    for at_time, when in (("2024-01-01T23:59:00Z", "2024-07-01"), ("2024-01-02T00:01:00Z", "2024-07-02")):
+        _, store = loaded(spark, scratch, silver_of(spark, [("b1", at_time, record(id="aa"))]), when)
+    row, = store.fact().collect()
+    assert row.snapshot_id == "aa_b1" and str(row.snapshot_date) == "2024-01-01"
+    tables = store.tables()
+    assert contract_violations(store.fact(), FACT_CONTRACT, tables).filter("violations > 0").count() == 0
+
+
+def test_rows_that_would_break_a_contract_are_quarantined(spark, scratch):
+    rows = silver_of(spark, [
+        ("b1", "2024-06-15T10:00:00Z", record()), ("b1", "2024-06-15T10:00:00Z", record(id="bb", name=None)),
+        ("b1", "2024-06-15T10:00:00Z", record(id="cc", current_price=None, symbol=None))])
+    outcome, store = loaded(spark, scratch, rows, "2024-07-01")
+    assert outcome == {"staged": 3, "quarantined": 2}
+    assert store.fact().count() == 1 and store.dim_coin().count() == 1
+    reasons = {r.missing_column: r.rows for r in gold.quarantine_reasons(gold.stage(rows)).collect()}
+    assert reasons == {"coin_id": 0, "ingestion_id": 0, "batch_ingested_at": 0, "symbol": 1, "name": 1,
+                       "current_price": 1}
+
+
+def test_newest_fact_opens_one_folder(spark, scratch):
+    days = [f"2024-06-{d:02d}T10:00:00Z" for d in range(10, 15)]
+    _, store = loaded(spark, scratch, silver_of(spark, [(f"b{t}", t, record()) for t in days]), "2024-07-01")
+    newest = store.newest_fact()
+    assert [str(r.snapshot_date) for r in newest.collect()] == ["2024-06-14"]
+    assert len(newest.inputFiles()) >= 1 and len(newest.select("_metadata.file_path").distinct().collect()) == 1
+    assert "2024-06-14" in newest._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_old_versions_go_by_age(spark, scratch):
+    for day in ("2024-07-01", "2024-07-02", "2024-07-03"):
+        _, store = loaded(spark, scratch, second_load(spark), day)
+    assert store.drop_old_versions() == 0 and store.drop_old_versions(hours=-1) == 2
+    assert store.dim_coin().count() == 3
+
+
+def test_another_time_zone_is_refused(spark, scratch):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError):
+            loaded(spark, scratch, second_load(spark), "2024-07-01")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+

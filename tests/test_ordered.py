@@ -6,7 +6,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
-from snapmart.operators.ordered import group_sizes, over_history, rank_descending, running_total, top
+from snapmart.session import scratch_dir, scratch_scope
+from snapmart.sources.files import child_names
+from snapmart.operators.ordered import over_history, rank_descending, running_total, top
 
 RNG = random.Random(11)
 
@@ -31,8 +33,8 @@ def bag(df):
 @pytest.mark.parametrize("slices", [1, 3, 40, 700])
 def test_sliced_history_equals_plain_window(spark, slices):
     df = history(spark)
-    plain = over_history(df, ["k"], ["t", "id"], windows, back=4, ahead=1)
-    sliced = over_history(df, ["k"], ["t", "id"], windows, back=4, ahead=1, max_group_rows=50, slices=slices)
+    plain = over_history(df, ["k"], ["t", "id"], windows, back=4, ahead=1, sliced=False)
+    sliced = over_history(df, ["k"], ["t", "id"], windows, back=4, ahead=1, slices=slices)
     assert sliced.columns == plain.columns
     assert bag(sliced) == bag(plain)
 
@@ -40,22 +42,26 @@ def test_sliced_history_equals_plain_window(spark, slices):
 def test_slices_shorter_than_the_frame(spark):
     df = history(spark, 60)
     frame = lambda w: {"s": F.sum("v").over(w.rowsBetween(-23, 0))}
-    plain = over_history(df, ["k"], ["t", "id"], frame, back=23)
-    assert bag(over_history(df, ["k"], ["t", "id"], frame, back=23, max_group_rows=5, slices=30)) == bag(plain)
+    plain = over_history(df, ["k"], ["t", "id"], frame, back=23, sliced=False)
+    assert bag(over_history(df, ["k"], ["t", "id"], frame, back=23, slices=30)) == bag(plain)
 
 
 def test_no_key_is_one_group(spark):
     df = history(spark, 200).withColumn("all", F.lit(1))
     lag = lambda w: {"p": F.lag("v").over(w)}
-    plain = over_history(df, ["all"], ["t", "id"], lag, back=1)
-    assert bag(over_history(df, ["all"], ["t", "id"], lag, back=1, max_group_rows=10, slices=9)) == bag(plain)
+    plain = over_history(df, ["all"], ["t", "id"], lag, back=1, sliced=False)
+    assert bag(over_history(df, ["all"], ["t", "id"], lag, back=1, slices=9)) == bag(plain)
 
 
-def test_large_group_check(spark):
+def test_scratch_is_removed(spark):
     df = history(spark)
-    largest, total = group_sizes(df, ["k"])
-    assert 600 <= largest < 700 and total == 900
-    assert group_sizes(df.limit(0), ["k"]) == (0, 0)
+    before = set(child_names(spark, scratch_dir(spark)))
+    with scratch_scope(spark):
+        over_history(df, ["k"], ["t", "id"], windows, back=4, ahead=1, slices=9).collect()
+        running_total(df, "id", [F.col("id")], "upto").collect()
+        assert set(child_names(spark, scratch_dir(spark))) > before
+    assert set(child_names(spark, scratch_dir(spark))) == before
+
 
 
 def test_running_total_equals_window(spark):
@@ -88,6 +94,6 @@ def test_top_is_a_partial_sort(spark):
 def test_random_histories(spark, rows, slices):
     df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "k int, t int, id int")
     frame = lambda w: {"p": F.lag("id").over(w), "n": F.lead("id").over(w)}
-    plain = over_history(df, ["k"], ["t", "id"], frame, back=1, ahead=1)
-    sliced = over_history(df, ["k"], ["t", "id"], frame, back=1, ahead=1, max_group_rows=0, slices=slices)
+    plain = over_history(df, ["k"], ["t", "id"], frame, back=1, ahead=1, sliced=False)
+    sliced = over_history(df, ["k"], ["t", "id"], frame, back=1, ahead=1, slices=slices)
     assert bag(sliced) == bag(plain)

@@ -113,3 +113,22 @@ def test_report(spark, scratch):
 def test_stale_data_is_singled_out(spark):
     results = q.run_checks(frame(spark, ROWS), [q.freshness("t", 1)], now())
     assert q.summary_lines(results, mark_stale=True).first().line.startswith("⚠️ STALE [FRESHNESS]")
+
+
+def test_percentages_of_the_configuration(spark):
+    rows = spark.createDataFrame([("a", 1.0)] * 9 + [(None, 1.0)], "coin_id string, x double")
+    declared = [{"column": "coin_id", "check": "not_null"}, {"column": "x", "check": "not_null"},
+                {"columns": ["x"], "check": "no_duplicates"}]
+    def passed(**limits):
+        return [r.passed for r in q.run_checks(rows, q.rules_from_config(declared, **limits)).collect()]
+    assert passed() == [False, True, False]
+    assert passed(max_null_pct_allowed=10.0, max_duplicate_pct_allowed=95.0) == [True, True, True]
+
+
+def test_report_as_text(spark):
+    rows = spark.createDataFrame([("a",), (None,)], "coin_id string")
+    results = q.run_checks(rows, q.rules_from_config([{"column": "coin_id", "check": "not_null"}]))
+    lines = [r.line for r in q.report_lines(
+        q.build_report(results, "silver")).orderBy("line_no").collect()]
+    assert lines[0].endswith("FAILED") and lines[2] == "Dataset: silver"
+    assert lines[4] == "Checks: 1, passed: 0, failed: 1" and lines[5].startswith("❌ [NOT_NULL] coin_id: ")

@@ -1,6 +1,5 @@
 import pytest
 from pyspark.sql import functions as F
-from pyspark.errors import PySparkException
 
 from snapmart.plans import reports
 
@@ -68,11 +67,11 @@ def test_dominance_with_zero_or_negative_total(spark):
     row = reports.dominance(zero, dim_coin(spark)).first()
     assert row.dominance_pct is None and row.cumulative_dominance_pct is None
     negative = fact(spark, [(1, NEW, 1.0, 1.0, -50.0, 1.0, 1.0, True), (2, NEW, 1.0, 1.0, 25.0, 1.0, 1.0, True)])
-    with pytest.raises(PySparkException):
-        reports.dominance(negative, dim_coin(spark)).collect()
-    everything = reports.dominance(negative, dim_coin(spark), n=None).collect()
-    assert [(r.name, r.dominance_pct, r.cumulative_dominance_pct) for r in everything] == [
-        ("Alpha", 200.0, 100.0), ("Beta", -100.0, -100.0)]
+    for n in (15, None):
+        rows = reports.dominance(negative, dim_coin(spark), n=n).collect()
+        assert [(r.name, r.dominance_pct, r.cumulative_dominance_pct) for r in rows] == [
+            ("Alpha", 200.0, 100.0), ("Beta", -100.0, -100.0)]
+
 
 
 def test_change_of_the_first_snapshot(spark):

@@ -5,6 +5,7 @@ from snapmart.operators.dedup import drop_copies, keep_latest, keep_latest_by_ag
 from snapmart.operators.records import keep_valid, rejected
 from snapmart.operators.summaries import change_distribution, quality_summary, silver_preview
 from snapmart.plans.silver import deduplicate, run_bronze_to_silver, to_silver
+from snapmart.sources.bronze import read_bronze
 from snapmart.sources.silver import append_silver, read_silver, write_silver
 
 AT = "2024-06-15T10:06:00Z"
@@ -76,7 +77,7 @@ def test_pipeline_counts_and_files(spark, scratch):
         record(), record(), record(id="bb", current_price=0), record(id="cc")]))
     put(bronze, "b.json", envelope("b2", "2024-06-16T00:06:00Z", [record()]))
     counts = run_bronze_to_silver(spark, bronze, silver)
-    assert counts == {"seen": 4, "kept": 3, "dropped": 1}
+    assert counts == {"seen": 4, "kept": 3, "dropped": 1, "damaged": 0}
     stored = read_silver(spark, silver)
     assert stored.count() == 3 and len(stored.columns) == 34
     assert read_silver(spark, silver, since="2024-06-16").count() == 1
@@ -107,13 +108,37 @@ def test_time_range_reads_only_its_folders(spark, scratch):
     assert "PartitionFilters: [" in scan and "hour" in scan.split("PartitionFilters: [")[1]
 
 
-def test_append_looks_only_at_touched_hours(spark, scratch):
+def test_append_adds_only_what_is_not_stored(spark, scratch):
     write_silver(to_silver(as_records(spark, [("b1", AT, record())])), scratch)
-    rows = [("b1", AT, record()), ("b1", AT, record(id="bb")), ("b2", "2024-06-15T12:00:00Z", record())]
+    rows = [("b1", AT, record()), ("b1", AT, record(id="bb")), ("b2", "2024-06-15T12:00:00Z", record()),
+            ("b1", "2024-06-15T13:00:00Z", record())]  # the last is the first one again
     append_silver(to_silver(as_records(spark, rows)), scratch)
     assert read_silver(spark, scratch).count() == 3
 
 
+def test_rows_without_batch_time_are_appended_once(spark, scratch):
+    rows = to_silver(as_records(spark, [("b1", AT, record()), ("b2", "soon", record())]))
+    append_silver(rows, scratch)
+    append_silver(rows, scratch)
+    assert read_silver(spark, scratch).count() == 2
+
+
+def test_range_of_bronze(spark, scratch):
+    bronze, silver = f"{scratch}/bronze", f"{scratch}/silver"
+    for h in (9, 10, 11):
+        put(f"{bronze}/year=2024/month=06/day=15/hour={h:02d}", "a.json",
+            envelope(f"b{h}", f"2024-06-15T{h:02d}:06:00Z", [record()]))
+    put(f"{bronze}/year=2024/month=06/day=15/hour=10", "cut.json", '{"ingestion_id": "b10", "data": [{"id"')
+    rows = read_bronze(spark, bronze, since="2024-06-15 10:00:00", until="2024-06-15 11:00:00")
+    assert [r.ingestion_id for r in rows.collect()] == ["b10"]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "hour" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    counts = run_bronze_to_silver(spark, bronze, silver, mode="refresh", since="2024-06-15 10:00:00")
+    assert (counts["kept"], counts["damaged"]) == (2, 1)
+    with pytest.raises(ValueError):
+        run_bronze_to_silver(spark, bronze, silver, since="2024-06-15")
+
+
 def test_summaries(spark):
     flat = silver_of(spark, [
         ("b", AT, record(id=None, price_change_percentage_24h=None)),

@@ -1,11 +1,12 @@
 from pyspark.sql import functions as F
 
-from samples import envelope, put, record
+from samples import as_records, envelope, put, record
 from snapmart.operators.records import flatten_and_cast, keep_valid
+from snapmart.plans.gold import load_gold
 from snapmart.plans.silver import deduplicate
 from snapmart.sources.bronze import read_bronze
 from snapmart.sources.gold import GoldStore
-from snapmart.sources.silver import read_silver
+from snapmart.sources.silver import append_silver, read_silver
 from snapmart.streaming import ingest
 
 T1, T2 = "2024-06-15T10:06:00Z", "2024-06-15T11:06:00Z"
@@ -34,15 +35,19 @@ def test_keep_latest_equals_batch_however_rows_arrive(spark, scratch):
          record(id="bb"), record(id="cc", current_price=0))
     land(bronze, "2.json", "b2", T2, record(current_price=5))
     run()
-    assert by_key(read_silver(spark, silver)) == {("b1", "aa"): 2.0, ("b1", "bb"): 10.5, ("b2", "aa"): 5.0}
+    assert by_key(ingest.read_latest(spark, silver)) == {("b1", "aa"): 2.0, ("b1", "bb"): 10.5, ("b2", "aa"): 5.0}
     land(bronze, "3.json", "b1", T1, record(current_price=1, last_updated="2024-06-15T10:01:00Z"))
     land(bronze, "4.json", "b1", T1, record(current_price=3, last_updated="2024-06-15T10:03:00Z"))
     run()
     batch = deduplicate(keep_valid(flatten_and_cast(read_bronze(spark, bronze))))
-    assert by_key(read_silver(spark, silver)) == by_key(batch)
-    assert by_key(batch)[("b1", "aa")] == 3.0 and batch.count() == read_silver(spark, silver).count()
+    assert by_key(ingest.read_latest(spark, silver)) == by_key(batch)
+    assert by_key(batch)[("b1", "aa")] == 3.0 and batch.count() == ingest.read_latest(spark, silver).count()
     run()
-    assert read_silver(spark, silver).count() == batch.count()
+    assert ingest.read_latest(spark, silver).count() == batch.count()
+    for _ in range(2):
+        ingest.compact(spark, silver, f"{scratch}/compact")
+        assert by_key(read_silver(spark, f"{scratch}/compact")) == by_key(batch)
+        assert read_silver(spark, f"{scratch}/compact").count() == batch.count()
 
 
 def test_first_seen(spark, scratch):
@@ -55,6 +60,36 @@ def test_first_seen(spark, scratch):
     drain(ingest.start_first_seen(rows, silver, f"{scratch}/progress", availableNow=True))
     assert by_key(read_silver(spark, silver)) == {("b1", "aa"): 10.5, ("b1", "bb"): 10.5, ("b2", "aa"): 10.5}
     assert read_silver(spark, silver).count() == 3
+    # Batch jobs may append next to the stream, and a snapshot may come hours late.
+    append_silver(deduplicate(flatten_and_cast(as_records(spark, [("b9", T2, record())]))), silver)
+    land(bronze, "4.json", "b0", "2024-06-15T03:06:00Z", record())
+    land(bronze, "5.json", "b5", "soon", record())
+    land(bronze, "6.json", "b6", "soon", record())
+    drain(ingest.start_first_seen(rows, silver, f"{scratch}/progress", availableNow=True))
+    assert sorted(r.ingestion_id for r in read_silver(spark, silver).collect()) == [
+        "b0", "b1", "b1", "b2", "b5", "b6", "b9"]
+
+
+def test_gold_stream_while_silver_is_written(spark, scratch):
+    """The gold stream has listed its files when further versions of the same hour arrive."""
+    bronze, silver, root = f"{scratch}/bronze", f"{scratch}/silver", f"{scratch}/gold"
+    as_of = F.lit("2024-07-01").cast("timestamp")
+
+    def keep():
+        drain(ingest.start_keep_latest(
+            ingest.stream_rows(spark, bronze), silver, f"{scratch}/p1", availableNow=True))
+
+    def load(batch, number):
+        land(bronze, f"more{number}.json", "b1", T1, record(current_price=7), record(id=f"x{number}"))
+        keep()
+        load_gold(batch, root, as_of)
+
+    land(bronze, "1.json", "b1", T1, record())
+    keep()
+    for _ in range(2):
+        drain(ingest.stream_silver(spark, silver).writeStream.foreachBatch(load).option(
+            "checkpointLocation", f"{scratch}/p2").trigger(availableNow=True).start())
+    assert {"aa_b1", "x0_b1"} <= {r.snapshot_id for r in GoldStore(spark, root).fact().collect()}
 
 
 def test_gold_refresh(spark, scratch):
