@@ -1,0 +1,60 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import Row
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+for folder in (ROOT, os.path.join(ROOT, "tests")):
+    if folder not in sys.path:
+        sys.path.insert(0, folder)
+# Python workers import the library as well.
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+LONG = " ".join(f"word{i % 997}x{i}" for i in range(60_000))
+
+# doc_id, text, source: NULLs in every column, empty, blank and very long texts, ties,
+# repeated rows, rows of one id with two texts.
+ODD = [
+    (1, "The quick brown fox jumps over the lazy dog and runs away from the big bad wolf today again", "a"),
+    (1, "The quick brown fox jumps over the lazy dog and runs away from the big bad wolf today again", "a"),
+    (1, "another text under the same id", "b"),
+    (None, "a text without an id", "a"),
+    (None, None, None),
+    (5, None, "b"), (6, "", "b"), (7, " \t\n\x0b\x0c\r ", None),
+    (8, "one", "c"), (9, "UPPER lower Ünïcode ß 12½ don't", "c"),
+    (10, LONG, "b"), (11, LONG + " end", "b"),
+    (12, "same same same same same same same same same same", None),
+]
+
+
+@pytest.fixture(scope="session")
+def sf():
+    return SF
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet").persist()
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """The odd rows, with further columns whose names the operators use themselves."""
+    extra = ("_words", "_ones", "_quality", "_mark", "_row", "_print", "_place", "row", "slot", "shard")
+    schema = "doc_id bigint, text string, source string, lang string, n_chars bigint, " + ", ".join(
+        f"{c} string" for c in extra)
+    return spark.createDataFrame(
+        [(*r, "en", len(r[1] or ""), *["x"] * len(extra)) for r in ODD], schema)
+
+
+@pytest.fixture(scope="session")
+def empty(odd):
+    return odd.limit(0)
+
+
+@pytest.fixture
+def text_rows():
+    return ODD
