@@ -42,11 +42,12 @@ def pair_hashes(hashes: Column) -> Column:
         lambda later, at: F.xxhash64(F.get(hashes, at), later))
 
 
-def seed_hashes(pairs: Column, seed: tuple[int, ...]) -> Column:
-    """One hash per place at which the whole mask fits, in order of the place."""
+def seed_hashes(pairs: Column, number: int) -> Column:
+    """One hash per place at which the whole of mask ``number`` fits, in order of the place."""
+    seed = SEEDS[number]
     places = F.slice(pairs, 1, F.greatest(F.size(pairs) - seed[-1], F.lit(0)))
     return F.transform(places, lambda first, at: F.xxhash64(
-        first, *[F.get(pairs, at + offset) for offset in seed[1:]]))
+        first, *[F.get(pairs, at + offset) for offset in seed[1:]], F.lit(number)))
 
 
 def _placed(hashes: Column) -> Column:
@@ -97,7 +98,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, min_overlap: int = MIN_
         # The number also keeps the optimiser from moving filters on the hashes below
         # this step, where they would be worked out anew for every element.
         return paired.select(F.monotonically_increasing_id().alias("number"), "id", "text", "hashes", *[
-            seed_hashes(F.col("pairs"), seed).alias(c) for c, seed in zip(seed_columns, SEEDS)])
+            seed_hashes(F.col("pairs"), i).alias(c) for i, c in enumerate(seed_columns)])
 
     items = materialise(
         seeded(benchmark, F.col("item_id")).filter(F.size("hashes") > 0)
@@ -142,7 +143,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, min_overlap: int = MIN_
 
 
 def _stretch(doc: Column, item: Column, shift: Column, tolerance: int) -> Column:
-    """Longest stretch of an alignment: (n_tokens, n_equal, item_at), first one on ties.
+    """Longest stretch of an alignment: (n_tokens, n_equal, item_at), the first on ties.
 
     Every stretch that starts and ends with equal tokens is given by two of the equal
     places; an item has few of them, as benchmark items are short.
