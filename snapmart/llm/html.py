@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from html import unescape
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -198,21 +198,22 @@ def host_of(url: Column) -> Column:
     return lower_ascii(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
 
 
-def _signed(values) -> np.ndarray:
-    return np.array(values, dtype=np.uint64).view(np.int64)
+def _signed(values) -> pa.Array:
+    return pa.array(np.array(list(values), dtype=np.uint64).view(np.int64))
 
 
-def _nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, paths, children, content = [], [], [], []
-        for host, source in zip(batch["host"], batch["html"]):
-            page = parse(source or "")
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html")):
+            page = parse(source.as_py() or "")
             hosts += [host] * len(page.children)
             paths += page.children
             children += [h.intdigest() for h in page.children.values()]
             content += [h.intdigest() for h in page.content.values()]
-        yield pd.DataFrame({
-            "host": hosts, "path": _signed(paths), "children": _signed(children), "content": _signed(content)})
+        yield pa.RecordBatch.from_pydict({
+            "host": pa.array(hosts, pa.string()), "path": _signed(paths),
+            "children": _signed(children), "content": _signed(content)})
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
@@ -221,7 +222,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     Equal nodes are counted before the shuffle, and entropies are added up from counts,
     so a host with most of the pages is spread like any other.
     """
-    nodes = pages.select(host_of(F.col("url")).alias("host"), "html").mapInPandas(
+    nodes = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
         _nodes, "host string, path bigint, children bigint, content bigint")
 
     def entropy(of: str) -> DataFrame:
@@ -246,21 +247,15 @@ def low_paths(tree: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) ->
         F.sort_array(F.collect_set("path")).alias("low"))
 
 
-def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known: dict[bytes, frozenset] = {}
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    mask = (1 << 64) - 1
     for batch in batches:
-        texts = []
-        for source, low in zip(batch["html"], batch["low"]):
-            if low is None:
-                paths = frozenset()
-            else:
-                key = np.asarray(low, dtype=np.int64).tobytes()
-                if key not in known:
-                    known.clear()
-                    known[key] = frozenset(np.frombuffer(key, np.uint64).tolist())
-                paths = known[key]
-            texts.append(main_text(parse(source or ""), paths))
-        yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
+        texts = [
+            main_text(parse(source.as_py() or ""), frozenset(path & mask for path in low.as_py() or ()))
+            for source, low in zip(batch.column("html"), batch.column("low"))]
+        yield pa.RecordBatch.from_pydict({
+            "page_id": batch.column("page_id"), "url": batch.column("url"),
+            "text": pa.array(texts, pa.string())})
 
 
 def extract(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -270,6 +265,6 @@ def extract(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> D
     """
     out = materialise(low_paths(style_tree(pages), low, min_pages), "low_paths")
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    texts = keyed.join(out, "host", "left").select("page_id", "url", "html", "low").mapInPandas(
+    texts = keyed.join(out, "host", "left").select("page_id", "url", "html", "low").mapInArrow(
         _texts, "page_id bigint, url string, text string")
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -15,8 +15,9 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 # The wording of notices, by name of the license.
 TEMPLATES = {
@@ -58,9 +59,11 @@ MAX_DIFFERENT = 0.2
 MIN_SAVED = 0.4
 
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
-_SCHEMA = (
-    "doc_id bigint, block_no bigint, license string, wording int, plain_bytes bigint, with_template_bytes bigint, "
-    "saved double, n_equal bigint, n_missing bigint, n_added bigint, confirmed boolean, block string")
+_COLUMNS = pa.schema([
+    ("doc_id", pa.int64()), ("block_no", pa.int64()), ("license", pa.string()), ("wording", pa.int32()),
+    ("plain_bytes", pa.int64()), ("with_template_bytes", pa.int64()), ("saved", pa.float64()),
+    ("n_equal", pa.int64()), ("n_missing", pa.int64()), ("n_added", pa.int64()),
+    ("confirmed", pa.bool_()), ("block", pa.string())])
 
 
 def words_of(text: str) -> list[str]:
@@ -118,19 +121,21 @@ def match(block: str) -> tuple | None:
     return best
 
 
-def _matches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[str, tuple | None] = {}
-    columns = _SCHEMA.replace(",", "").split()[::2]
     for batch in batches:
         rows = []
-        for doc_id, number, block in zip(batch["doc_id"], batch["block_no"], batch["block"]):
+        for row in batch.to_pylist():
+            block = row["block"]
             if block not in known:
                 if len(known) > 10_000:
                     known.clear()
                 known[block] = match(block)
             if known[block]:
-                rows.append((doc_id, number, *known[block], block))
-        yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+                rows.append((row["doc_id"], row["block_no"], *known[block], block))
+        columns = zip(*rows) if rows else [[]] * len(_COLUMNS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(c), f.type) for c, f in zip(columns, _COLUMNS)], schema=_COLUMNS)
 
 
 def candidate_blocks(documents: DataFrame, cue: str = CUE) -> DataFrame:
@@ -150,7 +155,7 @@ def scan(documents: DataFrame, cue: str = CUE) -> DataFrame:
     blocks = candidate_blocks(documents, cue)
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Candidates are few and may come from few files; they are dealt out anew.
-    return blocks.repartition(partitions).mapInPandas(_matches, _SCHEMA)
+    return blocks.repartition(partitions).mapInArrow(_matches, from_arrow_schema(_COLUMNS))
 
 
 def confirmed_licenses(documents: DataFrame) -> DataFrame:

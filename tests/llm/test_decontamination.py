@@ -1,0 +1,105 @@
+import random
+import re
+
+from snapmart.llm import decontamination as leaks
+
+WORDS = [f"w{i}" for i in range(400)]
+RNG = random.Random(5)
+
+
+def some(n):
+    return [RNG.choice(WORDS) for _ in range(n)]
+
+
+def tokens(text):
+    return [t for t in re.split(r"[\W_]+", (text or "").lower()) if t]
+
+
+def brute_force(docs, items):
+    """Every alignment that some mask hits, its longest stretch, the best per row and item."""
+    out = []
+    for doc_id, text in docs:
+        doc = tokens(text)
+        for item_id, item_text in items:
+            item, shifts = tokens(item_text), set()
+            for seed in leaks.SEEDS:
+                read = [o + k for o in seed for k in (0, 1)]
+                for i in range(len(item) - read[-1]):
+                    for d in range(len(doc) - read[-1]):
+                        if all(doc[d + r] == item[i + r] for r in read):
+                            shifts.add(d - i)
+            best = None
+            for shift in shifts:
+                same = [i for i in range(len(item)) if 0 <= i + shift < len(doc) and doc[i + shift] == item[i]]
+                top = None
+                for x, a in enumerate(same):
+                    for y in range(x, len(same)):
+                        n, equal = same[y] - a + 1, y - x + 1
+                        if (n - equal) * leaks.TOLERANCE <= n and (top is None or n > top[0]):
+                            top = (n, equal, a)
+                if top and top[0] >= min(leaks.MIN_OVERLAP, len(item)):
+                    found = (top[0], top[1], -(top[2] + shift), -top[2])
+                    best = found if best is None or found > best else best
+            if best:
+                out.append((doc_id, item_id, -best[2], -best[3], best[0], best[1]))
+    return sorted(out, key=str)
+
+
+def frames(spark, docs, items):
+    return (spark.createDataFrame(docs, "doc_id bigint, text string"),
+            spark.createDataFrame(items, "item_id bigint, text string"))
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.drop("mark").collect()), key=str)
+
+
+def planted():
+    items = [(i, " ".join(some(n))) for i, n in enumerate((14, 20, 30, 45, 9, 5))]
+    items += [(None, " ".join(some(25))), (7, None), (8, ""), (2, " ".join(some(18)))]
+    docs = []
+    for number in range(60):
+        item = tokens(items[number % 7][1])
+        start = RNG.randrange(3)
+        passage = item[start:start + RNG.choice((8, 12, 13, 40))]
+        for at in range(len(passage)):  # every so many words another one
+            if number % 3 and at % (number % 3 * 4 + 2) == 3:
+                passage[at] = "other"
+        text = some(RNG.randrange(40)) + passage + some(RNG.randrange(40))
+        docs.append((number, " ".join(text).replace(" ", ", ", 3).upper() if number % 2 else "\n".join(text)))
+    docs += [(None, items[3][1]), (None, items[3][1]), (5, items[2][1] + " x " + items[2][1]), (6, None), (7, "")]
+    return docs, items
+
+
+def test_against_brute_force(spark):
+    docs, items = planted()
+    want = brute_force(docs, items)
+    assert found(leaks.contaminated(*frames(spark, docs, items))) == want
+    assert 20 < len(want) and any(r[4] != r[5] for r in want)
+
+
+def test_substituted_words_are_tolerated(spark):
+    item = some(30)
+    changed = [w if i % 6 else "other" for i, w in enumerate(item)]
+    rows = leaks.contaminated(*frames(spark, [(1, " ".join(changed)), (2, " ".join(some(500)))],
+                                      [(9, " ".join(item))])).collect()
+    assert [(r.doc_id, r.item_id) for r in rows] == [(1, 9)] and rows[0].n_equal < rows[0].n_tokens
+
+
+def test_clean_documents_stay(spark, odd):
+    docs, items = planted()
+    left, right = frames(spark, docs, items)
+    kept = [r.doc_id for r in leaks.keep_clean(left, right).collect()]
+    # Rows of one id go or stay by their own text.
+    want = [d for d, t in docs if not brute_force([(d, t)], items)]
+    assert sorted(map(str, kept)) == sorted(map(str, want)) and 0 < len(want) < len(docs)
+    assert leaks.keep_clean(odd, right).count() == odd.count()
+    assert leaks.keep_clean(odd, right).columns == odd.columns
+
+
+def test_empty_tables(spark, empty):
+    docs, items = planted()
+    left, right = frames(spark, docs, items)
+    assert leaks.contaminated(empty, right).count() == 0
+    assert leaks.contaminated(left, right.limit(0)).count() == 0
+    assert leaks.keep_clean(left, right.limit(0)).count() == len(docs)

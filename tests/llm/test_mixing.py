@@ -1,0 +1,106 @@
+import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapmart.llm import mixing
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def water(sizes):
+    """Targets by repeated sharing, source -> words."""
+    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(names)}
+    target, capped, total = {}, set(), sum(sizes.values())
+    while True:
+        free = [s for s in names if s not in capped]
+        left = total - sum(3 * sizes[s] for s in capped)
+        for s in free:
+            target[s] = left * weight[s] / sum(weight[f] for f in free)
+        over = {s for s in free if target[s] > 3 * sizes[s]}
+        if not over:
+            return target
+        for s in over:
+            target[s] = 3 * sizes[s]
+        capped |= over
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000])
+@pytest.mark.parametrize("salt", [0, 5])
+def test_permutation(spark, n, salt):
+    keys = mixing.round_keys(F.lit(salt).cast("bigint"))
+    got = [r.x for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("bigint"), keys).alias("x")).collect()]
+    assert sorted(got) == list(range(n))
+    assert n < 97 or got != sorted(got)
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100}, {"a": 10, "b": 1000, "c": 1000}, {"a": 1, "b": 1, "c": 10_000},
+    {"a": 7, "b": 0, None: 30}, {None: 5}, {"b": 3, "a": 900, "ä": 4, "z": 50, None: 60}])
+def test_targets(spark, sizes):
+    rows = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size bigint")
+    got = {r.source: r.target for r in mixing.source_targets(rows).collect()}
+    want = water(sizes)
+    assert got.keys() == want.keys() and all(math.isclose(got[s], want[s], abs_tol=1e-6) for s in want)
+
+
+def check(documents, block):
+    rows = [r.asDict() for r in mixing.mixed_sizes(documents, block).collect()]
+    sizes = {}
+    for r in documents.select("source", "text").collect():
+        sizes[r.source] = sizes.get(r.source, 0) + len(words(r.text))
+    want = water(sizes)
+    assert len(rows) == documents.count()
+    assert all(0 <= r["taken"] <= 3 * r["size"] for r in rows)
+    assert sum(r["taken"] for r in rows) <= 3 * sum(sizes.values())
+    return rows, sizes, want
+
+
+def test_query_meets_targets(spark, documents):
+    rows, sizes, want = check(documents, mixing.BLOCK)
+    source = {r.doc_id: r.source for r in documents.select("doc_id", "source").collect()}
+    taken = {}
+    for r in rows:
+        s = source[r["doc_id"]]
+        taken[s] = taken.get(s, 0) + r["taken"]
+        assert r["source_size"] == sizes[s] and math.isclose(r["target"], want[s])
+    assert all(abs(taken[s] - want[s]) <= 2 * mixing.BLOCK for s in want)
+    again = sorted(map(tuple, mixing.mixed_sizes(documents.repartition(7)).collect()))
+    assert again == sorted(tuple(r.values()) for r in rows)
+
+
+@pytest.mark.parametrize("block", [1, 8, 64])
+def test_odd_rows(odd, block):
+    check(odd, block)
+    mixed = mixing.mix(odd, block)
+    assert mixed.columns == odd.columns
+    texts = mixed.collect()
+    want = sorted(r.taken for r in mixing.mixed_sizes(odd, block).collect() if r.taken)
+    assert sorted(len(words(r.text)) for r in texts) == want
+    assert all(r.n_chars == len(r.text) for r in texts)
+
+
+def test_text_follows_the_plan(documents):
+    taken = {r.doc_id: r.taken for r in mixing.mixed_sizes(documents).collect() if r.taken}
+    originals = {r.doc_id: words(r.text) for r in documents.select("doc_id", "text").collect()}
+    mixed = {r.doc_id: r.text for r in mixing.mix(documents).collect()}
+    assert mixed.keys() == taken.keys()
+    for doc_id, text in mixed.items():
+        assert len(words(text)) == taken[doc_id] and set(words(text)) <= set(originals[doc_id])
+
+
+def test_shards_share_all_slots(documents):
+    rows = mixing.slots_by_shard(documents).collect()
+    by_shard = {}
+    for r in rows:
+        by_shard[r.shard] = by_shard.get(r.shard, 0) + r.slots
+    *full, last = [by_shard[s] for s in sorted(by_shard)]
+    assert all(n == mixing.SHARD_SLOTS for n in full) and 0 < last <= mixing.SHARD_SLOTS
+
+
+def test_empty_table(empty):
+    assert mixing.mixed_sizes(empty).count() == 0 and mixing.mix(empty).count() == 0
