@@ -21,8 +21,6 @@ from snapmart.session import scratch_path
 
 SLOTS = 65_537
 SHARDS = tuple(f"shard-{i:03d}" for i in range(48))
-# A shard is written by this many tasks at least, however many rows it has.
-_TASKS_PER_SHARD = 2
 
 
 def _is_prime(n: int) -> bool:
@@ -70,15 +68,11 @@ def place(df: DataFrame, key: str, shards: Sequence[str] = SHARDS, slots: int =
 
 def write_shards(df: DataFrame, key: str, folder: str, shards: Sequence[str] = SHARDS,
                  slots: int = SLOTS) -> None:
-    """Write rows to one folder per shard. A shard is split over tasks by a hash of the
-    whole row, so one that holds most of the rows is not one task's work; rebalancing
-    splits what is still too large."""
+    """Write rows to one folder per shard. Rows are gathered by shard, and adaptive execution
+    splits a shard that is too large for one task, as where one key has most of the rows."""
     slot, shard = fresh(df, "slot", "shard")
     placed = place(df, key, shards, slots, slot, shard)
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(_TASKS_PER_SHARD))
-    partitions = max(
-        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(shards) * _TASKS_PER_SHARD)
-    placed.repartition(partitions, F.col(shard), spread).write.partitionBy(shard).parquet(folder)
+    placed.hint("rebalance", shard).write.partitionBy(shard).parquet(folder)
 
 
 def sharded(df: DataFrame, key: str, shards: Sequence[str] = SHARDS, slots: int = SLOTS) -> DataFrame:
