@@ -63,19 +63,21 @@ class WordEncoder:
         self.words = _Recent(self._word, remembered)
         self.parts = _Recent(self._part, remembered)
         self.byte_level = _byte_letters()
+        self.id_bytes = [
+            i.to_bytes(self.kind.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.plain = _cuts_like_here(self.tokenizer)
 
     def _part(self, part: str) -> bytes:
-        letters = part.encode().decode("latin-1").translate(self.byte_level)
-        ids = [token.id for token in self.tokenizer.model.tokenize(letters)]
-        return np.array(ids, dtype=self.kind).tobytes()
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.byte_level)
+        return b"".join([self.id_bytes[token.id] for token in self.tokenizer.model.tokenize(letters)])
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         if self.plain and _PLAIN.fullmatch(text) and "<|" not in text:
-            return b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
+            found = _PARTS.findall(text.lower())
+            return self.parts[found[0]] if len(found) == 1 else b"".join([self.parts[p] for p in found])
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype=self.kind).tobytes()
+        return b"".join([self.id_bytes[i] for i in ids])
 
     def encode(self, text: bytes | None) -> bytes:
         """Little-endian ids of a UTF-8 text, ``kind`` wide each; none for NULL."""
