@@ -277,8 +277,10 @@ def keep_one(documents: DataFrame, budget: int = BUDGET, part: int = PART) -> Da
     printed = materialise(documents.select(
         "doc_id", fingerprint_of(F.col("text")).alias("print"), F.xxhash64("text").alias("mark")), "prints")
     member = with_components(printed.select("print").distinct(), budget, part)
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark"))
-    kept = printed.join(member, "print").groupBy("component").agg(best.alias("best")).select(
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
+    # Copies have one fingerprint; the best of them is found before anything is joined.
+    per_print = printed.groupBy("print").agg(F.min(own).alias("best"))
+    kept = per_print.join(member, "print").groupBy("component").agg(F.min("best").alias("best")).select(
         F.col("best.doc_id").alias("_kept_id"), F.col("best.mark").alias("_kept_mark"))
     rows = documents.withColumn(mark, F.xxhash64("text"))
     found = rows.join(
