@@ -6,6 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from snapmart.suite import oracles, queries
+
+QUERIES, SQL = queries.registry(), oracles.oracles()
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,12 +21,13 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, name):
-    assert differences(entry.queries()[name](spark, SF), db, entry.oracle_sql()[name]) == ""
+    assert differences(QUERIES[name](spark, SF), db, SQL[name]) == ""
 
 
 def test_entry(spark):
