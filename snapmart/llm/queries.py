@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,27 @@ from snapmart.llm import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python tasks find this package too where a session was started in another folder.
+
+    On a cluster the package is shipped with the application; the path does no harm there.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
+def _ready(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -70,6 +93,6 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {fn.__name__: fn for fn in (
+    return {fn.__name__: _ready(fn) for fn in (
         op1_simhash, op2_quality_rules, op3_url_filters, op4_license_scans, op5_mixing,
         op6_token_counts, op7_token_ids, op8_decontamination, op9_sharding, op10_html_extraction)}
