@@ -13,13 +13,18 @@ benchmark's hashes, whose size is fixed; what passes is joined by exact hash.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from snapmart.llm.text import fresh, long_table
 from snapmart.session import materialise
 
-# Masks, given by where their pairs of 1s start: 11011011 and 110011011.
-SEEDS = ((0, 3, 6), (0, 4, 7))
+# Masks, given by where their pairs of 1s start: 11011011, 110011011, 1110111, 111111 and
+# 111000000111. Together they hit every stretch of twelve tokens or more in which one of
+# five differs, wherever the differing ones are.
+SEEDS = ((0, 3, 6), (0, 4, 7), (0, 1, 4, 5), (0, 2, 4), (0, 1, 9, 10))
 MIN_OVERLAP = 12
 TOLERANCE = 5
 BITMAP_BITS = 1 << 22
@@ -88,7 +93,8 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, min_overlap: int = MIN_
     text. ``doc_at`` and ``item_at`` count tokens from 0. A stretch counts if it starts and ends with equal tokens, has at
     least ``min_overlap`` tokens (or all of a shorter item's), and at most one of
     ``tolerance`` tokens differs. NULL and empty texts overlap with nothing; items
-    shorter than the shorter mask are not found.
+    shorter than ``min_overlap`` are found as far as a mask hits them, those shorter than
+    the shortest mask never.
     """
     seed_columns = [f"seed{i}" for i in range(len(SEEDS))]
 
@@ -111,8 +117,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, min_overlap: int = MIN_
     # Only documents of which the bitmap lets something through, with a number per row.
     some = (
         seeded(documents, F.col("doc_id"))
-        .filter(F.exists(F.col(seed_columns[0]), lambda h: _in_bitmap(bitmap, h))
-                | F.exists(F.col(seed_columns[1]), lambda h: _in_bitmap(bitmap, h)))
+        .filter(reduce(or_, [F.exists(F.col(c), lambda h: _in_bitmap(bitmap, h)) for c in seed_columns]))
         .select(F.col("number").alias("row"), F.col("id").alias("doc_id"),
                 F.xxhash64("text").alias("mark"), F.col("hashes").alias("doc_hashes"),
                 F.filter(F.concat(*map(_placed, map(F.col, seed_columns))),

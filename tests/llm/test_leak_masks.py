@@ -1,0 +1,53 @@
+from itertools import combinations
+
+import pytest
+
+from snapmart.llm import decontamination as leaks
+from test_decontamination import brute_force, found, frames, some
+
+
+def masks():
+    return [sum(1 << at for at in {at for o in seed for at in (o, o + 1)}) for seed in leaks.SEEDS]
+
+
+# Any longer stretch can be cut into stretches of 12 to 23 tokens, one of which has no
+# more than its share of differing tokens.
+@pytest.mark.parametrize("length", range(leaks.MIN_OVERLAP, 2 * leaks.MIN_OVERLAP))
+def test_every_pattern_is_hit(length):
+    for places in combinations(range(length), length // leaks.TOLERANCE):
+        equal = (1 << length) - 1 - sum(1 << p for p in places)
+        assert any(equal >> at & mask == mask for mask in masks() for at in range(length)), places
+
+
+def test_every_fifth_token_replaced(spark):
+    items, docs = [], []
+    for number, length in enumerate((14, 24, 29, 59, 199)):
+        item = some(length)
+        items.append((number, " ".join(item)))
+        docs.append((number, " ".join("other" if i % 5 == 4 else w for i, w in enumerate(item))))
+    got = found(leaks.contaminated(*frames(spark, docs, items)))
+    assert [r[:2] for r in got if r[0] == r[1]] == [(i, i) for i in range(5)]
+    assert got == brute_force(docs, items)
+
+
+def test_against_all_shifts(spark):
+    """Brute force without masks: every shift is laid out."""
+    items = [(i, " ".join(some(12 + i % 9))) for i in range(40)]
+    docs = []
+    for number, text in items:
+        words = text.split()
+        inner = list(combinations(range(1, len(words) - 1), len(words) // 5))
+        for at in inner[number * 7 % len(inner)]:
+            words[at] = "other"
+        docs.append((number, " ".join(some(9) + words + some(9))))
+    got = {r[:2] for r in found(leaks.contaminated(*frames(spark, docs, items)))}
+    want = set()
+    for d, text in docs:
+        doc = text.split()
+        for i, words in ((i, t.split()) for i, t in items):
+            for shift in range(-len(words), len(doc)):
+                same = [k for k in range(len(words)) if 0 <= k + shift < len(doc) and doc[k + shift] == words[k]]
+                if any((n - (y - x + 1)) * leaks.TOLERANCE <= n and n >= leaks.MIN_OVERLAP
+                       for x in range(len(same)) for y in range(x, len(same)) for n in [same[y] - same[x] + 1]):
+                    want.add((d, i))
+    assert got == want and len(want) >= len(items)
