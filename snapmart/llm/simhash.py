@@ -51,19 +51,25 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     return counts.reshape(BITS)
 
 
-def fingerprint(data: bytes | None) -> int:
-    """Fingerprint of a UTF-8 text; 0 if it is NULL or has no word."""
+def shingle_hashes(data: bytes | None, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` words of a UTF-8 text, or of all words if there are
+    fewer; none if it is NULL or has no word."""
     found = (data or b"").lower().split()
     if not found:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     line = b" ".join(found)
     ends = np.cumsum([len(w) + 1 for w in found]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    last = max(len(found) - SHINGLE + 1, 1)
-    spans = zip(starts[:last].tolist(), ends[min(SHINGLE, len(found)) - 1:].tolist())
+    last = max(len(found) - size + 1, 1)
+    spans = zip(starts[:last].tolist(), ends[min(size, len(found)) - 1:].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(line[a:b], SEED) for a, b in spans), dtype=np.uint64, count=last)
-    bits = 2 * _bit_counts(hashes) > last
+    return np.fromiter((digest(line[a:b], SEED) for a, b in spans), dtype=np.uint64, count=last)
+
+
+def fingerprint(data: bytes | None) -> int:
+    """Fingerprint of a UTF-8 text; 0 if it is NULL or has no word."""
+    hashes = shingle_hashes(data, SHINGLE)
+    bits = 2 * _bit_counts(hashes) > len(hashes)
     return sum(1 << int(i) for i in np.flatnonzero(bits))
 
 
@@ -273,18 +279,24 @@ def near_duplicates(documents: DataFrame, budget: int = BUDGET, part: int = PART
 def keep_one(documents: DataFrame, budget: int = BUDGET, part: int = PART) -> DataFrame:
     """One document of every component, with all its columns: that of the smallest doc_id
     (NULL last, then by text hash and by the other columns' hash)."""
-    mark, print_, place = fresh(documents, "_mark", "_print", "_place")
     printed = materialise(documents.select(
         "doc_id", fingerprint_of(F.col("text")).alias("print"), F.xxhash64("text").alias("mark")), "prints")
     member = with_components(printed.select("print").distinct(), budget, part)
     own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
     # Copies have one fingerprint; the best of them is found before anything is joined.
     per_print = printed.groupBy("print").agg(F.min(own).alias("best"))
-    kept = per_print.join(member, "print").groupBy("component").agg(F.min("best").alias("best")).select(
-        F.col("best.doc_id").alias("_kept_id"), F.col("best.mark").alias("_kept_mark"))
+    kept = per_print.join(member, "print").groupBy("component").agg(F.min("best").alias("best"))
+    return only_best(documents, kept)
+
+
+def only_best(documents: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that struct ``best`` (doc_id, mark: text hash) of ``kept``
+    names, each once."""
+    mark, place = fresh(documents, "_mark", "_place")
+    named = kept.select(F.col("best.doc_id").alias("_kept_id"), F.col("best.mark").alias("_kept_mark"))
     rows = documents.withColumn(mark, F.xxhash64("text"))
     found = rows.join(
-        kept, F.equal_null(rows["doc_id"], kept["_kept_id"]) & (rows[mark] == kept["_kept_mark"]),
+        named, F.equal_null(rows["doc_id"], named["_kept_id"]) & (rows[mark] == named["_kept_mark"]),
         "left_semi")
     # Rows with the same id and text are copies of each other.
     copies = Window.partitionBy("doc_id", mark).orderBy(F.xxhash64(*documents.columns))
