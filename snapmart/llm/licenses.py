@@ -3,9 +3,8 @@
 A block of text that says what a license template says compresses to little more than
 nothing if the compressor has the template as its dictionary. Candidate blocks (lines
 with a word that licenses use) are compressed with each template as a raw zstandard
-dictionary, templates are ranked by how much smaller the block gets than without one,
-and the winners are confirmed by the exact differences in wording: few enough of the
-template's words may be missing or changed.
+dictionary and without one, and every template that makes it small enough is confirmed by
+the exact differences in wording: few enough of its words may be missing or changed.
 """
 
 from __future__ import annotations
@@ -63,7 +62,7 @@ _COLUMNS = pa.schema([
     ("doc_id", pa.int64()), ("block_no", pa.int64()), ("license", pa.string()), ("wording", pa.int32()),
     ("plain_bytes", pa.int64()), ("with_template_bytes", pa.int64()), ("saved", pa.float64()),
     ("n_equal", pa.int64()), ("n_missing", pa.int64()), ("n_added", pa.int64()),
-    ("confirmed", pa.bool_()), ("block", pa.string())])
+    ("confirmed", pa.bool_()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("block", pa.string())])
 
 
 def words_of(text: str) -> list[str]:
@@ -87,42 +86,63 @@ def _compressors():
     return compressor(None), wordings
 
 
-def match(block: str) -> tuple | None:
+def _laid(template: list[str], found: list[str]) -> tuple[int, int, int, int]:
+    """(words equal, missing, added, first word) of the part of ``found`` that differs
+    least from the template; it begins and ends with words of it."""
+    runs = [r for r in SequenceMatcher(None, template, found, autojunk=False).get_matching_blocks() if r.size]
+    best = (0, len(template), 0, 0)
+    # Single words that the template shares with another notice far away are left out.
+    for i, first in enumerate(runs):
+        equal = 0
+        for run in runs[i:]:
+            equal += run.size
+            row = (equal, len(template) - equal, run.b + run.size - first.b - equal, first.b)
+            if row[1] + row[2] < best[1] + best[2]:
+                best = row
+    return best
+
+
+def matches(block: str) -> list[tuple]:
     """(license, wording, bytes, bytes with template, share saved, words equal, missing from
-    the template, added around or within, confirmed) of the best wording; None if the
-    block has no word.
+    the template, added within, confirmed, first word, words) of every license that some
+    wording confirms, those that differ least first; of the wording that saves most if
+    none is confirmed. Empty if the block has no word.
 
     The part of the block that is laid over the template begins and ends with words of
-    it; text before and after counts neither as missing nor as changed.
+    it; text before and after counts neither as missing nor as changed. No word counts
+    for two licenses.
     """
     found = words_of(block)
     if not found:
-        return None
+        return []
     alone, wordings = _compressors()
     line = " ".join(found).encode()
     plain = len(alone.compress(line))
-    ranked = sorted(
-        ((plain - len(c.compress(line))) / plain, -i) for i, (_, _, _, c) in enumerate(wordings))
-    best = None
-    # The few wordings that save most are confirmed; ties go to the one listed first.
-    for saved, minus in reversed(ranked[-3:]):
-        name, number, template, _ = wordings[-minus]
-        runs = SequenceMatcher(None, template, found, autojunk=False).get_matching_blocks()
-        equal = sum(run.size for run in runs)
-        inside = [run for run in runs if run.size]
-        span = inside[-1].b + inside[-1].size - inside[0].b if inside else 0
-        missing, added = len(template) - equal, span - equal
-        confirmed = saved >= MIN_SAVED * equal / max(len(found), 1) and (
-            missing + added <= MAX_DIFFERENT * len(template))
-        with_template = plain - round(saved * plain)
-        row = (name, number, plain, with_template, saved, equal, missing, added, confirmed)
-        if best is None or (confirmed and (not best[8] or missing + added < best[6] + best[7])):
-            best = row
-    return best
+    rows = []
+    for name, number, template, compressor in wordings:
+        smaller = len(compressor.compress(line))
+        saved = (plain - smaller) / plain
+        equal, missing, added, first = _laid(template, found)
+        confirmed = saved >= MIN_SAVED * equal / len(found) and missing + added <= MAX_DIFFERENT * len(template)
+        rows.append((name, number, plain, smaller, saved, equal, missing, added, confirmed, first, equal + added))
+    out: list[tuple] = []
+    taken: list[tuple[int, int]] = []
+    for row in sorted((r for r in rows if r[8]), key=lambda r: (r[6] + r[7], -r[5])):
+        start, end = row[9], row[9] + row[10]
+        if all(end <= a or b <= start for a, b in taken):
+            taken.append((start, end))
+            if row[0] not in [r[0] for r in out]:
+                out.append(row)
+    return out or [max(rows, key=lambda r: r[4])]
+
+
+def match(block: str) -> tuple | None:
+    """The first of :func:`matches`; None if the block has no word."""
+    return next(iter(matches(block)), None)
 
 
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, tuple | None] = {}
+    known: dict[str, list[tuple]] = {}
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
@@ -130,9 +150,8 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if block not in known:
                 if len(known) > 10_000:
                     known.clear()
-                known[block] = match(block)
-            if known[block]:
-                rows.append((row["doc_id"], row["block_no"], *known[block], block))
+                known[block] = matches(block)
+            rows += [(row["doc_id"], row["block_no"], *found, block) for found in known[block]]
         columns = zip(*rows) if rows else [[]] * len(_COLUMNS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), f.type) for c, f in zip(columns, _COLUMNS)], schema=_COLUMNS)
@@ -147,8 +166,9 @@ def candidate_blocks(documents: DataFrame, cue: str = CUE) -> DataFrame:
 
 
 def scan(documents: DataFrame, cue: str = CUE) -> DataFrame:
-    """One row per candidate block of every document: the license whose wording saves most
-    and differs least, the figures, and whether the wording confirms it.
+    """One row per candidate block of every document and license that a wording confirms
+    in it, with the figures and the words it takes; where none is confirmed, one row with
+    the wording that saves most.
 
     NULL and empty texts have no block; repeated rows give repeated rows.
     """
