@@ -2,7 +2,8 @@
 
 A block of text that says what a license template says compresses to little more than
 nothing if the compressor has the template as its dictionary. Candidate blocks (lines
-with a word that licenses use) are compressed with each template as a raw zstandard
+with a word that licenses use, alone and joined with the non-empty lines around them, as
+notices are wrapped) are compressed with each template as a raw zstandard
 dictionary and without one, and every template that makes it small enough is confirmed by
 the exact differences in wording: few enough of its words may be missing or changed.
 """
@@ -10,9 +11,11 @@ the exact differences in wording: few enough of its words may be missing or chan
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -52,12 +55,18 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
         "provided that the following conditions are met:",
     ),
+    "All-Rights-Reserved": (
+        "All rights reserved.",
+    ),
 }
-CUE = r"(?i)licen[sc]e|copyright|spdx|permission is hereby|redistribut|creative commons|\bCC.BY\b"
+# White space between two words of a cue may be the end of a line.
+CUE = (r"(?i)licen[sc]e|copyright|spdx|permission\s+is\s+hereby|redistribut|creative\s+commons|\bCC.BY\b"
+       r"|all\s+rights\s+reserved")
 MAX_DIFFERENT = 0.2
 MIN_SAVED = 0.4
 
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
+_HYPHEN = re.compile(r"[^\W_]-\s*$")
 _COLUMNS = pa.schema([
     ("doc_id", pa.int64()), ("block_no", pa.int64()), ("license", pa.string()), ("wording", pa.int32()),
     ("plain_bytes", pa.int64()), ("with_template_bytes", pa.int64()), ("saved", pa.float64()),
@@ -117,13 +126,18 @@ def matches(block: str) -> list[tuple]:
         return []
     alone, wordings = _compressors()
     line = " ".join(found).encode()
-    plain = len(alone.compress(line))
+    plain, frame = len(alone.compress(line)), len(alone.compress(b""))
     rows = []
     for name, number, template, compressor in wordings:
         smaller = len(compressor.compress(line))
         saved = (plain - smaller) / plain
         equal, missing, added, first = _laid(template, found)
-        confirmed = saved >= MIN_SAVED * equal / len(found) and missing + added <= MAX_DIFFERENT * len(template)
+        # Neither the words around a notice nor the frame of the compressor, which is most
+        # of a short one, decide: what its own words save is taken.
+        part = " ".join(found[first:first + equal + added]).encode()
+        own = len(alone.compress(part))
+        confirmed = missing + added <= MAX_DIFFERENT * len(template) and (
+            own - len(compressor.compress(part)) >= MIN_SAVED * (own - frame))
         rows.append((name, number, plain, smaller, saved, equal, missing, added, confirmed, first, equal + added))
     out: list[tuple] = []
     taken: list[tuple[int, int]] = []
@@ -141,41 +155,77 @@ def match(block: str) -> tuple | None:
     return next(iter(matches(block)), None)
 
 
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, list[tuple]] = {}
-    for batch in batches:
-        rows = []
-        for row in batch.to_pylist():
-            block = row["block"]
-            if block not in known:
-                if len(known) > 10_000:
-                    known.clear()
-                known[block] = matches(block)
-            rows += [(row["doc_id"], row["block_no"], *found, block) for found in known[block]]
-        columns = zip(*rows) if rows else [[]] * len(_COLUMNS)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), f.type) for c, f in zip(columns, _COLUMNS)], schema=_COLUMNS)
-
-
-def candidate_blocks(documents: DataFrame, cue: str = CUE) -> DataFrame:
-    """(doc_id, block_no, block): the lines with a cue, number from 0; every line is looked at."""
-    lines = documents.filter(F.col("text").rlike(cue)).select(
-        "doc_id", F.posexplode(F.split("text", "\n")).alias("block_no", "block"))
-    return lines.filter(F.col("block").rlike(cue)).select(
-        "doc_id", F.col("block_no").cast("bigint").alias("block_no"), "block")
+def _reach() -> int:
+    """Words looked at on either side of a line: what the longest template may take."""
+    return int(max(len(words_of(t)) for texts in TEMPLATES.values() for t in texts) * (1 + MAX_DIFFERENT)) + 1
+
+
+def _around(lines: list[str], at: int, step: int, reach: int) -> list[str]:
+    """The next ``reach`` words of the non-empty lines after (step 1) or before (-1) line ``at``."""
+    words: list[str] = []
+    at += step
+    while 0 <= at < len(lines) and lines[at].strip() and len(words) < reach:
+        here = words_of(lines[at])
+        if here and _HYPHEN.search(lines[at]):
+            here[-1] += "-"
+        words = words + here if step == 1 else here + words
+        at += step
+    return words[:reach] if step == 1 else words[-reach:]
+
+
+def _in_line(block: str, before: list[str], after: list[str]) -> list[tuple[tuple, str]]:
+    """(match, text) of every license confirmed in a line, or in the line and its
+    neighbours if some of its words are in the line; else of the best wording."""
+    alone = matches(block)
+    if not before and not after:
+        return [(row, block) for row in alone]
+    size, start = len(words_of(block)), len(before)
+    # A word with a hyphen may be cut at it.
+    joined = re.sub(r"(?<=\w)-\s+(?=\w)", "-", " ".join([*before, block, *after]))
+    sure = [row for row in alone if row[8]]
+    wrapped = [
+        row for row in matches(joined)
+        # Some words in the line and some outside, none of them another license's.
+        if row[8] and row[9] < start + size and row[9] + row[10] > start
+        and (row[9] < start or row[9] + row[10] > start + size)
+        and row[0] not in [r[0] for r in sure]
+        and all(row[9] + row[10] <= start + r[9] or start + r[9] + r[10] <= row[9] for r in sure)]
+    return [(row, block) for row in sure or ([] if wrapped else alone)] + [(row, joined) for row in wrapped]
+
+
+def cue_lines(text: str, cue: str = CUE) -> list[tuple[int, str, list[str], list[str]]]:
+    """(number from 0, line, words before, words after) of the lines in which a cue begins."""
+    lines, reach = text.split("\n"), _reach()
+    ends = list(accumulate(len(line) + 1 for line in lines))
+    found = sorted({bisect_right(ends, m.start()) for m in re.finditer(cue, text)})
+    return [(at, lines[at], _around(lines, at, -1, reach), _around(lines, at, 1, reach)) for at in found]
+
+
+def _scanner(cue: str):
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (row["doc_id"], at, *found, text) for row in batch.to_pylist()
+                for at, line, before, after in cue_lines(row["text"], cue)
+                for found, text in _in_line(line, before, after)]
+            columns = zip(*rows) if rows else [[]] * len(_COLUMNS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), f.type) for c, f in zip(columns, _COLUMNS)], schema=_COLUMNS)
+
+    return scanned
 
 
 def scan(documents: DataFrame, cue: str = CUE) -> DataFrame:
-    """One row per candidate block of every document and license that a wording confirms
-    in it, with the figures and the words it takes; where none is confirmed, one row with
-    the wording that saves most.
+    """One row per line with a cue and license that a wording confirms in it or across it
+    and its neighbours, with the figures, the words it takes and the text they are counted
+    in; where none is confirmed, one row with the wording that saves most.
 
     NULL and empty texts have no block; repeated rows give repeated rows.
     """
-    blocks = candidate_blocks(documents, cue)
+    texts = documents.filter(F.col("text").rlike(cue)).select(F.col("doc_id").cast("bigint"), "text")
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Candidates are few and may come from few files; they are dealt out anew.
-    return blocks.repartition(partitions).mapInArrow(_matches, from_arrow_schema(_COLUMNS))
+    return texts.repartition(partitions).mapInArrow(_scanner(cue), from_arrow_schema(_COLUMNS))
 
 
 def confirmed_licenses(documents: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from snapmart.llm import licenses
@@ -22,3 +24,21 @@ def test_all_notices_in_one_line():
 
 def test_nothing_confirmed_gives_one_row():
     assert len(licenses.matches("the license of this car was old")) == 1 and licenses.matches(" ") == []
+
+
+@pytest.mark.parametrize("width", [24, 40, 72])
+@pytest.mark.parametrize("text, name", [(t, n) for n, texts in licenses.TEMPLATES.items() for t in texts])
+def test_wrapped_notices(text, name, width):
+    lines = ["# " + line for line in textwrap.wrap(text, width)]
+    page = "\n".join(["Some words of the file.", *lines, "And more of them follow."])
+    rows = [row for _, line, before, after in licenses.cue_lines(page)
+            for row, _ in licenses._in_line(line, before, after)]
+    assert name in [r[0] for r in rows if r[8]]
+
+
+def test_reserved_rights(spark):
+    rows = licenses.scan(spark.createDataFrame(
+        [(1, "some prose\nAll rights reserved."), (2, "All rights\nreserved."), (3, "all rights\n\nwere kept")],
+        "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.block_no, r.license, r.confirmed) for r in rows) == [
+        (1, 1, "All-Rights-Reserved", True), (2, 0, "All-Rights-Reserved", True)]
