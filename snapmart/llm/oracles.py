@@ -6,7 +6,7 @@ reading HTML; their tests compare them with brute force.
 
 from __future__ import annotations
 
-from snapmart.llm import decontamination as leaks, mixing
+from snapmart.llm import decontamination as leaks, mixing, phrases
 
 GAP = r"[\x20\x09-\x0D]+"
 _P = mixing._PRIME
@@ -120,5 +120,39 @@ FROM stretches WHERE n_tokens >= least({leaks.MIN_OVERLAP}, length)
 QUALIFY row_number() OVER (PARTITION BY doc_row, item ORDER BY n_tokens DESC, n_equal DESC, item_at + shift, item_at) = 1"""
 
 
+def _phrases() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    counted = " UNION ALL ".join(f"""
+  SELECT lang, {size} AS length, array_to_string(w[pos:pos + {size - 1}], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) - {size - 2})) AS pos FROM pieces WHERE len(w) >= {size}) GROUP BY ALL"""
+                               for size in range(1, phrases.LONGEST + 1))
+    return f"""
+WITH pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS w
+  FROM (SELECT coalesce(lang, '{phrases.NO_LANGUAGE}') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+counted AS ({counted}),
+frequent AS (SELECT lang, length, phrase, f, string_split(phrase, ' ') AS w FROM counted WHERE f >= {phrases.LEAST}),
+candidates AS (SELECT lang, length, phrase, f AS a, w FROM frequent WHERE length > 1),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:length], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, length)) AS k FROM candidates)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, ({phrases.SCALE}::HUGEINT * c.a // (x.f + y.f))::BIGINT AS score
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = c.head
+    JOIN frequent y ON y.lang = c.lang AND y.phrase = c.tail
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY {phrases.SCALE}::HUGEINT * c.a // (x.f + y.f), k) = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(w[pos:pos + size - 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest(range(1, length - size + 2)) AS pos
+        FROM (SELECT *, unnest(range(2, length)) AS size FROM candidates WHERE length > 2)) GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank,
+  s.phrase, a, l, r, n, score
+FROM scored s LEFT JOIN inner_parts i ON i.lang = s.lang AND i.phrase = s.phrase JOIN totals t ON t.lang = s.lang
+WHERE most IS NULL OR 100::HUGEINT * most < {phrases.COVERED}::HUGEINT * a
+QUALIFY row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) <= {phrases.BEST}"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op5_mixing": _mixing(), "op8_decontamination": _decontamination()}
+    return {"op5_mixing": _mixing(), "op8_decontamination": _decontamination(), "op11_phrases": _phrases()}

@@ -9,7 +9,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmart.llm import (
-    binary, decontamination, html, licenses, mixing, quality, sharding, simhash, tokens, urls,
+    binary, decontamination, html, licenses, mixing, phrases, quality, secrets, sharding, simhash, spelling, tokens,
+    urls,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,7 +93,23 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.secret_counts(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the vocabulary with its usual form."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {fn.__name__: _ready(fn) for fn in (
         op1_simhash, op2_quality_rules, op3_url_filters, op4_license_scans, op5_mixing,
-        op6_token_counts, op7_token_ids, op8_decontamination, op9_sharding, op10_html_extraction)}
+        op6_token_counts, op7_token_ids, op8_decontamination, op9_sharding, op10_html_extraction,
+        op11_phrases, op12_secrets, op13_spelling)}
