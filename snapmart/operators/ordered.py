@@ -76,6 +76,45 @@ def over_history(
     return inner.select(*names).unionByName(repaired.filter("_cut").select(*names))
 
 
+def over_time(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    seconds: int,
+    columns: Callable[[WindowSpec], dict[str, Column]],
+    sliced: bool = True,
+    slices: int | None = None,
+) -> DataFrame:
+    """Add window columns over the rows of a key within the last ``seconds`` before each row.
+
+    The frame holds what is less than ``seconds`` older, the row itself and all rows of
+    the same time. Rows without a time see each other only. ``sliced`` as in
+    :func:`over_history`; here a slice is also given the earlier rows that frames of its
+    first key reach back to. That band is bounded by time, not by a number of rows, and
+    may come from several slices before. Rows of one key and one time stay together.
+    """
+    scratch_dir(df.sparkSession)
+    micros, own, first = "_micros", "_own", "_first"
+    reach = seconds * 1_000_000
+    timed = df.withColumn(micros, F.unix_micros(F.col(time).cast("timestamp")))
+    if not sliced:
+        frame = Window.partitionBy(*keys).orderBy(micros).rangeBetween(1 - reach, 0)
+        return timed.withColumns(columns(frame)).drop(micros)
+
+    done = materialise(_sliced(timed, [F.col(c) for c in (*keys, micros)], slices), "over_time")
+    # One row per slice: the key and time it begins with.
+    starts = done.groupBy(_SLICE).agg(F.min(F.struct(*keys, micros)).alias(first)).select(
+        F.col(_SLICE).alias("_later"), *[F.col(f"{first}.{k}").alias(f"_first_{k}") for k in keys],
+        F.col(f"{first}.{micros}").alias("_from"))
+    reached = [F.equal_null(F.col(k), F.col(f"_first_{k}")) for k in keys]
+    reached += [F.col(_SLICE) < F.col("_later"), F.col(micros) > F.col("_from") - reach]
+    band = done.join(F.broadcast(starts), reached).select(
+        *df.columns, micros, F.col("_later").alias(_SLICE), F.lit(False).alias(own))
+    frame = Window.partitionBy(_SLICE, *keys).orderBy(micros).rangeBetween(1 - reach, 0)
+    both = done.select(*df.columns, micros, _SLICE, F.lit(True).alias(own)).unionByName(band)
+    return both.withColumns(columns(frame)).filter(own).drop(micros, _SLICE, own)
+
+
 def running_total(
     df: DataFrame, value: str, order: Sequence[Column], out: str, slices: int | None = None,
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from snapmart.schemas import (
 )
 from snapmart.session import materialised, require_utc
 from snapmart.sources.files import remove
-from snapmart.sources.gold import GoldStore
+from snapmart.sources.gold import GoldStore, entity_buckets
 from snapmart.sources.silver import read_silver
 from snapmart.sources.tables import verify_counts
 
@@ -79,9 +79,13 @@ def latest_entities(staging: DataFrame, loaded_at: Column) -> DataFrame:
     )
 
 
-def upsert_entities(dim: DataFrame, latest: DataFrame, loaded_at: Column) -> DataFrame:
-    """The entity dimension after merging ``latest`` (one row per entity) into it."""
-    last_key = F.coalesce(dim.agg(F.max("coin_sk")).scalar(), F.lit(0))
+def upsert_entities(dim: DataFrame, latest: DataFrame, loaded_at: Column, last_key: int | None = None) -> DataFrame:
+    """The entity dimension after merging ``latest`` (one row per entity) into it.
+
+    ``dim`` may be some buckets of the dimension, all that ``latest`` touches; the largest
+    key of the whole is then ``last_key``.
+    """
+    last_key = F.coalesce(dim.agg(F.max("coin_sk")).scalar(), F.lit(0)) if last_key is None else F.lit(last_key)
     fresh = number_keys(insert_if_absent(dim, latest, ["coin_id"]), "coin_id", "coin_sk", last_key)
     fresh = conform(fresh, DIM_COIN_CONTRACT, loaded_at)
     return update_matched(dim, latest, "coin_id", COIN_RULES).unionByName(fresh)
@@ -111,16 +115,16 @@ def quarantine_reasons(staging: DataFrame) -> DataFrame:
         F.struct(F.lit(c).alias("missing_column"), F.col(c).alias("rows")) for c in _NEEDED])))
 
 
-def new_facts(staging: DataFrame, dim: DataFrame, fact: DataFrame, loaded_at: Column) -> DataFrame:
-    """Fact rows for the snapshots in staging that ``fact`` does not hold, on whatever day."""
+def new_facts(staging: DataFrame, dim: DataFrame, stored: DataFrame, loaded_at: Column) -> DataFrame:
+    """Fact rows for the snapshots in staging that ``stored`` (snapshot_id) does not hold.
+
+    ``stored`` needs to have the stored ids among those of staging, on whatever day.
+    """
     snapshots = keep_latest(
         staging.filter(_loadable()).select(
             snapshot_id().alias("snapshot_id"), "coin_id", "ingestion_id",
             *FACT_MEASURES, "batch_ingested_at", "last_updated"),
         ["snapshot_id"], ["last_updated", "batch_ingested_at"])
-    # Of the whole fact only the ids that are staged again take part in the anti join.
-    staged = staging.select(snapshot_id().alias("snapshot_id"))
-    stored = fact.select("snapshot_id").join(staged, "snapshot_id", "left_semi")
     absent = insert_if_absent(stored, snapshots, ["snapshot_id"])
     keyed = absent.join(dim.select("coin_id", "coin_sk"), "coin_id")
     return conform(
@@ -146,9 +150,15 @@ def load_gold(silver: DataFrame, root: str, as_of: Column | None = None) -> dict
             return counts
         staging = spark.read.schema(staging_schema()).parquet(staging_path)
         with materialised(latest_entities(staging, loaded_at), "entities") as latest:
-            store.replace_dim_coin(upsert_entities(store.dim_coin(), latest, loaded_at))
+            # Only the buckets with entities of this load are read and written again.
+            buckets = entity_buckets(latest)
+            if buckets:
+                store.replace_dim_coin(upsert_entities(
+                    store.dim_coin(buckets), latest, loaded_at, store.last_coin_sk()), whole=False)
         store.append_dim_date(insert_if_absent(store.dim_date(), hours_of(staging), ["date_sk"]))
-        store.append_fact(new_facts(staging, store.dim_coin(), store.fact(), loaded_at))
+        stored = store.fact_keys().of_buckets(staging.select(snapshot_id().alias("snapshot_id")))
+        with materialised(new_facts(staging, store.dim_coin(buckets), stored, loaded_at), "facts") as facts:
+            store.append_fact(facts)
         return counts
     finally:
         remove(spark, staging_path)

@@ -18,7 +18,7 @@ from snapmart.functions import (
     round_half_away,
 )
 from snapmart.operators.latest import latest_batch
-from snapmart.operators.ordered import over_history, rank_descending, running_total, top
+from snapmart.operators.ordered import over_history, over_time, rank_descending, running_total, top
 from snapmart.operators.quality import distinct_rows
 from snapmart.schemas import FACT_PARTITION
 
@@ -85,9 +85,17 @@ def market_cap_rank(fact: DataFrame, dim_coin: DataFrame, n: int | None = 15) ->
     return best.withColumn("rank", rank.cast("bigint")).orderBy("rank", "coin_id").drop("coin_id")
 
 
+def _distinct(column: str, error: float | None) -> Column:
+    return F.count_distinct(column) if error is None else F.approx_count_distinct(column, error)
+
+
 def hourly_trend(fact: DataFrame, dim_date: DataFrame, as_of: Column | None = None,
-                 days: int = 7) -> DataFrame:
-    """Totals per hour over the last ``days`` days before ``as_of``."""
+                 days: int = 7, distinct_error: float | None = None) -> DataFrame:
+    """Totals per hour over the last ``days`` days before ``as_of``.
+
+    Entities are counted exactly, or with ``distinct_error`` estimated within that
+    relative standard deviation, which keeps a sketch per hour instead of all entities.
+    """
     as_of = F.current_timestamp() if as_of is None else as_of
     start = as_of - F.make_dt_interval(F.lit(days))
     # Implied by the condition on the hour; these reach the scan of the fact.
@@ -95,7 +103,7 @@ def hourly_trend(fact: DataFrame, dim_date: DataFrame, as_of: Column | None = No
     if _day(fact):
         recent = recent.filter(F.col(FACT_PARTITION) >= F.to_date(start))
     per_hour = recent.groupBy("date_sk").agg(
-        F.count_distinct("coin_sk").alias("coins_tracked"),
+        _distinct("coin_sk", distinct_error).alias("coins_tracked"),
         F.sum(F.col("market_cap")).alias("total_market_cap_usd"),
         F.sum(F.col("total_volume")).alias("total_volume_usd"),
         F.avg(F.col("price_change_pct_24h")).alias("avg_price_change_pct"),
@@ -158,6 +166,21 @@ def rolling_average(fact: DataFrame, dim_coin: DataFrame, symbols: Sequence[str]
     ).orderBy("symbol", F.col("batch_ingested_at").desc())
 
 
+def rolling_day_average(fact: DataFrame, dim_coin: DataFrame, symbols: Sequence[str] | None = ROLLING_SYMBOLS,
+                        seconds: int = 86_400, sliced: bool = True) -> DataFrame:
+    """Mean price over the last 24 hours of the entity, however many snapshots these hold,
+    how many they are, and the distance to the mean."""
+    rows = over_time(
+        _history(fact, dim_coin, symbols), ["coin_sk"], "batch_ingested_at", seconds,
+        lambda frame: {"_mean": F.avg("current_price").over(frame), "snapshots": F.count("*").over(frame)},
+        sliced=sliced)
+    return rows.select(
+        "name", "symbol", "batch_ingested_at", "current_price", "snapshots",
+        round_half_away(F.col("_mean"), 6).alias("day_avg_price"),
+        round_half_away(F.col("current_price") - F.col("_mean"), 6).alias("deviation_from_day_avg"),
+    ).orderBy("symbol", F.col("batch_ingested_at").desc())
+
+
 _SHARE = "decimal(20,4)"
 
 

@@ -114,6 +114,10 @@ def envelope_schema() -> T.StructType:
     ])
 
 
+def damaged_schema() -> T.StructType:
+    return T.StructType([T.StructField("ingestion_id", T.StringType()), T.StructField(CORRUPT, T.StringType())])
+
+
 def silver_schema() -> T.StructType:
     kinds = {"ingestion_id": "string", "batch_ingested_at": "timestamp"}
     kinds.update({name: kind for name, _, kind in RECORD_COLUMNS})

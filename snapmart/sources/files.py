@@ -20,6 +20,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file, and the folders above it."""
+    fs, target = _locate(spark, path)
+    fs.create(target, True).close()
+
+
 def modified(spark: SparkSession, path: str) -> float:
     """Time of the last change, in seconds since 1970."""
     fs, target = _locate(spark, path)

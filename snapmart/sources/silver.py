@@ -8,6 +8,7 @@ from snapmart.functions.temporal import hour_number
 from snapmart.schemas import PARTITION_COLUMNS, silver_schema
 from snapmart.session import materialised, require_utc
 from snapmart.sources.files import exists
+from snapmart.sources.key_table import BUCKETS, KeyTable
 
 
 def _laid_out(df: DataFrame) -> DataFrame:
@@ -16,9 +17,7 @@ def _laid_out(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *PARTITION_COLUMNS)
 
 
-def write_silver(df: DataFrame, path: str, mode: str = "overwrite",
-                 touched_partitions_only: bool = False) -> None:
-    """Write silver; ``touched_partitions_only`` replaces just the hours present in ``df``."""
+def _written(df: DataFrame, path: str, mode: str, touched_partitions_only: bool = False) -> None:
     require_utc(df.sparkSession)
     writer = _laid_out(df).write.mode(mode).partitionBy(*PARTITION_COLUMNS)
     if touched_partitions_only:
@@ -26,6 +25,22 @@ def write_silver(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
+def write_silver(df: DataFrame, path: str, mode: str = "overwrite",
+                 touched_partitions_only: bool = False) -> None:
+    """Write silver; ``touched_partitions_only`` replaces just the hours present in ``df``.
+
+    An index of stored keys that :func:`append_silver` has left there no longer holds and
+    is dropped; the next append builds it anew.
+    """
+    silver_keys(df.sparkSession, path).forget()
+    _written(df, path, mode, touched_partitions_only)
+
+
+def silver_keys(spark: SparkSession, path: str, keys=("ingestion_id", "coin_id"), buckets: int = BUCKETS) -> KeyTable:
+    """The stored keys of the silver table at ``path``."""
+    return KeyTable(spark, path, keys, lambda: read_silver(spark, path), buckets)
+
+
 def read_silver(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
     """Read silver, optionally only batches in ``[since, until)``.
 
@@ -48,19 +63,21 @@ def _folder_hour():
     return ((y * 100 + m) * 100 + d) * 100 + h
 
 
-def append_silver(df: DataFrame, path: str, keys=("ingestion_id", "coin_id")) -> None:
+def append_silver(df: DataFrame, path: str, keys=("ingestion_id", "coin_id"), buckets: int = BUCKETS) -> None:
     """Append the rows whose key is not stored yet, so a repeated run adds nothing.
 
-    Stored keys are looked up in all of silver, as a snapshot may be delivered again
-    with another batch time or with none; only the key columns are read for that. A
-    NULL in a key is a value like any other.
+    A snapshot is found under whatever batch time it was stored, or none. Stored keys are
+    read from the buckets that ``df`` touches only (see :class:`KeyTable`). A NULL in a
+    key is a value like any other.
     """
     spark = df.sparkSession
     require_utc(spark)
     with materialised(df, "append") as rows:
-        if exists(spark, path):
-            known = read_silver(spark, path).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-            match = [F.equal_null(F.col(k), F.col(f"_known_{k}")) for k in keys]
-            write_silver(rows.join(known, match, "left_anti"), path, mode="append")
-        else:
-            write_silver(rows, path, mode="append")
+        if not exists(spark, path):
+            _written(rows, path, "append")
+            return
+        stored = silver_keys(spark, path, keys, buckets)
+        with materialised(stored.absent(rows), "absent") as absent:
+            if not absent.isEmpty():
+                with stored.adding(absent):
+                    _written(absent, path, "append")

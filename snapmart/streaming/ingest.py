@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from snapmart.operators.dedup import drop_copies
 from snapmart.operators.records import flatten_and_cast, keep_valid
 from snapmart.plans.gold import load_gold
 from snapmart.plans.silver import SNAPSHOT_KEY, deduplicate
-from snapmart.schemas import silver_schema
-from snapmart.sources.bronze import explode_records, stream_envelopes
+from snapmart.schemas import PARTITION_COLUMNS, damaged_schema, silver_schema
+from snapmart.sources.bronze import corrupt_envelopes, explode_records, stream_envelopes
 from snapmart.sources.silver import append_silver, read_silver, write_silver
+from snapmart.sources.triggers import read_triggers, write_trigger
 
 
 def stream_rows(spark: SparkSession, bronze_path: str, layout: str = "documents",
@@ -35,6 +36,72 @@ def start_first_seen(rows: DataFrame, silver_path: str, checkpoint: str, **trigg
     return _started(writer, checkpoint, trigger or {"processingTime": "1 minute"})
 
 
+def first_seen_within(rows: DataFrame, lateness: str) -> DataFrame:
+    """Each snapshot once, as first seen, with state for no longer than ``lateness``.
+
+    A snapshot is forgotten once the watermark, the newest batch time seen less
+    ``lateness``, has passed its batch time by ``lateness``. A row whose batch time lies
+    behind the watermark is dropped, so no snapshot comes twice; :func:`dropped_as_late`
+    counts such rows. Rows without a batch time cannot be placed and are left out.
+    """
+    dated = rows.filter(F.col("batch_ingested_at").isNotNull())
+    return dated.withWatermark("batch_ingested_at", lateness).dropDuplicatesWithinWatermark(list(SNAPSHOT_KEY))
+
+
+def start_first_seen_within(rows: DataFrame, silver_path: str, checkpoint: str, lateness: str = "1 day",
+                            **trigger) -> StreamingQuery:
+    """Append what :func:`first_seen_within` lets through; nothing stored is read again.
+
+    Unlike :func:`start_first_seen`, what a trigger costs depends on the rows that arrive
+    and on the snapshots of the last while, not on what silver holds. The folder belongs
+    to this stream alone: the stream keeps a log in it, by which a trigger that is run
+    again after a failure leaves its rows once. Read it with ``read_silver``.
+    """
+    writer = first_seen_within(rows, lateness).writeStream.format("parquet").partitionBy(
+        *PARTITION_COLUMNS).option("path", silver_path)
+    return _started(writer, checkpoint, trigger or {"processingTime": "1 minute"})
+
+
+def dropped_as_late(query: StreamingQuery) -> int:
+    """Rows that recent triggers of ``query`` dropped as they came behind the watermark,
+    copies within a trigger counted once."""
+    return sum(state["numRowsDroppedByWatermark"] for progress in query.recentProgress
+               for state in progress["stateOperators"])
+
+
+def start_landing(spark: SparkSession, bronze_path: str, rows_path: str, damaged_path: str, checkpoint: str,
+                  layout: str = "documents", max_files_per_trigger: int | None = None, **trigger) -> StreamingQuery:
+    """Store the landing folder as it arrives: typed valid rows, the latest per snapshot and
+    trigger, and beside them the envelopes that could not be parsed in full.
+
+    The readable part of a damaged envelope counts like any other. Either sink has a
+    folder per trigger that is written whole, so a trigger that failed between the two
+    and is run again leaves every row and every damaged envelope once.
+    """
+    def land(envelopes: DataFrame, number: int) -> None:
+        # Two sinks of one trigger: the files are read once.
+        held = envelopes.persist()
+        try:
+            rows = explode_records(held).transform(flatten_and_cast).transform(keep_valid)
+            write_trigger(deduplicate(rows), rows_path, number, PARTITION_COLUMNS)
+            write_trigger(corrupt_envelopes(held), damaged_path, number)
+        finally:
+            held.unpersist()
+
+    writer = stream_envelopes(spark, bronze_path, layout, max_files_per_trigger).writeStream.foreachBatch(land)
+    return _started(writer, checkpoint, trigger or {"processingTime": "1 minute"})
+
+
+def read_landed(spark: SparkSession, rows_path: str) -> DataFrame:
+    """The latest valid row per snapshot out of all finished triggers of a landing."""
+    return deduplicate(read_triggers(spark, rows_path, silver_schema()))
+
+
+def read_damaged(spark: SparkSession, damaged_path: str) -> DataFrame:
+    """(ingestion_id, text) of the damaged envelopes of all finished triggers."""
+    return read_triggers(spark, damaged_path, damaged_schema())
+
+
 def start_keep_latest(rows: DataFrame, versions_path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append every batch's latest valid row per snapshot to ``versions_path``.
 

@@ -373,6 +373,15 @@ FROM (SELECT *, avg(current_price) OVER ({_HISTORY_KEY} ROWS BETWEEN 23 PRECEDIN
       FROM fact WHERE {where})"""
 
 
+def _rolling_time(seconds):
+    frame = f"RANGE BETWEEN INTERVAL '{seconds - 1}' SECOND PRECEDING AND CURRENT ROW"
+    return f"""
+SELECT name, symbol, batch_ingested_at, current_price, snapshots, {rounded('mean', 6)} AS day_avg_price,
+  {rounded('current_price - mean', 6)} AS deviation_from_day_avg
+FROM (SELECT *, avg(current_price) OVER w AS mean, count(*) OVER w AS snapshots
+      FROM fact WINDOW w AS (PARTITION BY coin_id ORDER BY batch_ingested_at {frame}))"""
+
+
 _DOMINANCE = f"""
 SELECT name, symbol, market_cap, dominance_pct,
   CAST(sum(CAST(dominance_pct AS DECIMAL(20,4))) OVER (
@@ -564,6 +573,16 @@ def oracles() -> dict[str, str]:
         "marketcap_rank": _GOLD + _CAP_RANK + " ORDER BY rank, coin_id LIMIT 15",
         "marketcap_rank_all": _GOLD + _CAP_RANK,
         "line_hourly_trend": _LINES + _trend("365 DAY", rounded("avg(price_change_pct_24h)", 6)),
+        "rolling_day_average": _GOLD + _rolling_time(86_400),
+        "line_rolling_week_average": _LINES + _rolling_time(7 * 86_400),
+        "distinct_entities_by_day": _GOLD + """
+            SELECT CAST(batch_ingested_at AS DATE) AS snapshot_date, count(*) AS rows,
+              count(DISTINCT coin_id) AS exact_entities, TRUE AS estimate_within_bounds
+            FROM fact GROUP BY CAST(batch_ingested_at AS DATE)""",
+        "distinct_parts_by_month": _LINES + """
+            SELECT CAST(date_trunc('month', batch_ingested_at) AS DATE) AS month, count(*) AS rows,
+              count(DISTINCT coin_id) AS exact_parts, TRUE AS estimate_within_bounds
+            FROM fact GROUP BY date_trunc('month', batch_ingested_at)""",
         "line_weekend_weekday": _LINES + _WEEKEND,
         "line_rolling_average": _LINES + _rolling("TRUE"),
         "line_snapshot_change": _LINES + _change("symbol IN ('Brand#1', 'Brand#2', 'Brand#3')"),
@@ -571,6 +590,24 @@ def oracles() -> dict[str, str]:
         "line_freshness": _LINES + _freshness("2 hours"),
         "stream_first_seen": _DERIVED + f"""
             SELECT DISTINCT ingestion_id, coin_id FROM derived WHERE {VALID}""",
+        "stream_first_seen_within": _DERIVED + f""",
+            placed AS (
+              SELECT *, CASE WHEN last_updated < TIMESTAMP '2024-01-11' THEN 1
+                WHEN last_updated < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS own, second(last_updated) AS s
+              FROM derived WHERE {VALID}),
+            arrived AS (
+              SELECT ingestion_id, coin_id, batch_ingested_at, own AS wave FROM placed WHERE s % 7 <> 0
+              UNION ALL SELECT ingestion_id, coin_id, batch_ingested_at, own + 1 FROM placed
+              WHERE s % 7 = 0 OR s % 5 = 0),
+            marks AS (
+              SELECT w.wave, max(a.batch_ingested_at) - INTERVAL 3 DAY AS mark
+              FROM (SELECT DISTINCT wave FROM arrived) w LEFT JOIN arrived a ON a.wave < w.wave GROUP BY w.wave)
+            SELECT DISTINCT ingestion_id, coin_id, batch_ingested_at FROM arrived JOIN marks USING (wave)
+            WHERE mark IS NULL OR batch_ingested_at > mark""",
+        "stream_landing": _DERIVED + f"""
+            SELECT ingestion_id, coin_id, current_price, last_updated, TRUE AS all_damage_kept
+            FROM derived WHERE {VALID} AND NOT ends_with(ingestion_id, '06')
+            QUALIFY row_number() OVER (PARTITION BY ingestion_id, coin_id ORDER BY last_updated DESC) = 1""",
         "stream_keep_latest": _DERIVED + f"""
             SELECT {_SNAPSHOT} FROM derived WHERE {VALID}
             QUALIFY row_number() OVER (PARTITION BY ingestion_id, coin_id ORDER BY last_updated DESC) = 1""",

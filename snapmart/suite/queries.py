@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapmart.functions import (
     calendar_columns, hour_key, minutes_between_boundaries, partition_parts, round_half_away,
 )
-from snapmart.operators import contracts, dedup, quality, summaries
+from snapmart.operators import contracts, dedup, quality, sketches, summaries
 from snapmart.operators.latest import newest_time
 from snapmart.operators.ordered import over_history
 from snapmart.operators.records import (
@@ -538,7 +538,7 @@ def snapshot_change(spark, sf_dir):
 def snapshot_change_all(spark, sf_dir):
     """Previous and next price of every snapshot of every entity."""
     fact, coins, _ = _star(spark, sf_dir)
-    return reports.snapshot_change(fact, coins, None, include_next=True, sliced=False)
+    return _stored(spark, lambda: reports.snapshot_change(fact, coins, None, include_next=True))
 
 
 @query
@@ -580,6 +580,49 @@ def rolling_average_sliced(spark, sf_dir):
     return _stored(spark, lambda: reports.rolling_average(fact, coins, None))
 
 
+@query
+def rolling_day_average(spark, sf_dir):
+    """Mean price over the last 24 hours, by time, of every snapshot of every entity."""
+    fact, coins, _ = _star(spark, sf_dir)
+    return _stored(spark, lambda: reports.rolling_day_average(fact, coins, None))
+
+
+@query
+def line_rolling_week_average(spark, sf_dir):
+    """Mean price of a part over the last seven days, by time."""
+    fact, parts, _ = adapter.line_items(spark, sf_dir)
+    return _stored(spark, lambda: reports.rolling_day_average(fact, parts, None, seconds=7 * 86_400))
+
+
+@query
+def distinct_entities_by_day(spark, sf_dir):
+    """Distinct entities per day, exact, and whether hourly sketches merged per day agree."""
+    fact, _, _ = _star(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    sketches.store_sketches(sketches.hourly_sketches(fact), path)
+    merged = sketches.distinct_entities(sketches.read_sketches(spark, path), "snapshot_date")
+    exact = fact.groupBy("snapshot_date").agg(F.count_distinct("coin_sk").alias("exact_entities"))
+    return exact.join(merged, "snapshot_date").select(
+        "snapshot_date", "rows", "exact_entities",
+        sketches.within_bounds(F.col("exact_entities"), F.col("entities")).alias("estimate_within_bounds"))
+
+
+@query
+def distinct_parts_by_month(spark, sf_dir):
+    """The same over line items, merged per month of shipping."""
+    fact, _, _ = adapter.line_items(spark, sf_dir)
+    dated = fact.withColumn("snapshot_date", F.to_date("batch_ingested_at"))
+    path = scratch_path(spark, "sketches")
+    sketches.store_sketches(sketches.hourly_sketches(dated).withColumn(
+        "snapshot_date", F.trunc("snapshot_date", "month")), path)
+    merged = sketches.distinct_entities(sketches.read_sketches(spark, path), "snapshot_date")
+    exact = dated.groupBy(F.trunc("snapshot_date", "month").alias("snapshot_date")).agg(
+        F.count_distinct("coin_sk").alias("exact_parts"))
+    return exact.join(merged, "snapshot_date").select(
+        F.col("snapshot_date").alias("month"), "rows", "exact_parts",
+        sketches.within_bounds(F.col("exact_parts"), F.col("entities")).alias("estimate_within_bounds"))
+
+
 @query
 def freshness_monitor(spark, sf_dir):
     fact, _, _ = _star(spark, sf_dir)
@@ -669,6 +712,50 @@ def stream_first_seen(spark, sf_dir):
     return read_silver(spark, target).select(*SNAPSHOT_KEY)
 
 
+LATENESS = "3 days"
+
+
+def _waves(records):
+    """Records in the order they arrive: the month in thirds, some a wave late, some again."""
+    ts = F.to_timestamp("coin.last_updated")
+    wave = F.when(ts < "2024-01-11", 1).when(ts < "2024-01-21", 2).otherwise(3)
+    late, again = F.second(ts) % 7 == 0, F.second(ts) % 5 == 0
+    waves = F.when(late, F.array(wave + 1)).when(again, F.array(wave, wave + 1)).otherwise(F.array(wave))
+    return records.withColumn("wave", F.explode(waves))
+
+
+@query
+def stream_first_seen_within(spark, sf_dir):
+    """Snapshots that arrive in four waves, with repeats, late and too late ones, between
+    which the stream is stopped and started again."""
+    source, target, progress = [scratch_path(spark, x) for x in ("bronze", "stream", "progress")]
+    records = _waves(adapter.records(spark, sf_dir)).withColumn(
+        "batch_ingested_at", F.to_timestamp("batch_ingested_at"))
+    for wave in range(1, 5):
+        arriving = records.filter(F.col("wave") == wave).drop("wave")
+        bronze.write_bronze(bronze.build_envelopes(arriving, "test_events", max_records=500), source, "lines")
+        rows = ingest.stream_rows(spark, source, "lines")
+        _drain(ingest.start_first_seen_within(rows, target, progress, LATENESS, availableNow=True))
+    return read_silver(spark, target).select(*SNAPSHOT_KEY, "batch_ingested_at")
+
+
+@query
+def stream_landing(spark, sf_dir):
+    """Rows of a stream some of whose envelopes end after their head, and how many did."""
+    path, cut = _bronze_folder(spark, sf_dir, "lines"), scratch_path(spark, "cut")
+    rows, damaged, progress = [scratch_path(spark, x) for x in ("landed", "damaged", "progress")]
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    batch = F.get_json_object("value", "$.ingestion_id")
+    lines.select(F.when(batch.endswith("06"), F.expr("substring(value, 1, 60)")).otherwise(F.col("value"))).write.text(cut)
+    _drain(ingest.start_landing(
+        spark, cut, rows, damaged, progress, "lines", max_files_per_trigger=3, availableNow=True))
+    found = ingest.read_damaged(spark, damaged).agg(F.count("*").alias("damaged")).crossJoin(
+        lines.agg(F.count_if(batch.endswith("06")).alias("shortened")))
+    return ingest.read_landed(spark, rows).crossJoin(F.broadcast(found)).select(
+        *SNAPSHOT_KEY, "current_price", "last_updated",
+        (F.col("damaged") == F.col("shortened")).alias("all_damage_kept"))
+
+
 @query
 def stream_keep_latest(spark, sf_dir):
     """Bronze folder streamed to silver in several batches, latest row kept."""

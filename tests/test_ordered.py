@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from snapmart.session import scratch_dir, scratch_scope
 from snapmart.sources.files import child_names
-from snapmart.operators.ordered import over_history, rank_descending, running_total, top
+from snapmart.operators.ordered import over_history, over_time, rank_descending, running_total, top
 
 RNG = random.Random(11)
 
@@ -97,3 +97,21 @@ def test_random_histories(spark, rows, slices):
     plain = over_history(df, ["k"], ["t", "id"], frame, back=1, ahead=1, sliced=False)
     sliced = over_history(df, ["k"], ["t", "id"], frame, back=1, ahead=1, slices=slices)
     assert bag(sliced) == bag(plain)
+
+
+def test_time_frames_equal_the_plain_window(spark):
+    """One key has most rows; its frames reach over several slices."""
+    rows = [("hot", i * 37 % 5000 if i % 3 else i % 50, i) for i in range(1500)]
+    rows += [(f"k{i % 40}", i * 91 % 9000, i) for i in range(400)] + [(None, 5, 1), (None, 6, 2), ("hot", None, 9), ("hot", None, 10)]
+    df = spark.createDataFrame(rows, "k string, t bigint, v bigint").withColumn("at", F.timestamp_seconds("t"))
+
+    def columns(frame):
+        return {"n": F.count("*").over(frame), "total": F.sum("v").over(frame), "least": F.min("v").over(frame)}
+
+    for seconds in (1, 60, 4000):
+        plain = sorted(map(str, over_time(df, ["k"], "at", seconds, columns, sliced=False).collect()))
+        for slices in (1, 3, 16):
+            cut = over_time(df, ["k"], "at", seconds, columns, slices=slices)
+            assert cut.columns == df.columns + ["n", "total", "least"]
+            assert sorted(map(str, cut.collect())) == plain
+    assert over_time(df.limit(0), ["k"], "at", 60, columns).count() == 0

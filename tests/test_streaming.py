@@ -7,6 +7,7 @@ from snapmart.plans.silver import deduplicate
 from snapmart.sources.bronze import read_bronze
 from snapmart.sources.gold import GoldStore
 from snapmart.sources.silver import append_silver, read_silver
+from snapmart.sources.triggers import finished_triggers
 from snapmart.streaming import ingest
 
 T1, T2 = "2024-06-15T10:06:00Z", "2024-06-15T11:06:00Z"
@@ -110,3 +111,71 @@ def test_gold_refresh(spark, scratch):
     assert sorted(r.snapshot_id for r in store.fact().collect()) == ["aa_b1", "aa_b2", "bb_b1", "cc_b2"]
     assert sorted(r.coin_sk for r in store.dim_coin().collect()) == [1, 2, 3]
     assert store.dim_date().count() == 2
+
+
+def day(d, hour=10):
+    return f"2024-06-{d:02d}T{hour:02d}:00:00Z"
+
+
+def test_first_seen_within_forgets_and_drops(spark, scratch):
+    """Every run is a restart from the checkpoint; state and watermark survive it."""
+    bronze, silver = f"{scratch}/bronze", f"{scratch}/silver"
+
+    def run(name, *batches):
+        for i, (batch, at, *records) in enumerate(batches):
+            land(bronze, f"{name}{i}.json", batch, at, *records)
+        query = ingest.start_first_seen_within(
+            ingest.stream_rows(spark, bronze), silver, f"{scratch}/progress", "2 days", availableNow=True)
+        drain(query)
+        kept = sum(s["numRowsTotal"] for p in query.recentProgress[-1:] for s in p["stateOperators"])
+        return ingest.dropped_as_late(query), kept
+
+    late, _ = run("a", ("b1", day(1), record(), record(), record(id="bb")), ("b0", None, record(id="undated")))
+    assert late == 0 and by_key(read_silver(spark, silver)) == {("b1", "aa"): 10.5, ("b1", "bb"): 10.5}
+    # A repeat in time changes nothing, a late row in time is taken.
+    late, _ = run("b", ("b1", day(1), record(current_price=9)), ("b5", day(5), record()), ("b1", day(1), record(id="cc")))
+    assert late == 0 and sorted(by_key(read_silver(spark, silver))) == [
+        ("b1", "aa"), ("b1", "bb"), ("b1", "cc"), ("b5", "aa")]
+    # The watermark stands at the third: what is older is dropped, repeated or new.
+    late, kept = run("c", ("b1", day(1), record(), record(id="dd")), ("b4", day(4), record()), ("b9", day(9), record()))
+    assert late == 2 and read_silver(spark, silver).count() == 6
+    assert ("b4", "aa") in by_key(read_silver(spark, silver))
+    # Only snapshots of the last while are held.
+    assert kept < 6
+    assert read_silver(spark, silver).groupBy("ingestion_id", "coin_id").count().filter("count > 1").count() == 0
+
+
+def test_landing_keeps_rows_and_damage_once(spark, scratch):
+    bronze, rows, damaged, progress = [f"{scratch}/{x}" for x in ("bronze", "rows", "damaged", "progress")]
+
+    def start():
+        return ingest.start_landing(spark, bronze, rows, damaged, progress, availableNow=True)
+
+    land(bronze, "1.json", "b1", T1, record(), record(current_price=0, id="bad"))
+    put(bronze, "2.json", '{"ingestion_id": "b2", "data": [{"id"')
+    drain(start())
+    assert by_key(ingest.read_landed(spark, rows)) == {("b1", "aa"): 10.5}
+    assert ingest.read_damaged(spark, damaged).count() == 1
+    # The second sink fails after the first was written; the trigger is run again.
+    land(bronze, "3.json", "b3", T2, record(), record(id="bb"))
+    put(bronze, "4.json", "no envelope")
+    keep, ingest.corrupt_envelopes = ingest.corrupt_envelopes, None
+    try:
+        query = start()
+        try:
+            query.awaitTermination()
+        except Exception:
+            pass
+        assert query.exception() is not None and len(finished_triggers(spark, rows)) == 2
+    finally:
+        ingest.corrupt_envelopes = keep
+    for _ in range(2):
+        drain(start())
+        landed = ingest.read_landed(spark, rows)
+        assert by_key(landed) == {("b1", "aa"): 10.5, ("b3", "aa"): 10.5, ("b3", "bb"): 10.5}
+        assert landed.count() == 3 and ingest.read_damaged(spark, damaged).count() == 2
+
+
+def test_nothing_landed_yet(spark, scratch):
+    assert ingest.read_landed(spark, f"{scratch}/none").count() == 0
+    assert ingest.read_damaged(spark, f"{scratch}/none").count() == 0
