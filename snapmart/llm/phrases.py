@@ -16,14 +16,11 @@ exact count.
 from __future__ import annotations
 
 import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapmart.llm import bloom
@@ -37,57 +34,95 @@ COVERED = 80
 BEST = 2_000
 NO_LANGUAGE = "und"
 # One of so many words is a trigger. Without one, a chunk ends after MAX_OWNED words.
-TRIGGER = 8
+TRIGGER = 16
 MAX_OWNED = 64
-# Different chunks a task collects before it passes them on.
-HELD = 100_000
+# Bytes of text cut into chunks at once, and chunks counted at once.
+BLOCK = 1 << 21
+CHUNKS = 100_000
 # The best phrases are first picked among so many parts of a language.
 PARTS = 32
 
-_PIECES = re.compile(rb"[.,;:!?\x0a-\x0d]+")
+_BREAK = re.compile(rb"[.,;:!?\x0a-\x0d]")
+# What each byte is: 0 part of a word, 1 a gap between words, 2 the end of a piece.
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[[0x20, 0x09]] = 1
+_KIND[list(b".,;:!?\x0a\x0b\x0c\x0d")] = 2
+# Bytes' hashes (none for the space that ends a word) and factors for their places.
+_BYTES, _PLACES = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTES[0x20] = 0
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_CHUNKS = "lang string, chunk binary, owned int, n bigint"
+_CHUNK = "lang string, chunk binary, owned int"
 
 
-class _Triggers(dict):
-    """Whether a word is a trigger; remembers some words."""
+def _word_hashes(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of every word; words lie one after the other, ``sizes`` bytes each."""
+    if not len(begins):
+        return np.zeros(0, dtype=np.uint64)
+    place = np.arange(len(data)) - np.repeat(begins, sizes)
+    return np.add.reduceat(_BYTES[data] * _PLACES[place & 255], begins)
 
-    def __missing__(self, word: bytes) -> bool:
-        if len(self) >= 500_000:
-            self.clear()
-        self[word] = found = zlib.crc32(word) % TRIGGER == 0
-        return found
 
+def cut_into_chunks(parts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(part, chunk, owned words) of all chunks of lower-cased ``parts`` of text, as arrays.
 
-def chunks_of(words: list[bytes], triggers: dict) -> Iterator[tuple[bytes, int]]:
-    """(chunk, owned words) of a piece: the chunk's words joined by spaces."""
-    start, n = 0, len(words)
-    for at in range(1, n):
-        if triggers[words[at]] or at - start == MAX_OWNED:
-            yield b" ".join(words[start:at + LONGEST - 1]), at - start
-            start = at
-    if n:
-        yield b" ".join(words[start:]), n - start
+    A chunk is its words joined by single spaces: those it owns, and up to three more.
+    """
+    data = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
+    kind = _KIND[data]
+    inside = kind == 0
+    before = np.concatenate(([False], inside[:-1]))
+    at, after = np.flatnonzero(inside & ~before), ~inside & before
+    n = len(at)
+    # All words, each with one space behind it.
+    kept = inside | after
+    clean = np.where(after, np.uint8(0x20), data)[kept]
+    sizes = np.flatnonzero(after) - at + 1
+    begins = np.cumsum(sizes) - sizes
+    piece = np.cumsum(kind == 2)[at]
+    first = np.concatenate(([True], piece[1:] != piece[:-1]))[:n]
+    cut = first | (bloom.mixed(_word_hashes(clean, begins, sizes)) % np.uint64(TRIGGER) == 0)
+    place = np.arange(n)
+    cut |= (place - np.maximum.accumulate(np.where(cut, place, 0))) % MAX_OWNED == 0
+    cuts = np.flatnonzero(cut)
+    owned = np.diff(cuts, append=n)
+    pieces = np.flatnonzero(first)
+    ends = np.append(pieces[1:], n)[np.cumsum(first)[cuts] - 1]
+    last = np.minimum(cuts + owned + LONGEST - 1, ends) - 1
+    lengths = begins[last] + sizes[last] - 1 - begins[cuts]
+    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    taken = clean[np.arange(offsets[-1]) + np.repeat(begins[cuts] - offsets[:-1], lengths)]
+    chunks = pa.Array.from_buffers(
+        pa.binary(), len(cuts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(taken)])
+    starts = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
+    return np.searchsorted(starts, at[cuts], side="right") - 1, chunks, owned
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[str], list[bytes]]]:
+    """Languages and texts of a few megabytes at a time; longer texts are cut between pieces."""
+    langs, parts, size = [], [], 0
+    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        text, start = (text.as_py() or b"").lower(), 0
+        while start < len(text):
+            end = len(text)
+            if end - start > BLOCK and (found := _BREAK.search(text, start + BLOCK)):
+                end = found.end()
+            langs.append(lang)
+            parts.append(text[start:end])
+            start, size = end, size + end - start
+            if size >= BLOCK:
+                yield langs, parts
+                langs, parts, size = [], [], 0
+    if parts:
+        yield langs, parts
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    triggers, found = _Triggers(), Counter()
-
-    def out() -> pa.RecordBatch:
-        langs, chunks, owned = zip(*found) if found else ((), (), ())
-        return pa.RecordBatch.from_pydict({
-            "lang": pa.array(langs, pa.string()), "chunk": pa.array(chunks, pa.binary()),
-            "owned": pa.array(owned, pa.int32()), "n": pa.array(found.values(), pa.int64())})
-
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for piece in _PIECES.split((text.as_py() or b"").lower()):
-                for chunk, owned in chunks_of(piece.split(), triggers):
-                    found[lang, chunk, owned] += 1
-            if len(found) >= HELD:
-                yield out()
-                found.clear()
-    yield out()
+        for langs, parts in _blocks(batch):
+            part, chunks, owned = cut_into_chunks(parts)
+            yield pa.RecordBatch.from_pydict({
+                "lang": pa.array(langs, pa.string()).take(pa.array(part)), "chunk": chunks,
+                "owned": pa.array(owned, pa.int32())})
 
 
 def parse(documents: DataFrame) -> DataFrame:
@@ -95,7 +130,7 @@ def parse(documents: DataFrame) -> DataFrame:
     often each occurs. NULL texts have none; a NULL lang is ``und``."""
     texts = documents.select(
         F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(_parsed, _CHUNKS).groupBy("lang", "chunk", "owned").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(_parsed, _CHUNK).groupBy("lang", "chunk", "owned").agg(F.count("*").alias("n"))
 
 
 class _Words:
@@ -128,8 +163,41 @@ class _Words:
 
 
 def _digests(names: pa.Array) -> np.ndarray:
-    return np.fromiter(
-        (xxhash.xxh64_intdigest(x.encode()) for x in names.to_pylist()), dtype=np.uint64, count=len(names))
+    """Hashes of distinct names."""
+    offsets = np.frombuffer(names.buffers()[1], np.int32)[names.offset:names.offset + len(names) + 1].astype(np.int64)
+    out, some = np.zeros(len(names), dtype=np.uint64), np.flatnonzero(np.diff(offsets))
+    if len(some):
+        data = np.frombuffer(names.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+        out[some] = _word_hashes(data, offsets[some] - offsets[0], np.diff(offsets)[some])
+    return out
+
+
+def _numbered(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(a row of each distinct code, its number per row, how many)."""
+    most = int(code.max(initial=0)) + 1
+    if most > 8 * len(code) + 1024:
+        _, rows, number = np.unique(code, return_index=True, return_inverse=True)
+        return rows, number, len(rows)
+    # Small codes are told apart by a table instead of sorting.
+    row = np.full(most, -1)
+    row[code[::-1]] = np.arange(len(code))[::-1]
+    used = np.flatnonzero(row >= 0)
+    number = np.zeros(most, dtype=np.int64)
+    number[used] = np.arange(len(used))
+    return row[used], number[code], len(used)
+
+
+def _many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to CHUNKS rows or more, as the larger one is the fewer words come up again."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= CHUNKS:
+            yield pa.concat_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.concat_batches(held)
 
 
 def _phrases(length: int, filter_):
@@ -137,9 +205,7 @@ def _phrases(length: int, filter_):
     phrases that are a word shorter; None for single words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _many(batches):
             own = _Words(batch.column(0), batch.column(1))
             at, chunk = own.places(batch.column(2).to_numpy().astype(np.int64))
             if length > 1:
@@ -149,13 +215,11 @@ def _phrases(length: int, filter_):
                     likely = bloom.passes(filter_.value[0], own.hashes(at + shift, chunk, length - 1))
                     at, chunk = at[likely], chunk[likely]
             # Numbers for distinct phrases, made of exact numbers for their parts.
-            code = own.lang[chunk]
+            code, first, kinds = own.lang[chunk], None, 0
             for i in range(length):
-                code = np.unique(code * len(own.names) + own.word[at + i], return_inverse=True)[1]
-            weights = batch.column(3).to_numpy()[chunk]
-            kinds, first, code = np.unique(code, return_index=True, return_inverse=True)
-            totals = np.zeros(len(kinds), dtype=np.int64)
-            np.add.at(totals, code, weights)
+                first, code, kinds = _numbered(code * len(own.names) + own.word[at + i])
+            totals = np.zeros(kinds, dtype=np.int64)
+            np.add.at(totals, code, batch.column(3).to_numpy()[chunk])
             parts = [own.names.take(pa.array(own.word[at[first] + i])) for i in range(length)]
             yield pa.RecordBatch.from_pydict({
                 "lang": own.lang_names.take(pa.array(own.lang[chunk[first]])),
