@@ -55,16 +55,44 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted "
         "provided that the following conditions are met:",
     ),
+    "LGPL-3.0": (
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version.",
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Licensed under the Mozilla Public License, version 2.0.",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Released under the ISC License.",
+    ),
+    "CC-BY-SA-4.0": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+    ),
     "All-Rights-Reserved": (
         "All rights reserved.",
     ),
 }
 # White space between two words of a cue may be the end of a line.
 CUE = (r"(?i)licen[sc]e|copyright|spdx|permission\s+is\s+hereby|redistribut|creative\s+commons|\bCC.BY\b"
-       r"|all\s+rights\s+reserved")
+       r"|all\s+rights\s+reserved|permission\s+to\s+use|public\s+domain|unencumbered")
 MAX_DIFFERENT = 0.2
 MIN_SAVED = 0.4
 
+# Wordings that count only as a whole sentence, as further words give them another sense.
+WHOLE = {"All-Rights-Reserved": re.compile(r"(?i)all\s+rights\s+reserved\s*(?:[^\w\s]|\n|$)")}
+# Words in front of a notice, or added to it, that deny it.
+DENIALS = frozenset("not no never nor neither isn't aren't wasn't cannot".split())
+
+_NUMBER = re.compile(r"v?\d+(?:\.\d+)*")
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 _HYPHEN = re.compile(r"[^\W_]-\s*$")
 _COLUMNS = pa.schema([
@@ -111,6 +139,15 @@ def _laid(template: list[str], found: list[str]) -> tuple[int, int, int, int]:
     return best
 
 
+def _says_the_same(name: str, template: list[str], found: list[str], start: int, end: int, block: str) -> bool:
+    """Whether the words that may not differ agree: numbers, as of versions, denials, and the
+    end of a sentence."""
+    part = found[start:end]
+    numbers = [sorted(w.lstrip("v") for w in words if _NUMBER.fullmatch(w)) for words in (template, part)]
+    denied = DENIALS.intersection(found[max(start - 2, 0):start]) or DENIALS.intersection(part) - set(template)
+    return numbers[0] == numbers[1] and not denied and (name not in WHOLE or bool(WHOLE[name].search(block)))
+
+
 def matches(block: str) -> list[tuple]:
     """(license, wording, bytes, bytes with template, share saved, words equal, missing from
     the template, added within, confirmed, first word, words) of every license that some
@@ -137,7 +174,8 @@ def matches(block: str) -> list[tuple]:
         part = " ".join(found[first:first + equal + added]).encode()
         own = len(alone.compress(part))
         confirmed = missing + added <= MAX_DIFFERENT * len(template) and (
-            own - len(compressor.compress(part)) >= MIN_SAVED * (own - frame))
+            own - len(compressor.compress(part)) >= MIN_SAVED * (own - frame)) and _says_the_same(
+            name, template, found, first, first + equal + added, block)
         rows.append((name, number, plain, smaller, saved, equal, missing, added, confirmed, first, equal + added))
     out: list[tuple] = []
     taken: list[tuple[int, int]] = []
