@@ -1,7 +1,8 @@
 """URL filters: fixed rules for hosts and paths, and a learned verdict for the rest.
 
 The model is a logistic regression on hashed character n-grams of host and path, each
-part with hashes of its own. It is trained from a small table of labelled URLs.
+part with hashes of its own. It is trained from a small table of labelled URLs, that of
+:mod:`url_labels` unless another is given.
 """
 
 from __future__ import annotations
@@ -13,8 +14,10 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, functions as F
 
 from snapmart.llm.text import fresh, lower_ascii
+from snapmart.llm.url_labels import ALLOW, BLOCK, labelled_urls
+from snapmart.session import scratch_path
+from snapmart.sources.files import remove
 
-BLOCK, ALLOW = "block", "allow"
 # Host and start of path, and the verdict for that host and its subdomains.
 RULES = {"net/": BLOCK, "example.net/en/": ALLOW, "example.com/de/": BLOCK, "org/fr/": ALLOW}
 
@@ -56,22 +59,24 @@ def _verdict_of(rule: Column, rules: dict[str, str]) -> Column:
     return verdict
 
 
-def _ngrams(part: Column, mark: str, settings: Settings) -> list[Column]:
-    """Character n-grams of ``part`` with its ends marked, and ``mark`` in front."""
-    framed = F.concat(F.lit("^"), part, F.lit("$"))
+def _ngrams(letters: str, mark: str, settings: Settings) -> list[Column]:
+    """Runs of ``letters``, an array column, with ``mark`` in front; the last entry is empty."""
+    count = F.size(letters) - 1
     return [
         F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(framed) - (n - 1), F.lit(1))),
-            lambda at: F.concat(F.lit(mark), F.substring(framed, at, F.lit(n))))
+            F.sequence(F.lit(1), F.greatest(count - (n - 1), F.lit(1))),
+            lambda at: F.concat(F.lit(mark), F.array_join(F.slice(letters, at, F.lit(n)), "")))
         for n in range(settings.shortest, settings.longest + 1)]
 
 
 def with_features(df: DataFrame, host: Column, path: Column, settings: Settings, out: str) -> DataFrame:
-    grams, = fresh(df, "_grams")
-    listed = df.withColumn(grams, F.concat(
-        *_ngrams(host, "h", settings), *_ngrams(path, "p", settings)))
+    """Add the hashed character n-grams of both parts, with the ends of either marked."""
+    grams, one, other = fresh(df, "_grams", "_host_letters", "_path_letters")
+    letters = {name: F.split(F.concat(F.lit("^"), part, F.lit("$")), "") for name, part in ((one, host), (other, path))}
+    listed = df.withColumns(letters).withColumn(grams, F.concat(
+        *_ngrams(one, "h", settings), *_ngrams(other, "p", settings)))
     hashing = HashingTF(numFeatures=settings.features, binary=True, inputCol=grams, outputCol=out)
-    return hashing.transform(listed).drop(grams)
+    return hashing.transform(listed).drop(grams, one, other)
 
 
 def train(labelled: DataFrame, settings: Settings = Settings()) -> LogisticRegressionModel | str:
@@ -89,8 +94,16 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> LogisticRegre
     table = labelled.sparkSession.createDataFrame(rows, sample.schema).coalesce(1).withColumn(
         "label", (F.col("verdict") == BLOCK).cast("double"))
     ready = with_features(table, F.col("host"), F.col("path"), settings, "features")
-    return LogisticRegression(
+    fitted = LogisticRegression(
         maxIter=settings.iterations, regParam=settings.regularisation).fit(ready.select("label", "features"))
+    # A fitted model holds on to a summary and so to the session, which tasks cannot be
+    # sent; one that was read back has the coefficients only.
+    path = scratch_path(labelled.sparkSession, "url_model")
+    fitted.write().save(path)
+    try:
+        return LogisticRegressionModel.load(path)
+    finally:
+        remove(labelled.sparkSession, path)
 
 
 def predict(df: DataFrame, model: LogisticRegressionModel | str, settings: Settings, out: str) -> DataFrame:
@@ -118,11 +131,12 @@ def judged(pages: DataFrame, labelled: DataFrame | None = None, rules: dict[str,
     """(page_id, host, path, rule, verdict) for every row of ``pages`` (page_id, url).
 
     The verdict is the rule's, or the model's where no rule fits. ``labelled`` (host,
-    path, verdict) trains the model; without it, the URLs that rules decide do.
+    path, verdict) trains the model; without it, the table kept with the library does.
+    Outcomes of the rules are no labels: they tell endings and languages apart, not sites.
     """
     ruled = with_rules(pages, rules)
     if labelled is None:
-        labelled = ruled.select("host", "path", F.col("ruled").alias("verdict"))
+        labelled = labelled_urls(pages.sparkSession)
     guessed = predict(ruled, train(labelled, settings), settings, "guess")
     return guessed.select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "guess").alias("verdict"))
