@@ -11,8 +11,9 @@ Divided by the logarithm of the number of those pages, either lies between 0 (th
 on every page) and 1 (different on every page); the larger is the node's importance.
 Text below a node determines the text below its descendants, so a node is at least as
 varied as what it contains, and removing a node of low importance removes nothing
-varied. Such branches are left out of every page of the host, and so are branches whose
-tag, class, id or role says that they are no content.
+varied. Such branches are left out of every page of the host, inside an article as
+elsewhere, and so are branches whose tag, class, id or role says that they are no content.
+Of what is left, an article or main part is preferred where it holds most of the text.
 
 The tree of a host is never held in one place: nodes are counted per host, path and
 hash, added up before the shuffle, and a page is only given the paths to leave out.
@@ -33,9 +34,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from snapmart.llm.text import lower_ascii
 from snapmart.session import materialise
 
-# Nodes of less importance are removed, if that many pages of the host have them.
+# Nodes of less importance are removed, if that share of the host's pages have them, and
+# that many, which is the fewest that can be compared.
 LOW = 0.2
-MIN_PAGES = 10
+SHARE = 0.1
+MIN_PAGES = 2
 
 # Fixed values of HTML: elements without an end tag, elements whose inside is no markup,
 # elements that are not shown as text, and elements that stand within a line.
@@ -55,6 +58,10 @@ NO_CONTENT_WORDS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "footer header menu modal nav navbar navigation newsletter notice pagination popup promo promotion related "
     "replies search share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
+# Words that say nothing of the content when they stand next to one of the above.
+FILLERS = frozenset(
+    "area bar block body bottom box button buttons container content global group holder inner item items left link "
+    "links list main outer page panel post posts right row section site small top unit wrap wrapper".split())
 WHOLE_PAGE = frozenset(("html", "body"))
 
 _TAG = re.compile(
@@ -62,7 +69,7 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTRIBUTE = re.compile(
     r"(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_WORD = re.compile(r"[^\W_]+")
+_PARTS = re.compile(r"[-_0-9]+")
 
 
 @dataclass
@@ -72,13 +79,11 @@ class _Node:
     left_out: bool
     article: bool
     main: bool
-    removable: bool = True
 
 
 @dataclass
 class Page:
-    """Blocks of text in page order, each with the nodes above it that may be removed, and
-    hashes for all nodes met."""
+    """Blocks of text in page order, each with the nodes above it, and hashes for all nodes met."""
 
     blocks: list = field(default_factory=list)  # (text, paths, in article, in main)
     children: dict = field(default_factory=dict)  # path -> hash of the styles below
@@ -102,7 +107,13 @@ def _no_content(tag: str, attributes: dict[str, str]) -> bool:
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
     names = " ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower()
-    return not NO_CONTENT_WORDS.isdisjoint(_WORD.findall(names))
+    return any(map(_names_no_content, names.split()))
+
+
+def _names_no_content(name: str) -> bool:
+    """Whether a whole name stands for no content: ``ad``, ``ad-box-2``, but not ``ad-free``."""
+    parts = {p for p in _PARTS.split(name) if p}
+    return not NO_CONTENT_WORDS.isdisjoint(parts) and parts <= NO_CONTENT_WORDS | FILLERS
 
 
 def parse(source: str) -> Page:
@@ -116,7 +127,7 @@ def parse(source: str) -> Page:
         held.clear()
         if text:
             top = stack[-1]
-            page.blocks.append((text, [n.path for n in stack[1:] if n.removable], top.article, top.main))
+            page.blocks.append((text, [n.path for n in stack[1:]], top.article, top.main))
 
     def say(text: str) -> None:
         if not stack[-1].left_out:
@@ -170,9 +181,7 @@ def parse(source: str) -> Page:
         role = attributes.get("role", "")
         stack.append(_Node(
             tag, path, above.left_out or _no_content(tag, attributes),
-            above.article or tag == "article", above.main or tag == "main" or role == "main",
-            # Bare paragraphs and headings of an article stay even if many pages share them.
-            not (above.article or tag == "article") or any(k in attributes for k in ("class", "id", "role"))))
+            above.article or tag == "article", above.main or tag == "main" or role == "main"))
         if tag in RAW:
             closing = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
             at = closing.end() if closing else size
@@ -184,13 +193,32 @@ def parse(source: str) -> Page:
     return page
 
 
+def _size(blocks: list) -> int:
+    return sum(len(b[0]) for b in blocks)
+
+
+def kept_blocks(page: Page, low: frozenset = frozenset()) -> list:
+    """The blocks of a page's main text.
+
+    Branches in ``low`` are taken away first; if that leaves nothing, or nothing of an
+    article or main part that has text, it has met pages that are copies of each other,
+    and none is. Of the rest the article's blocks are taken, or else those of the main
+    part, where they hold half of the text or more, and else all.
+    """
+    left = [b for b in page.blocks if low.isdisjoint(b[1])] if low else page.blocks
+    marked = any(b[2] or b[3] for b in page.blocks)
+    if not left or marked and not any(b[2] or b[3] for b in left):
+        left = page.blocks
+    for part in (2, 3):
+        inside = [b for b in left if b[part]]
+        if inside and 2 * _size(inside) >= _size(left):
+            return inside
+    return left
+
+
 def main_text(page: Page, low: frozenset = frozenset()) -> str:
-    """The blocks of the article (or main part, or whole body) that are left once the
-    branches in ``low`` are taken away; if that leaves nothing, none is taken away."""
-    chosen = (
-        [b for b in page.blocks if b[2]] or [b for b in page.blocks if b[3]] or page.blocks)
-    left = [b for b in chosen if low.isdisjoint(b[1])] if low else chosen
-    return "\n\n".join(b[0] for b in (left or chosen))
+    """The kept blocks, joined by empty lines."""
+    return "\n\n".join(b[0] for b in kept_blocks(page, low))
 
 
 def host_of(url: Column) -> Column:
@@ -240,31 +268,40 @@ def style_tree(pages: DataFrame) -> DataFrame:
         "importance", F.when(F.col("pages") > 1, F.greatest("presentation", "content") / most).otherwise(1.0))
 
 
-def low_paths(tree: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, low): the paths of each host to leave out; only hosts that have any. Each
-    path stands for ``min_pages`` pages or more, so lists stay short."""
-    return tree.filter((F.col("pages") >= min_pages) & (F.col("importance") < low)).groupBy("host").agg(
+def low_paths(tree: DataFrame, sizes: DataFrame, low: float = LOW, share: float = SHARE,
+              min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, low): the paths of each host to leave out; only hosts that have any.
+
+    ``sizes`` (host, of) has the pages of each host. A path is only taken that a share of
+    them have, so a host has a few times as many as one page has nodes.
+    """
+    rare = F.greatest(F.lit(min_pages), F.ceil(F.col("of") * share))
+    return tree.join(sizes, "host").filter((F.col("pages") >= rare) & (F.col("importance") < low)).groupBy("host").agg(
         F.sort_array(F.collect_set("path")).alias("low"))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     mask = (1 << 64) - 1
     for batch in batches:
-        texts = [
-            main_text(parse(source.as_py() or ""), frozenset(path & mask for path in low.as_py() or ()))
-            for source, low in zip(batch.column("html"), batch.column("low"))]
+        texts, removed = [], []
+        for source, low in zip(batch.column("html"), batch.column("low")):
+            page, paths = parse(source.as_py() or ""), frozenset(path & mask for path in low.as_py() or ())
+            texts.append(main_text(page, paths))
+            removed.append(sum(not paths.isdisjoint(b[1]) for b in page.blocks))
         yield pa.RecordBatch.from_pydict({
             "page_id": batch.column("page_id"), "url": batch.column("url"),
-            "text": pa.array(texts, pa.string())})
+            "text": pa.array(texts, pa.string()), "n_low": pa.array(removed, pa.int64())})
 
 
-def extract(pages: DataFrame, low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(page_id, url, text, n_chars) for every row of ``pages`` (page_id, url, html).
+def extract(pages: DataFrame, low: float = LOW, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(page_id, url, text, n_chars, n_low) for every row of ``pages`` (page_id, url, html).
 
-    A NULL or empty page has the empty text. Pages without a host are taken as one host.
+    ``n_low`` counts the blocks in branches of low importance. A NULL or empty page has
+    the empty text. Pages without a host are taken as one host.
     """
-    out = materialise(low_paths(style_tree(pages), low, min_pages), "low_paths")
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    sizes = keyed.groupBy("host").agg(F.count("*").alias("of"))
+    out = materialise(low_paths(style_tree(pages), sizes, low, share, min_pages), "low_paths")
     texts = keyed.join(out, "host", "left").select("page_id", "url", "html", "low").mapInArrow(
-        _texts, "page_id bigint, url string, text string")
-    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+        _texts, "page_id bigint, url string, text string, n_low bigint")
+    return texts.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "n_low")
