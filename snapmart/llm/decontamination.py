@@ -7,14 +7,19 @@ are joined, and each hit is verified by laying item and document over each other
 longest stretch in which at most every ``tolerance``-th token differs must be long
 enough.
 
-Only DataFrame functions are used. Documents are thinned out first by a bitmap of the
-benchmark's hashes, whose size is fixed; what passes is joined by exact hash.
+Items too short for the masks are cut into one part more than tokens of them may differ,
+so one part of every match is whole; parts are hashed and joined like masks.
+
+Only DataFrame functions are used. Masks are made of pairs of neighbouring tokens: a
+document's pairs are looked up in a bitmap of the benchmark's, a mask is only hashed where
+all its pairs may be there, and looked up in a bitmap of masks. Bitmaps are as large as
+the benchmark asks for, up to ``MAX_BITS``; what passes is joined by exact hash.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,7 +32,9 @@ from snapmart.session import materialise
 SEEDS = ((0, 3, 6), (0, 4, 7), (0, 1, 4, 5), (0, 2, 4), (0, 1, 9, 10))
 MIN_OVERLAP = 12
 TOLERANCE = 5
-BITMAP_BITS = 1 << 22
+# Bits of a bitmap for each hash, and at most and at least in all.
+BITS_PER_HASH = 32
+MAX_BITS, MIN_BITS = 1 << 25, 1 << 16
 _WORD = 64
 
 
@@ -47,40 +54,73 @@ def pair_hashes(hashes: Column) -> Column:
         lambda later, at: F.xxhash64(F.get(hashes, at), later))
 
 
-def seed_hashes(pairs: Column, number: int) -> Column:
-    """One hash per place at which the whole of mask ``number`` fits, in order of the place."""
-    seed = SEEDS[number]
-    places = F.slice(pairs, 1, F.greatest(F.size(pairs) - seed[-1], F.lit(0)))
-    return F.transform(places, lambda first, at: F.xxhash64(
-        first, *[F.get(pairs, at + offset) for offset in seed[1:]], F.lit(number)))
+def _places(count: Column) -> Column:
+    """0, 1, ... for ``count`` places; none for a negative count."""
+    return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _mask(pairs: Column, at: Column, number: int) -> Column:
+    return F.xxhash64(*[F.get(pairs, at + offset) for offset in SEEDS[number]], F.lit(number))
+
+
+def _part(hashes: Column, at: Column, size: int) -> Column:
+    return F.xxhash64(F.slice(hashes, at + 1, F.lit(size)), F.lit(len(SEEDS) + size))
+
+
+def _hit(code: Column, at: Column) -> Column:
+    return F.struct(code.alias("hash"), at.cast("int").alias("at"))
 
 
-def _placed(hashes: Column) -> Column:
-    return F.transform(hashes, lambda h, at: F.struct(h.alias("hash"), at.alias("at")))
+def parts_of(length: int, tolerance: int = TOLERANCE) -> list[tuple[int, int]]:
+    """(start, size) of the parts of an item of ``length`` tokens: one more than tokens of it
+    may differ, as equal in size as can be."""
+    count = length // tolerance + 1
+    edges = [i * length // count for i in range(count + 1)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:]) if b > a]
 
 
-def _slots(code: Column) -> list[Column]:
-    """Two places in the bitmap for one hash."""
-    last = F.lit(BITMAP_BITS - 1).cast("bigint")
+def _item_hits(min_overlap: int, tolerance: int) -> Column:
+    """All masks of an item, and the parts of one shorter than ``min_overlap``."""
+    pairs, hashes = F.col("pairs"), F.col("hashes")
+
+    def mask(number: int) -> Column:
+        places = _places(F.size(pairs) - SEEDS[number][-1])
+        return F.transform(places, lambda at: _hit(_mask(pairs, at, number), at))
+
+    masks = map(mask, range(len(SEEDS)))
+    parts = F.array().cast("array<struct<hash:bigint,at:int>>")
+    for length in range(1, min_overlap):
+        parts = F.when(F.size(hashes) == length, F.array(*[
+            _hit(_part(hashes, F.lit(start), size), F.lit(start)) for start, size in parts_of(length, tolerance)
+        ])).otherwise(parts)
+    return F.concat(*masks, parts)
+
+
+def _slots(code: Column, bits: int) -> list[Column]:
+    """Two places in a bitmap for one hash."""
+    last = F.lit(bits - 1).cast("bigint")
     return [code.bitwiseAND(last), F.shiftrightunsigned(code, 32).bitwiseAND(last)]
 
 
-def _bitmap(hashes: DataFrame) -> Column:
-    """A bitmap with both places of every hash set, as a constant of fixed length."""
-    slots = hashes.select(F.explode(F.array(*_slots(F.col("hash")))).alias("slot"))
+def _bitmap(hashes: DataFrame) -> tuple[Column, int]:
+    """A bitmap with both places of every hash set, as a constant, and its length in bits."""
+    wanted = hashes.count() * BITS_PER_HASH
+    bits = min(max(1 << max(wanted - 1, 1).bit_length(), MIN_BITS), MAX_BITS)
+    slots = hashes.select(F.explode(F.array(*_slots(F.col("hash"), bits))).alias("slot"))
     by_word = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(slot & {_WORD - 1} as int))")).alias("bits"))
-    values = [0] * (BITMAP_BITS // _WORD)
+    values = [0] * (bits // _WORD)
     for row in by_word.collect():  # one row per word of the bitmap at most
         values[row["word"]] = row["bits"]
-    return long_table(values)
+    return long_table(values), bits
 
 
-def _in_bitmap(bitmap: Column, code: Column) -> Column:
+def _in_bitmap(bitmap: tuple[Column, int], code: Column) -> Column:
+    values, bits = bitmap
     first, second = [
-        F.getbit(F.get(bitmap, F.shiftright(slot, 6)),
+        F.getbit(F.get(values, F.shiftright(slot, 6)),
                  slot.bitwiseAND(F.lit(_WORD - 1).cast("bigint")).cast("int")) == 1
-        for slot in _slots(code)]
+        for slot in _slots(code, bits)]
     return first & second
 
 
@@ -92,38 +132,50 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, min_overlap: int = MIN_
     ``row`` and ``item`` tell rows of equal or NULL id apart, ``mark`` is a hash of the
     text. ``doc_at`` and ``item_at`` count tokens from 0. A stretch counts if it starts and ends with equal tokens, has at
     least ``min_overlap`` tokens (or all of a shorter item's), and at most one of
-    ``tolerance`` tokens differs. NULL and empty texts overlap with nothing; items
-    shorter than ``min_overlap`` are found as far as a mask hits them, those shorter than
-    the shortest mask never.
+    ``tolerance`` tokens differs. NULL and empty texts overlap with nothing.
     """
-    seed_columns = [f"seed{i}" for i in range(len(SEEDS))]
-
-    def seeded(texts: DataFrame, own: Column) -> DataFrame:
-        hashed = texts.select(own.alias("id"), "text", token_hashes(F.col("text")).alias("hashes"))
-        paired = hashed.withColumn("pairs", pair_hashes(F.col("hashes")))
-        # The number also keeps the optimiser from moving filters on the hashes below
-        # this step, where they would be worked out anew for every element.
-        return paired.select(F.monotonically_increasing_id().alias("number"), "id", "text", "hashes", *[
-            seed_hashes(F.col("pairs"), i).alias(c) for i, c in enumerate(seed_columns)])
-
     items = materialise(
-        seeded(benchmark, F.col("item_id")).filter(F.size("hashes") > 0)
-        .select(F.col("number").alias("item"), F.col("id").alias("item_id"),
-                F.col("hashes").alias("item_hashes"), F.concat(*map(_placed, map(F.col, seed_columns))).alias("hits")),
-        "items")
+        benchmark.select(
+            F.monotonically_increasing_id().alias("item"), "item_id", token_hashes(F.col("text")).alias("hashes"))
+        .withColumn("pairs", pair_hashes(F.col("hashes"))).filter(F.size("hashes") > 0)
+        .select("item", "item_id", "pairs", F.col("hashes").alias("item_hashes"),
+                _item_hits(min_overlap, tolerance).alias("hits")), "items")
     seeds = items.select("item", F.explode("hits").alias("hit")).select(
         "item", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("item_at"))
-    bitmap = _bitmap(seeds)
-    # Only documents of which the bitmap lets something through, with a number per row.
-    some = (
-        seeded(documents, F.col("doc_id"))
-        .filter(reduce(or_, [F.exists(F.col(c), lambda h: _in_bitmap(bitmap, h)) for c in seed_columns]))
-        .select(F.col("number").alias("row"), F.col("id").alias("doc_id"),
-                F.xxhash64("text").alias("mark"), F.col("hashes").alias("doc_hashes"),
-                F.filter(F.concat(*map(_placed, map(F.col, seed_columns))),
-                         lambda hit: _in_bitmap(bitmap, hit["hash"])).alias("hits"))
-    )
-    some = materialise(some, "candidates")
+    pair_bitmap = _bitmap(items.select(F.explode("pairs").alias("hash")).distinct())
+    bitmap = _bitmap(seeds.select("hash").distinct())
+    # The sizes of parts that short items have; none without short items.
+    lengths = items.select(F.size("item_hashes").alias("n")).filter(F.col("n") < min_overlap).distinct().collect()
+    sizes = sorted({size for r in lengths for _, size in parts_of(r["n"], tolerance)})
+
+    pairs, hashes = F.col("pairs"), F.col("doc_hashes")
+    split = documents.select(
+        "doc_id", F.xxhash64("text").alias("mark"), token_hashes(F.col("text")).alias("doc_hashes"))
+    # Numbers keep the optimiser from moving filters below the steps they look at, where
+    # these would be worked out once more.
+    likely = split.withColumn("pairs", pair_hashes(hashes)).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "mark", "doc_hashes", "pairs",
+        F.filter(_places(F.size(pairs)), lambda at: _in_bitmap(pair_bitmap, F.get(pairs, at))).alias("likely"))
+    if not sizes:
+        likely = likely.filter(F.size("likely") >= min(len(seed) for seed in SEEDS))
+
+    def masks(number: int) -> Column:
+        """Places where all pairs of a mask may be there, with its hash."""
+        rest = SEEDS[number][1:]
+        fits = F.filter("likely", lambda at: reduce(and_, [
+            F.coalesce(_in_bitmap(pair_bitmap, F.get(pairs, at + o)), F.lit(False)) for o in rest]))
+        return F.filter(F.transform(fits, lambda at: _hit(_mask(pairs, at, number), at)),
+                        lambda hit: _in_bitmap(bitmap, hit["hash"]))
+
+    def windows(size: int) -> Column:
+        every = F.transform(_places(F.size(hashes) - (size - 1)), lambda at: _hit(_part(hashes, at, size), at))
+        return F.filter(every, lambda hit: _in_bitmap(bitmap, hit["hash"]))
+
+    some = materialise(
+        likely.select(
+            "row", "doc_id", "mark", "doc_hashes", F.monotonically_increasing_id().alias("_kept"),
+            F.concat(*map(masks, range(len(SEEDS))), *map(windows, sizes)).alias("hits"))
+        .filter(F.size("hits") > 0).drop("_kept"), "candidates")
     hits = some.select("row", F.explode("hits").alias("hit")).select(
         "row", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("doc_at"))
     aligned = (

@@ -94,11 +94,24 @@ def _decontamination() -> str:
               FROM (SELECT {key}, t, unnest(range(len(t) - {seed[-1] + 1})) AS pos FROM {table})""")
         return " UNION ALL ".join(parts)
 
+    # Items too short for the masks, by their parts.
+    layout = [(n, start, size) for n in range(1, leaks.MIN_OVERLAP) for start, size in leaks.parts_of(n)]
+    sizes = sorted({size for _, _, size in layout})
+    windows = " UNION ALL ".join(f"""
+  SELECT doc_row, {len(leaks.SEEDS) + size} AS mask, pos, array_to_string(t[pos + 1:pos + {size}], ' ') AS seed
+  FROM (SELECT doc_row, t, unnest(range(len(t) - {size - 1})) AS pos FROM docs WHERE len(t) >= {size})
+  WHERE {size} IN (SELECT size FROM item_parts)""" for size in sizes)
+
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS doc_row, doc_id, {tokens('text')} AS t FROM documents),
 items AS (SELECT row_number() OVER () AS item, item_id, {tokens('text')} AS t FROM benchmark),
-doc_seeds AS ({seeds('docs', 'doc_row')}),
-item_seeds AS ({seeds('items', 'item')}),
+layout(length, start, size) AS (VALUES {', '.join(map(str, layout))}),
+item_parts AS (
+  SELECT item, start, size, array_to_string(t[start + 1:start + size], ' ') AS seed
+  FROM items JOIN layout ON len(t) = length),
+doc_seeds AS ({seeds('docs', 'doc_row')} UNION ALL {windows}),
+item_seeds AS ({seeds('items', 'item')}
+  UNION ALL SELECT item, {len(leaks.SEEDS)} + size AS mask, start AS pos, seed FROM item_parts),
 aligned AS (
   SELECT DISTINCT d.doc_row, i.item, d.pos - i.pos AS shift
   FROM doc_seeds d JOIN item_seeds i ON d.mask = i.mask AND d.seed = i.seed),

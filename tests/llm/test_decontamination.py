@@ -28,6 +28,8 @@ def brute_force(docs, items):
                     for d in range(len(doc) - read[-1]):
                         if all(doc[d + r] == item[i + r] for r in read):
                             shifts.add(d - i)
+            if len(item) < leaks.MIN_OVERLAP:  # every shift is laid out
+                shifts = set(range(-len(item), len(doc)))
             best = None
             for shift in shifts:
                 same = [i for i in range(len(item)) if 0 <= i + shift < len(doc) and doc[i + shift] == item[i]]
@@ -97,6 +99,23 @@ def test_clean_documents_stay(spark, odd):
     assert leaks.keep_clean(odd, right).columns == odd.columns
 
 
+def test_short_items_are_found_exactly(spark):
+    """Items of 1 to 11 tokens, whole and with as many replaced tokens as may differ, or more."""
+    items, docs = [], []
+    for length in range(1, 12):
+        item = [f"s{length}x{i}" for i in range(length)]
+        items.append((length, " ".join(item)))
+        for changes in range(length // 5 + 2):
+            for turn in range(4):
+                copy = list(item)
+                for at in RNG.sample(range(length), min(changes, length)):
+                    copy[at] = "other"
+                docs.append((len(docs), " ".join(some(RNG.randrange(6)) + copy + some(RNG.randrange(6)))))
+    got = found(leaks.contaminated(*frames(spark, docs, items)))
+    assert got == brute_force(docs, items)
+    assert {r[1] for r in got} == set(range(1, 12)) and {r[4] - r[5] for r in got} == {0, 1, 2}
+
+
 def test_empty_tables(spark, empty):
     docs, items = planted()
     left, right = frames(spark, docs, items)
