@@ -2,7 +2,7 @@
 
 Files are a Parquet table of blocks, one row per block, next to a table with the code
 length of every id. A block holds whole documents, one after the other in ascending
-order of doc_id (NULL first, then by text): their ids and numbers of ids, the ids as one
+order of doc_id (NULL first, then by the text's hash): their ids and numbers of ids, the ids as one
 run of canonical Huffman codes, and the bit at which every 64th id starts. Blocks can be
 read on their own; within a block, reading can begin at any of those bits. Spark's
 writer commits each file whole, so a task that is run again leaves nothing behind.
@@ -116,9 +116,11 @@ def write_ids(documents: DataFrame, folder: str, path: str | None = None,
     path = path or vocabulary_path()
     spark = documents.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Rows of one id, or without, are told apart by their texts and may go to several tasks.
+    order = ["doc_id", "mark", "text"]
     ordered = (
-        documents.select("doc_id", F.col("text").cast("binary").alias("text"))
-        .repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
+        documents.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("mark"))
+        .repartitionByRange(partitions, "doc_id", "mark").sortWithinPartitions(*order).select("doc_id", "text")
     )
     held = scratch_path(spark, "raw_ids")
     ordered.mapInArrow(_collect_blocks(path, block_ids), _RAW).write.option("compression", "zstd").parquet(held)

@@ -4,7 +4,9 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from snapmart.llm import binary, huffman, tokens
@@ -76,9 +78,15 @@ def test_length_limit():
         huffman.code_lengths(np.ones(5), 2)
 
 
+def mark_of(text):
+    """The hash by which texts of one id are put in order."""
+    mark = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return mark - (1 << 64) if mark >> 63 else mark
+
+
 def expected(rows):
     out, start = [], 0
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())):
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, mark_of(r[1]), (r[1] or "").encode())):
         ids = ids_of(text) + [tokens.END_ID]
         out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -104,6 +112,15 @@ def test_files_hold_the_ids(spark, odd, text_rows, tmp_path):
     assert by_crc == {w[3] for w in want}
 
 
+def test_rows_of_one_id_go_to_several_tasks(spark):
+    texts = [f"text {i} " + "word " * (i % 7) for i in range(300)]
+    for doc_id in (7, None):
+        frame = spark.createDataFrame([(doc_id, t) for t in texts], "doc_id bigint, text string")
+        assert rows_of(binary.stored_ids(frame)) == expected([(doc_id, t) for t in texts])
+    order = frame.select("doc_id", F.xxhash64("text").alias("mark")).repartitionByRange(4, "doc_id", "mark")
+    assert order.select(F.spark_partition_id()).distinct().count() == 4
+
+
 def test_empty_table(spark, empty):
     assert binary.stored_ids(empty).count() == 0
     assert tokens.context_report(tokens.encoded_lengths(empty)).count() == 0
