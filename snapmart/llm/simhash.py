@@ -66,13 +66,17 @@ def shingle_hashes(data: bytes | None, size: int) -> np.ndarray:
     return np.fromiter((digest(line[a:b], SEED) for a, b in spans), dtype=np.uint64, count=last)
 
 
-def fingerprint(data: bytes | None) -> int:
-    """Fingerprint of a UTF-8 text; 0 if it is NULL or has no word."""
-    hashes = shingle_hashes(data, SHINGLE)
+def fingerprint_of_hashes(hashes: np.ndarray) -> int:
+    """Fingerprint of the shingles with these hashes; 0 if there are none."""
     bits = 2 * _bit_counts(hashes) > len(hashes)
     return sum(1 << int(i) for i in np.flatnonzero(bits))
 
 
+def fingerprint(data: bytes | None) -> int:
+    """Fingerprint of a UTF-8 text; 0 if it is NULL or has no word."""
+    return fingerprint_of_hashes(shingle_hashes(data, SHINGLE))
+
+
 @F.pandas_udf(LongType())
 def _fingerprints(data: pd.Series) -> pd.Series:
     values = np.fromiter(map(fingerprint, data), dtype=np.uint64, count=len(data))

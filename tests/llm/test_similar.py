@@ -69,3 +69,42 @@ def test_other_columns_and_odd_rows(spark, odd, empty):
     assert kept.columns == odd.columns and similar.keep_one(empty).count() == 0
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(
         ["1", "1", "None", "5", "8", "9", "10", "12"])
+
+
+def test_crowds_and_hubs_lose_no_link(spark, monkeypatch):
+    """Many texts share their first shingles: near copies of one text, and short texts that
+    are little else than the same notice."""
+    base, notice = prose(60), "all of this may be used under the terms of the usual license".split()
+    docs = []
+    for i in range(150):
+        copy = list(base)
+        for at in RNG.sample(range(60), RNG.randrange(3)):
+            copy[at] = f"x{RNG.randrange(50)}"
+        docs.append(" ".join(copy))
+        docs.append(" ".join(notice + prose(RNG.randrange(4))))
+    docs = [(i, t) for i, t in enumerate(docs)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = brute_force(docs)
+    for crowd in (2, similar.CROWD, 10_000):
+        monkeypatch.setattr(similar, "CROWD", crowd)
+        assert {r.doc_id for r in similar.keep_one(frame).collect()} == want
+
+
+def test_bitmaps_never_rule_out_a_pair():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 40, 300, 5000):
+        one = np.unique(rng.integers(-2**62, 2**62, n))
+        for changed in range(0, n // 5 + 1, max(n // 20, 1)):
+            other = np.unique(np.concatenate((one[changed:], rng.integers(-2**62, 2**62, changed // 2))))
+            shared = len(np.intersect1d(one, other))
+            differ = sum(int(x ^ y).bit_count() for x, y in zip(
+                similar.bitmap(one).view(np.uint64).tolist(), similar.bitmap(other).view(np.uint64).tolist()))
+            assert shared <= (len(one) + len(other) - differ) / 2
+
+
+def test_shingles_are_those_of_the_words():
+    texts = [b"A b c d e f", b"a  b\tc\nd E f", b"a b", b"b a", b"ab", b"", None, b" \n ", b"a b c d e", b"x" * 700 + b" y"]
+    lists = [x.tolist() for x in similar.shingle_lists(texts)]
+    assert lists[0] == lists[1] and len(lists[0]) == 2 and lists[8] == lists[0][:1]
+    assert [len(x) for x in lists[2:8]] == [1, 1, 1, 0, 0, 0] and len({x[0] for x in lists[2:5]}) == 3
