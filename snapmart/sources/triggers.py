@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapmart.sources.files import child_names, exists
 
@@ -26,10 +26,13 @@ def finished_triggers(spark: SparkSession, path: str) -> list[str]:
     return [f for f in folders if exists(spark, f"{f}/_SUCCESS")]
 
 
-def read_triggers(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The rows of all finished triggers."""
+def read_triggers(spark: SparkSession, path: str, schema: T.StructType, number: str | None = None) -> DataFrame:
+    """The rows of all finished triggers; ``number`` names a column for the trigger's."""
     folders = finished_triggers(spark, path)
-    if not folders:
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).option("basePath", path).parquet(*folders)
-    return rows.select(*schema.fieldNames())
+    whole = T.StructType([*schema, T.StructField("trigger", T.LongType())])
+    if folders:
+        rows = spark.read.schema(whole).option("basePath", path).parquet(*folders)
+    else:
+        rows = spark.createDataFrame([], whole)
+    numbered = [F.col("trigger").alias(number)] if number else []
+    return rows.select(*schema.fieldNames(), *numbered)

@@ -573,6 +573,7 @@ def oracles() -> dict[str, str]:
         "marketcap_rank": _GOLD + _CAP_RANK + " ORDER BY rank, coin_id LIMIT 15",
         "marketcap_rank_all": _GOLD + _CAP_RANK,
         "line_hourly_trend": _LINES + _trend("365 DAY", rounded("avg(price_change_pct_24h)", 6)),
+        "snapshot_change_bucketed": _GOLD + _change("TRUE", _NEXT),
         "rolling_day_average": _GOLD + _rolling_time(86_400),
         "line_rolling_week_average": _LINES + _rolling_time(7 * 86_400),
         "distinct_entities_by_day": _GOLD + """
@@ -604,6 +605,12 @@ def oracles() -> dict[str, str]:
               FROM (SELECT DISTINCT wave FROM arrived) w LEFT JOIN arrived a ON a.wave < w.wave GROUP BY w.wave)
             SELECT DISTINCT ingestion_id, coin_id, batch_ingested_at FROM arrived JOIN marks USING (wave)
             WHERE mark IS NULL OR batch_ingested_at > mark""",
+        "stream_hourly_trend": _SILVER + f"""
+            SELECT date_trunc('hour', batch_ingested_at) AS snapshot_hour, count(DISTINCT coin_id) AS coins_tracked,
+              {total('market_cap')} AS total_market_cap_usd, {total('total_volume')} AS total_volume_usd,
+              {mean('price_change_pct_24h')} AS avg_price_change_pct,
+              count(*) FILTER (is_bullish_24h) AS bullish_coins, count(*) FILTER (NOT is_bullish_24h) AS bearish_coins
+            FROM silver GROUP BY date_trunc('hour', batch_ingested_at)""",
         "stream_landing": _DERIVED + f"""
             SELECT ingestion_id, coin_id, current_price, last_updated, TRUE AS all_damage_kept
             FROM derived WHERE {VALID} AND NOT ends_with(ingestion_id, '06')

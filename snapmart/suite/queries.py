@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,11 +22,11 @@ from snapmart.plans.silver import (
 )
 from snapmart.schemas import CONTRACTS
 from snapmart.session import scratch_path, scratch_scope
-from snapmart.sources import bronze
+from snapmart.sources import bronze, bucketed
 from snapmart.sources.gold import GoldStore
 from snapmart.sources.silver import append_silver, read_silver, write_silver
 from snapmart.sources.tables import verify_counts, write_table
-from snapmart.streaming import ingest
+from snapmart.streaming import ingest, trend
 from snapmart.suite import adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -548,6 +549,22 @@ def snapshot_change_sliced(spark, sf_dir):
     return _stored(spark, lambda: reports.snapshot_change(fact, coins, None, include_next=True))
 
 
+@query
+def snapshot_change_bucketed(spark, sf_dir):
+    """The same from tables laid out by entity: neither join nor window shuffles the fact."""
+    fact, coins, _ = _star(spark, sf_dir)
+    prefix = f"by_entity_{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, "report")
+    bucketed.store_by_entity(fact, coins, prefix)
+    try:
+        rows = reports.snapshot_change(
+            *bucketed.read_by_entity(spark, prefix), None, include_next=True, sliced=False)
+        rows.write.parquet(path)
+    finally:
+        bucketed.drop_by_entity(spark, prefix)
+    return spark.read.parquet(path)
+
+
 @query
 def dominance(spark, sf_dir):
     fact, coins = _newest(spark, sf_dir)
@@ -756,6 +773,23 @@ def stream_landing(spark, sf_dir):
         (F.col("damaged") == F.col("shortened")).alias("all_damage_kept"))
 
 
+@query
+def stream_hourly_trend(spark, sf_dir):
+    """Totals per hour of silver that arrives in four waves, of which some rows are a wave late."""
+    source, target, progress = [scratch_path(spark, x) for x in ("arriving", "trend", "progress")]
+    stamp = F.col("batch_ingested_at")
+    wave = F.when(stamp < "2024-01-11", 1).when(stamp < "2024-01-21", 2).otherwise(3)
+    late = F.pmod(F.xxhash64(*SNAPSHOT_KEY), F.lit(7)) == 0
+    rows = adapter.stored_silver(spark, sf_dir).withColumn("wave", wave + F.when(late, 1).otherwise(0))
+    for number in range(1, 5):
+        write_silver(rows.filter(F.col("wave") == number).drop("wave"), source, mode="append")
+        _drain(trend.start_hourly_trend(
+            ingest.stream_silver(spark, source), target, progress, "40 days", availableNow=True))
+    return significant(
+        trend.read_hourly_trend(spark, target),
+        "total_market_cap_usd", "total_volume_usd", "avg_price_change_pct")
+
+
 @query
 def stream_keep_latest(spark, sf_dir):
     """Bronze folder streamed to silver in several batches, latest row kept."""
