@@ -6,12 +6,12 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from snapmart.llm import mixing, quality, simhash, tokens
+from snapmart.llm import mixing, quality, tokens
 from snapmart.llm.oracles import oracles
 from snapmart.llm.queries import registry, table
 from test_decontamination import brute_force as leaks_of
 from test_quality_rules import brute_force as quality_of
-from test_simhash import classes, plain_fingerprint
+from test_similar import brute_force as near_of
 
 import compare
 
@@ -24,7 +24,7 @@ def test_sql_agrees(spark, sf):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_stages_against_brute_force(spark, sf):
@@ -44,13 +44,9 @@ def test_stages_against_brute_force(spark, sf):
     assert docs.columns == columns and {r.doc_id for r in kept} == want
     assert all(r == rows[r.doc_id] for r in kept)
 
-    member = classes([plain_fingerprint(r.text) for r in kept])
-    first = {}
-    for r in kept:
-        key = member[plain_fingerprint(r.text)]
-        first[key] = min(first.get(key, r.doc_id), r.doc_id)
+    want = near_of([(r.doc_id, r.text) for r in kept])
     docs, kept = run("near duplicates", docs)
-    assert docs.columns == columns and {r.doc_id for r in kept} == set(first.values()) and len(kept) == len(first)
+    assert docs.columns == columns and {r.doc_id for r in kept} == want and len(kept) == len(want)
 
     items = [(r.item_id, r.text) for r in table(spark, sf, "benchmark").collect()]
     known = {w for _, t in items for w in re.split(r"[\W_]+", t.lower())}
@@ -82,3 +78,17 @@ def test_run_is_the_stages_in_order(spark):
     assert once and once == sorted(map(tuple, corpus_pipeline.run(spark, folder).collect()))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "near duplicates", "decontamination", "mixing", "token ids"]
+
+
+def test_odd_rows_through_all_stages(spark, sf, odd, empty, text_rows):
+    """NULLs, copies, very long texts, several rows of one id, clashing columns; no rows."""
+    for start in (odd, empty):
+        docs = start
+        for name, stage in corpus_pipeline.STAGES:
+            before, docs = docs, stage(spark, docs, sf)
+            if name != "token ids":
+                assert docs.columns == odd.columns
+        left = docs.collect()
+        assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and bool(left) == (start is odd)
+        # The long text and its near copy are one document.
+        assert {r.doc_id for r in left} <= {10, 12, 9, 8, 1, None}

@@ -21,7 +21,7 @@ def brute_force(docs):
     """The smallest doc_id of every group that pairs with a similarity of 0.8 or more join."""
     sets, groups = {d: shingles(t) for d, t in docs}, Sets()
     for a, b in combinations(sets, 2):
-        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+        if 5 * min(len(sets[a]), len(sets[b])) >= 4 * max(len(sets[a]), len(sets[b])) and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
             groups.join(a, b)
     first = {}
     for d in sorted(sets):
