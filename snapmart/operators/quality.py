@@ -132,15 +132,21 @@ def distinct_rows(df: DataFrame, columns: Sequence[str], out: str = "distinct_ro
     return df.groupBy(*columns).agg(F.lit(1).alias("_one")).agg(F.count("*").alias(out))
 
 
-def _measured(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row with a column ``m<i>`` per rule and the row count."""
+def measures(rules: Sequence[Rule]) -> list[Column]:
+    """Aggregates: the row count, and ``m<i>`` of each rule but those about distinct values.
+    Counts can be added up and times compared, so those of parts can be merged."""
     single = [F.count("*").alias("total")]
     for i, rule in enumerate(rules):
         if rule.kind in _ROW_RULES:
             single.append(F.count_if(_failing(rule)).alias(f"m{i}"))
         elif rule.kind == "FRESHNESS":
             single.append(F.max(rule.columns[0]).alias(f"m{i}"))
-    return df.agg(*single).withColumns({
+    return single
+
+
+def _measured(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row with a column ``m<i>`` per rule and the row count."""
+    return df.agg(*measures(rules)).withColumns({
         f"m{i}": distinct_rows(df, rule.columns).scalar()
         for i, rule in enumerate(rules) if rule.kind in _DISTINCT_RULES
     })
@@ -216,11 +222,16 @@ def _verdicts(rows: DataFrame) -> DataFrame:
     )
 
 
-def run_checks(df: DataFrame, rules: Sequence[Rule], as_of: Column | None = None) -> DataFrame:
-    """Verdict of every rule, in rule order."""
+def verdicts_of(measured: DataFrame, rules: Sequence[Rule], as_of: Column | None = None) -> DataFrame:
+    """Verdict of every rule, in rule order, from one row of measures."""
     as_of = F.current_timestamp() if as_of is None else as_of
     facts = [_facts_of_rule(rule, F.col(f"m{i}"), as_of) for i, rule in enumerate(rules)]
-    return _verdicts(_measured(df, rules).select("total", F.inline(F.array(*facts))))
+    return _verdicts(measured.select("total", F.inline(F.array(*facts))))
+
+
+def run_checks(df: DataFrame, rules: Sequence[Rule], as_of: Column | None = None) -> DataFrame:
+    """Verdict of every rule, in rule order."""
+    return verdicts_of(_measured(df, rules), rules, as_of)
 
 
 def build_report(results: DataFrame, dataset: str, as_of: Column | None = None) -> DataFrame:

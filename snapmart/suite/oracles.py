@@ -473,6 +473,7 @@ def oracles() -> dict[str, str]:
               is_bullish_24h, batch_ingested_at
             FROM silver ORDER BY market_cap_rank, batch_ingested_at DESC, coin_id LIMIT 15""",
         "dq_suite": _VERDICTS + "SELECT * FROM verdicts",
+        "dq_suite_from_states": _VERDICTS + "SELECT * FROM verdicts",
         "dq_suite_raw": _checks(_DERIVED, "derived", _suite(2.5, 0.5, _greater, 95)),
         "dq_configured_rules": _checks(_DERIVED, "derived", [
             _not_null("current_price", 5.0), _greater("current_price", 0), _not_null("coin_id", 5.0),

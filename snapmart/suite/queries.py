@@ -13,6 +13,7 @@ from snapmart.functions import (
 from snapmart.operators import contracts, dedup, quality, sketches, summaries
 from snapmart.operators.latest import newest_time
 from snapmart.operators.ordered import over_history
+from snapmart.operators.quality_state import QualityState
 from snapmart.operators.records import (
     add_partition_columns, derive_measures, flatten_and_cast, flatten_records, keep_valid, rejected,
 )
@@ -214,6 +215,16 @@ def dq_suite(spark, sf_dir):
     return quality.run_checks(rows, quality.default_rules(), _quality_as_of(rows))
 
 
+@query
+def dq_suite_from_states(spark, sf_dir):
+    """The same verdicts merged from states per hour, which three refreshes have stored."""
+    path = f"{adapter.stored(spark, sf_dir)}/silver"
+    state = QualityState(spark, scratch_path(spark, "quality"), quality.default_rules())
+    for since, until in ((None, "2024-01-11"), ("2024-01-10 12:00:00", "2024-01-21"), ("2024-01-21", None)):
+        state.refresh(path, since, until)
+    return state.verdicts(_quality_as_of(adapter.stored_silver(spark, sf_dir)))
+
+
 @query
 def dq_suite_raw(spark, sf_dir):
     """The checks with stricter limits on rows that were never cleaned."""
