@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 UNWANTED = (
     "casino", "casinos", "poker", "roulette", "slots", "jackpot", "bets", "betting", "gambling", "pills", "viagra",
     "cialis", "pharmacy-deals", "adult", "xxx", "porn", "escort", "camgirls", "payday", "quickloans", "replica-watches",
-    "warez", "cracked-software", "lottery")
+    "warez", "cracked-software", "lottery", "ads", "adserver")
 ORDINARY = (
     "news", "library", "museum", "university", "school", "weather", "recipes", "garden", "history", "science", "travel",
     "railway", "theatre", "music", "cinema", "football", "chess", "health", "hospital", "bakery", "bicycle", "mountain",
     "river", "harbour", "village", "council", "archive", "journal", "review", "letters", "maps", "photos", "design",
     "software", "linux", "python", "books", "poetry", "languages", "teachers", "parents", "farm", "forest", "birds",
-    "planet", "energy", "market", "finance", "law", "kitchen", "coffee", "fashion", "sports", "radio")
+    "planet", "energy", "market", "finance", "law", "kitchen", "coffee", "fashion", "sports", "radio", "knitting", "painting", "sailing", "reading", "hiking", "building",
+    "cooking", "things")
 _SYLLABLES = ("an", "ber", "do", "el", "fi", "gor", "hen", "is", "ka", "lo", "mar", "nu", "or", "pel", "ri", "sten", "th", "ul", "ver", "wo")
 FORMS = ("{}", "{}-win", "free-{}", "cheap-{}", "best-{}", "my{}", "{}24", "{}-x", "online-{}", "{}world")
 _ENDINGS, _LANGUAGES, _SUBDOMAINS = ("com", "net", "org"), ("en", "de", "fr", "es"), ("", "www.", "blog.", "m.")

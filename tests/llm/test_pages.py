@@ -134,7 +134,7 @@ def test_query(spark, sf):
     assert sorted(map(tuple, got)) == sorted(map(tuple, op3_url_filters(spark, sf).collect()))
 
 
-UNWANTED = re.compile("casino|bets|pills|adult")
+UNWANTED = re.compile("casino|bets|pills|adult|ads-")
 
 
 def test_verdicts_where_no_rule_decides(spark, sf):
@@ -153,6 +153,10 @@ def test_model_on_labelled_urls_it_has_not_seen(spark):
     assert len(got) > 400 and right >= 0.97 * len(got), (right, len(got))
 
 
+def test_the_labelled_table_is_small(spark):
+    assert urls.labelled_urls(spark).count() <= urls.Settings().labelled
+
+
 def test_after_an_observation_in_the_session(spark, sf):
     seen = Observation("seen")
     spark.range(10).observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
