@@ -13,7 +13,7 @@ so one part of every match is whole; parts are hashed and joined like masks.
 Only DataFrame functions are used. Masks are made of pairs of neighbouring tokens: a
 document's pairs are looked up in a bitmap of the benchmark's, a mask is only hashed where
 all its pairs may be there, and looked up in a bitmap of masks. Bitmaps are as large as
-the benchmark asks for, up to ``MAX_BITS``; what passes is joined by exact hash.
+the benchmark asks for, up to a fixed size; what passes is joined by exact hash.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapmart.llm.text import fresh, long_table
+from snapmart.llm.bitmaps import bitmap_of, in_bitmap
+from snapmart.llm.text import fresh
 from snapmart.session import materialise
 
 # Masks, given by where their pairs of 1s start: 11011011, 110011011, 1110111, 111111 and
@@ -32,10 +33,6 @@ from snapmart.session import materialise
 SEEDS = ((0, 3, 6), (0, 4, 7), (0, 1, 4, 5), (0, 2, 4), (0, 1, 9, 10))
 MIN_OVERLAP = 12
 TOLERANCE = 5
-# Bits of a bitmap for each hash, and at most and at least in all.
-BITS_PER_HASH = 32
-MAX_BITS, MIN_BITS = 1 << 25, 1 << 16
-_WORD = 64
 
 
 def tokens(text: Column) -> Column:
@@ -96,34 +93,6 @@ def _item_hits(min_overlap: int, tolerance: int) -> Column:
     return F.concat(*masks, parts)
 
 
-def _slots(code: Column, bits: int) -> list[Column]:
-    """Two places in a bitmap for one hash."""
-    last = F.lit(bits - 1).cast("bigint")
-    return [code.bitwiseAND(last), F.shiftrightunsigned(code, 32).bitwiseAND(last)]
-
-
-def _bitmap(hashes: DataFrame) -> tuple[Column, int]:
-    """A bitmap with both places of every hash set, as a constant, and its length in bits."""
-    wanted = hashes.count() * BITS_PER_HASH
-    bits = min(max(1 << max(wanted - 1, 1).bit_length(), MIN_BITS), MAX_BITS)
-    slots = hashes.select(F.explode(F.array(*_slots(F.col("hash"), bits))).alias("slot"))
-    by_word = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(slot & {_WORD - 1} as int))")).alias("bits"))
-    values = [0] * (bits // _WORD)
-    for row in by_word.collect():  # one row per word of the bitmap at most
-        values[row["word"]] = row["bits"]
-    return long_table(values), bits
-
-
-def _in_bitmap(bitmap: tuple[Column, int], code: Column) -> Column:
-    values, bits = bitmap
-    first, second = [
-        F.getbit(F.get(values, F.shiftright(slot, 6)),
-                 slot.bitwiseAND(F.lit(_WORD - 1).cast("bigint")).cast("int")) == 1
-        for slot in _slots(code, bits)]
-    return first & second
-
-
 def overlaps(documents: DataFrame, benchmark: DataFrame, min_overlap: int = MIN_OVERLAP,
              tolerance: int = TOLERANCE) -> DataFrame:
     """Verified overlaps, one row per row of ``documents``, benchmark item and alignment:
@@ -142,8 +111,8 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, min_overlap: int = MIN_
                 _item_hits(min_overlap, tolerance).alias("hits")), "items")
     seeds = items.select("item", F.explode("hits").alias("hit")).select(
         "item", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("item_at"))
-    pair_bitmap = _bitmap(items.select(F.explode("pairs").alias("hash")).distinct())
-    bitmap = _bitmap(seeds.select("hash").distinct())
+    pair_bitmap = bitmap_of(items.select(F.explode("pairs").alias("hash")).distinct())
+    bitmap = bitmap_of(seeds.select("hash").distinct())
     # The sizes of parts that short items have; none without short items.
     lengths = items.select(F.size("item_hashes").alias("n")).filter(F.col("n") < min_overlap).distinct().collect()
     sizes = sorted({size for r in lengths for _, size in parts_of(r["n"], tolerance)})
@@ -152,10 +121,13 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, min_overlap: int = MIN_
     split = documents.select(
         "doc_id", F.xxhash64("text").alias("mark"), token_hashes(F.col("text")).alias("doc_hashes"))
     # Numbers keep the optimiser from moving filters below the steps they look at, where
-    # these would be worked out once more.
-    likely = split.withColumn("pairs", pair_hashes(hashes)).select(
+    # these would be worked out once more. Either bitmap is looked into in one place only,
+    # as every other would be a copy of it in the plan.
+    looked_up = split.withColumn("pairs", pair_hashes(hashes)).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "mark", "doc_hashes", "pairs",
-        F.filter(_places(F.size(pairs)), lambda at: _in_bitmap(pair_bitmap, F.get(pairs, at))).alias("likely"))
+        F.transform(pairs, lambda code: in_bitmap(pair_bitmap, code)).alias("present"))
+    likely = looked_up.select("*", F.filter(
+        _places(F.size(pairs)), lambda at: F.get("present", at)).alias("likely"), F.monotonically_increasing_id().alias("_seen"))
     if not sizes:
         likely = likely.filter(F.size("likely") >= min(len(seed) for seed in SEEDS))
 
@@ -163,18 +135,17 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, min_overlap: int = MIN_
         """Places where all pairs of a mask may be there, with its hash."""
         rest = SEEDS[number][1:]
         fits = F.filter("likely", lambda at: reduce(and_, [
-            F.coalesce(_in_bitmap(pair_bitmap, F.get(pairs, at + o)), F.lit(False)) for o in rest]))
-        return F.filter(F.transform(fits, lambda at: _hit(_mask(pairs, at, number), at)),
-                        lambda hit: _in_bitmap(bitmap, hit["hash"]))
+            F.coalesce(F.get("present", at + o), F.lit(False)) for o in rest]))
+        return F.transform(fits, lambda at: _hit(_mask(pairs, at, number), at))
 
     def windows(size: int) -> Column:
-        every = F.transform(_places(F.size(hashes) - (size - 1)), lambda at: _hit(_part(hashes, at, size), at))
-        return F.filter(every, lambda hit: _in_bitmap(bitmap, hit["hash"]))
+        return F.transform(_places(F.size(hashes) - (size - 1)), lambda at: _hit(_part(hashes, at, size), at))
 
     some = materialise(
         likely.select(
             "row", "doc_id", "mark", "doc_hashes", F.monotonically_increasing_id().alias("_kept"),
-            F.concat(*map(masks, range(len(SEEDS))), *map(windows, sizes)).alias("hits"))
+            F.filter(F.concat(*map(masks, range(len(SEEDS))), *map(windows, sizes)),
+                     lambda hit: in_bitmap(bitmap, hit["hash"])).alias("hits"))
         .filter(F.size("hits") > 0).drop("_kept"), "candidates")
     hits = some.select("row", F.explode("hits").alias("hit")).select(
         "row", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("doc_at"))
