@@ -78,8 +78,22 @@ def events_to_records(events: DataFrame) -> DataFrame:
     )
 
 
+# Events that a task widens to records, which take some thirty times the bytes.
+EVENTS_A_TASK = 200_000
+
+
+def _spread(events: DataFrame) -> DataFrame:
+    """The events in tasks of bounded size, however few row groups or splits their file has.
+
+    The count comes from the file's footer.
+    """
+    tasks = -(-events.count() // EVENTS_A_TASK)
+    # In order of time, so that a task has rows of few batches.
+    return events.repartitionByRange(tasks, "ts", "event_id") if tasks > 1 else events
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_to_records(table(spark, sf_dir, "events"))
+    return events_to_records(_spread(table(spark, sf_dir, "events")))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,22 +104,37 @@ def loaded_at():
     return F.lit(LOADED_AT).cast("timestamp")
 
 
-_built: dict[tuple[str, str], str] = {}
+_roots: dict[tuple[str, str], str] = {}
+_built: set[str] = set()
 
 
-def stored(spark: SparkSession, sf_dir: str) -> str:
-    """Root of a silver table and gold tables built from ``events``, once per application."""
+def _root(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        root = scratch_path(spark, "mart")
-        write_silver(silver(spark, sf_dir), f"{root}/silver")
-        load_gold(read_silver(spark, f"{root}/silver"), f"{root}/gold", loaded_at())
-        _built[key] = root
-    return _built[key]
+    if key not in _roots:
+        _roots[key] = scratch_path(spark, "mart")
+    return _roots[key]
+
+
+def silver_path(spark: SparkSession, sf_dir: str) -> str:
+    """A silver table built from ``events``, once per application."""
+    path = f"{_root(spark, sf_dir)}/silver"
+    if path not in _built:
+        write_silver(silver(spark, sf_dir), path)
+        _built.add(path)
+    return path
+
+
+def stored(spark: SparkSession, sf_dir: str) -> str:
+    """Root of the silver table and of gold tables built from it, once per application."""
+    root = _root(spark, sf_dir)
+    if root not in _built:
+        load_gold(read_silver(spark, silver_path(spark, sf_dir)), f"{root}/gold", loaded_at())
+        _built.add(root)
+    return root
 
 
 def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_silver(spark, f"{stored(spark, sf_dir)}/silver")
+    return read_silver(spark, silver_path(spark, sf_dir))
 
 
 def stored_gold(spark: SparkSession, sf_dir: str) -> GoldStore:

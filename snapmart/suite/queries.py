@@ -182,7 +182,7 @@ def silver_partitioned_roundtrip(spark, sf_dir):
 def silver_since_until(spark, sf_dir):
     """A time range of stored silver, read by partition."""
     return read_silver(
-        spark, f"{adapter.stored(spark, sf_dir)}/silver", "2024-01-10", "2024-01-20 12:00:00",
+        spark, adapter.silver_path(spark, sf_dir), "2024-01-10", "2024-01-20 12:00:00",
     ).select(*SNAPSHOT_KEY, "batch_ingested_at", "current_price", "year", "month", "day", "hour")
 
 
@@ -218,7 +218,7 @@ def dq_suite(spark, sf_dir):
 @query
 def dq_suite_from_states(spark, sf_dir):
     """The same verdicts merged from states per hour, which three refreshes have stored."""
-    path = f"{adapter.stored(spark, sf_dir)}/silver"
+    path = adapter.silver_path(spark, sf_dir)
     state = QualityState(spark, scratch_path(spark, "quality"), quality.default_rules())
     for since, until in ((None, "2024-01-11"), ("2024-01-10 12:00:00", "2024-01-21"), ("2024-01-21", None)):
         state.refresh(path, since, until)
@@ -255,9 +255,9 @@ def dq_configured_rules(spark, sf_dir):
 @query
 def dq_report(spark, sf_dir):
     """Totals of the stored report of a run on silver."""
-    root, path = adapter.stored(spark, sf_dir), scratch_path(spark, "reports")
+    path = scratch_path(spark, "reports")
     as_of = _quality_as_of(adapter.stored_silver(spark, sf_dir))
-    report = run_quality_on_silver(spark, f"{root}/silver", path, as_of=as_of)
+    report = run_quality_on_silver(spark, adapter.silver_path(spark, sf_dir), path, as_of=as_of)
     return spark.read.schema(report.schema).json(path).select(
         "dataset", "total_checks", "passed", "failed", "overall_pass",
         F.size("results").alias("result_count"))
@@ -422,7 +422,7 @@ def fact_redelivered(spark, sf_dir):
 def silver_to_gold(spark, sf_dir):
     """The whole second pipeline: row counts after loading stored silver."""
     return gold.run_silver_to_gold(
-        spark, f"{adapter.stored(spark, sf_dir)}/silver", scratch_path(spark, "gold"), adapter.loaded_at())
+        spark, adapter.silver_path(spark, sf_dir), scratch_path(spark, "gold"), adapter.loaded_at())
 
 
 @query
@@ -815,7 +815,7 @@ def stream_keep_latest(spark, sf_dir):
 @query
 def stream_gold(spark, sf_dir):
     """Stored silver streamed into gold: the resulting fact."""
-    silver_path, root = f"{adapter.stored(spark, sf_dir)}/silver", scratch_path(spark, "gold")
+    silver_path, root = adapter.silver_path(spark, sf_dir), scratch_path(spark, "gold")
     _drain(ingest.start_gold_refresh(
         ingest.stream_silver(spark, silver_path), root, scratch_path(spark, "progress"),
         adapter.loaded_at(), availableNow=True))
