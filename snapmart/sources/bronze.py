@@ -88,22 +88,33 @@ def build_envelopes(records: DataFrame, source: str, max_records: int = 10_000)
     """Pack (ingestion_id, batch_ingested_at, coin) rows into envelopes.
 
     A batch larger than ``max_records`` becomes several envelopes with the same
-    ingestion id, so no array grows with the data. Identical records are counted
-    first and split into runs, which keeps a large group of copies from landing in
-    one envelope.
+    ingestion id, so no array grows with the data. Records with more copies than that
+    are counted and split into runs, which keeps them from landing in one envelope;
+    they are found by hash, so whole records are shuffled once.
     """
     batch = ["ingestion_id", "batch_ingested_at"]
+    of_batch = [F.col(f"_{c}") for c in batch]
+    same_batch = [F.equal_null(F.col(c), k) for c, k in zip(batch, of_batch)]
+    mark = F.xxhash64("coin")
+    counts = records.groupBy(*[F.col(c).alias(f"_{c}") for c in batch], mark.alias("_mark")).agg(
+        F.count("*").alias("_copies"))
+    # One row per batch, and one per record with so many copies.
+    parts = F.broadcast(counts.groupBy(*of_batch).agg(
+        F.ceil(F.sum("_copies") / F.lit(max_records)).cast("int").alias("parts")))
+    crowds = F.broadcast(counts.filter(F.col("_copies") > max_records).drop("_copies"))
+    in_crowd = [*same_batch, mark == F.col("_mark")]
     runs = (
-        records.groupBy(*batch, "coin").agg(F.count("*").alias("copies"))
+        records.join(crowds, in_crowd, "left_semi")
+        .groupBy(*batch, "coin").agg(F.count("*").alias("copies"))
         .withColumn("run", F.explode(F.sequence(
             F.lit(0), F.floor((F.col("copies") - 1) / F.lit(max_records)).cast("int"))))
         .withColumn("copies", F.least(
             F.lit(max_records), F.col("copies") - F.col("run") * F.lit(max_records)).cast("int"))
     )
-    parts = records.groupBy(*[F.col(c).alias(f"_{c}") for c in batch]).agg(
-        F.ceil(F.count("*") / F.lit(max_records)).cast("int").alias("parts"))
+    single = records.join(crowds, in_crowd, "left_anti").select(
+        *batch, "coin", F.lit(1).alias("copies"), F.lit(0).alias("run"))
     return (
-        runs.join(parts, [F.equal_null(F.col(c), F.col(f"_{c}")) for c in batch])
+        single.unionByName(runs).join(parts, same_batch)
         .withColumn("part", F.pmod(F.xxhash64("coin", "run"), F.col("parts")))
         .groupBy(*batch, "part")
         .agg(F.flatten(F.collect_list(F.array_repeat("coin", F.col("copies")))).alias("data"))
@@ -119,11 +130,20 @@ def build_envelopes(records: DataFrame, source: str, max_records: int = 10_000)
 
 
 def write_bronze(envelopes: DataFrame, path: str, layout: str = "documents",
-                 mode: str = "append") -> None:
-    """Write envelopes below ``path`` in zero-padded year/month/day/hour folders."""
+                 mode: str = "append", compression: str | None = None,
+                 envelopes_a_file: int = 200) -> None:
+    """Write envelopes below ``path`` in zero-padded year/month/day/hour folders.
+
+    Spark reads a compressed file in one task, so files of lines with a ``compression``
+    (such as ``gzip``) hold no more than ``envelopes_a_file``.
+    """
     _check(layout)
     # One or few tasks per hour, so that an hour does not get a file from every task.
     writer = envelopes.hint("rebalance", *PARTITION_COLUMNS).write.mode(mode).partitionBy(*PARTITION_COLUMNS)
     if layout == "documents":
         writer = writer.option("maxRecordsPerFile", 1)
+    elif compression:
+        writer = writer.option("maxRecordsPerFile", envelopes_a_file)
+    if compression:
+        writer = writer.option("compression", compression)
     writer.json(path)

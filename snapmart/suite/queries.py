@@ -63,7 +63,7 @@ def _bronze_folder(spark, sf_dir, layout):
         adapter.records(spark, sf_dir).withColumn(
             "batch_ingested_at", F.to_timestamp("batch_ingested_at")),
         "test_events", max_records=500)
-    bronze.write_bronze(envelopes, path, layout)
+    bronze.write_bronze(envelopes, path, layout, compression="gzip" if layout == "lines" else None)
     return path
 
 

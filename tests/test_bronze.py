@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,39 @@ def test_previews(spark, scratch):
 def test_unknown_layout(spark, scratch):
     with pytest.raises(ValueError):
         read_envelopes(spark, scratch, "rows")
+
+
+def _exchanges_of_records(frame):
+    frame.collect()
+    plan = frame._jdf.queryExecution().explainString(
+        frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    shown = set(re.findall(r"^\W*Exchange \((\d+)\)", final, re.M))
+    nodes = re.findall(r"^\((\d+)\) Exchange\nInput \[\d+\]: \[(.*)\]", plan, re.M)
+    return [columns for number, columns in nodes if number in shown and ("coin#" in columns or "buf#" in columns)]
+
+
+def test_records_are_shuffled_once(spark, scratch):
+    rows = [("b1", "2024-06-05T09:00:00Z", record(id=f"c{i}")) for i in range(40)]
+    batch(spark, rows).write.parquet(f"{scratch}/records")
+    envelopes = build_envelopes(spark.read.parquet(f"{scratch}/records"), "test", max_records=10)
+    assert len(_exchanges_of_records(envelopes)) == 1
+
+
+def test_copies_and_missing_keys_come_back(spark):
+    rows = [(None, "2024-06-05T09:00:00Z", record(id="hot")) for _ in range(25)]
+    rows += [("b1", None, record(id="c0")), ("b1", None, record(id="c0")), ("b1", "2024-06-05T09:00:00Z", record())]
+    found = build_envelopes(batch(spark, rows), "test", max_records=10).select(
+        "ingestion_id", "ingested_at", F.explode("data").alias("coin"))
+    counts = found.groupBy("ingestion_id", F.col("ingested_at").isNull(), "coin.id").count().collect()
+    assert sorted(map(str, map(tuple, counts))) == sorted(map(str, [
+        (None, False, "hot", 25), ("b1", True, "c0", 2), ("b1", False, "aa", 1)]))
+
+
+def test_compressed_lines_are_many_files(spark, scratch):
+    rows = [("b1", "2024-06-05T09:00:00Z", record(id=f"c{i}")) for i in range(60)]
+    envelopes = build_envelopes(batch(spark, rows), "test", max_records=5)
+    write_bronze(envelopes, scratch, "lines", compression="gzip", envelopes_a_file=3)
+    files = [f for _, _, names in os.walk(scratch) for f in names if f.endswith(".json.gz")]
+    assert len(files) >= 3
+    assert read_bronze(spark, scratch, "lines").count() == 60
