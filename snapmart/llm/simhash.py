@@ -296,13 +296,16 @@ def keep_one(documents: DataFrame, budget: int = BUDGET, part: int = PART) -> Da
 def only_best(documents: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``documents`` that struct ``best`` (doc_id, mark: text hash) of ``kept``
     names, each once."""
-    mark, place = fresh(documents, "_mark", "_place")
-    named = kept.select(F.col("best.doc_id").alias("_kept_id"), F.col("best.mark").alias("_kept_mark"))
-    rows = documents.withColumn(mark, F.xxhash64("text"))
-    found = rows.join(
-        named, F.equal_null(rows["doc_id"], named["_kept_id"]) & (rows[mark] == named["_kept_mark"]),
-        "left_semi")
+    mark, number, unnumbered, place = fresh(documents, "_mark", "_number", "_unnumbered", "_place")
+    # The same columns, never NULL, for the join and the window: texts are shuffled once.
+    own = [mark, number, unnumbered]
+    doc_id = F.col("best.doc_id")
+    named = kept.select(F.col("best.mark").alias(mark), F.coalesce(doc_id, F.lit(0).cast("bigint")).alias(number),
+                        doc_id.isNull().alias(unnumbered))
+    found = documents.withColumns({
+        mark: F.xxhash64("text"), number: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0).cast("bigint")),
+        unnumbered: F.col("doc_id").isNull()}).join(named, own, "left_semi")
     # Rows with the same id and text are copies of each other.
-    copies = Window.partitionBy("doc_id", mark).orderBy(F.xxhash64(*documents.columns))
+    copies = Window.partitionBy(*own).orderBy(F.xxhash64(*documents.columns))
     return found.withColumn(place, F.row_number().over(copies)).filter(
-        F.col(place) == 1).drop(mark, place)
+        F.col(place) == 1).drop(*own, place)

@@ -2,7 +2,8 @@ import random
 from itertools import combinations
 
 import corpus_pipeline
-from snapmart.llm import similar
+from pyspark.sql import functions as F
+from snapmart.llm import similar, simhash
 from test_simhash import Sets
 
 RNG = random.Random(11)
@@ -108,3 +109,36 @@ def test_shingles_are_those_of_the_words():
     lists = [x.tolist() for x in similar.shingle_lists(texts)]
     assert lists[0] == lists[1] and len(lists[0]) == 2 and lists[8] == lists[0][:1]
     assert [len(x) for x in lists[2:8]] == [1, 1, 1, 0, 0, 0] and len({x[0] for x in lists[2:5]}) == 3
+
+
+def test_groups_hold_every_pair_once(spark):
+    """A crowd around one hub is cut into parts; each has the texts of its own pairs only."""
+    pairs = [(0, b, 100) for b in range(1, 200)] + [(b, b + 1, 100) for b in range(300, 310)]
+    rows = similar._groups(spark.createDataFrame(pairs, "a bigint, b bigint, size bigint"), most=2_000).collect()
+    assert sorted((r.key, p) for r in rows for p in r.partners) == sorted((a, b) for a, b, _ in pairs)
+    groups = {}
+    for r in rows:
+        groups.setdefault((r.home, r.part), []).append(r.key)
+        assert r.key < 300 or r.part == 0
+    of_hub = [keys for (home, _), keys in groups.items() if home == 0]
+    assert len(of_hub) > 5 and all(len(set(keys)) == len(keys) and 0 in keys for keys in of_hub)
+    # Apart from the hub every set of the crowd is in one part.
+    assert sum(len(keys) - 1 for keys in of_hub) == 199
+
+
+def test_texts_of_the_kept_are_shuffled_once(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "b"), (0, "b"), (2, None)], "doc_id bigint, text string")
+    own = F.struct("doc_id", F.xxhash64("text").alias("mark")).alias("best")
+    kept = docs.filter("doc_id is null or doc_id > 0").select(own).distinct()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = simhash.only_best(docs, kept)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, rows.collect())) == sorted(map(str, docs.filter(
+            "doc_id is null or doc_id > 0").distinct().collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Window and join ask for the same columns, so nothing is dealt again above the join.
+    above = plan.partition("LeftSemi")[0]
+    assert "Window" in above and "Exchange" not in above
