@@ -65,6 +65,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.model = self.tokenizer.model  # a new object at every access
         self.words = _Recent(self._word, remembered)
         self.parts = _Recent(self._part, remembered)
         self.byte_level = _byte_letters()
@@ -74,12 +75,14 @@ class WordEncoder:
 
     def _part(self, part: str) -> bytes:
         letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.byte_level)
-        return b"".join([self.id_bytes[token.id] for token in self.tokenizer.model.tokenize(letters)])
+        return b"".join([self.id_bytes[token.id] for token in self.model.tokenize(letters)])
 
     def _word(self, word: bytes) -> bytes:
         if self.plain and (common := _COMMON.fullmatch(word)):
-            ids = self.parts[common[1].decode()]
-            return ids + self.parts[common[2].decode()] if common[2] else ids
+            # Remembered once, as a word; one with signs behind it looks the bare word up.
+            if common[2]:
+                return self.words[common[1]] + self.parts[common[2].decode()]
+            return self._part(word.decode())
         text = word.decode("utf-8", "replace")
         if self.plain and _PLAIN.fullmatch(text) and "<|" not in text:
             found = _PARTS.findall(text.lower())

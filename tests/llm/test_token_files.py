@@ -44,6 +44,13 @@ def test_documents_encode_alike(encoder, documents):
         assert np.frombuffer(encoder.encode(r.text.encode()), encoder.kind).tolist() == ids_of(r.text)
 
 
+def test_words_are_remembered_once():
+    own = tokens.WordEncoder(PATH)
+    ids = own.encode("zebra Zebra, zebra!? caf\u00e9s.".encode())
+    assert np.frombuffer(ids, own.kind).tolist() == ids_of("zebra Zebra, zebra!? caf\u00e9s.")
+    assert {b"zebra", "caf\u00e9s".encode()} < set(own.words) and set(own.parts) == {",", "!?", "."}
+
+
 def cheapest(counts):
     heap = [int(c) for c in counts if c]
     heapq.heapify(heap)
