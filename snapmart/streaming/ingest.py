@@ -15,6 +15,10 @@ from snapmart.sources.silver import append_silver, read_silver, write_silver
 from snapmart.sources.triggers import read_triggers, write_trigger
 
 
+# Tasks among which a trigger of :func:`start_first_seen_within` deals the rows of an hour.
+TASKS_AN_HOUR = 4
+
+
 def stream_rows(spark: SparkSession, bronze_path: str, layout: str = "documents",
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Typed and valid rows of the landing folder, duplicates included."""
@@ -57,8 +61,11 @@ def start_first_seen_within(rows: DataFrame, silver_path: str, checkpoint: str,
     to this stream alone: the stream keeps a log in it, by which a trigger that is run
     again after a failure leaves its rows once. Read it with ``read_silver``.
     """
-    writer = first_seen_within(rows, lateness).writeStream.format("parquet").partitionBy(
-        *PARTITION_COLUMNS).option("path", silver_path)
+    # The state is dealt by key, so each of its tasks has rows of every hour; gathered by
+    # hour, a trigger writes a few files per hour, not one from every task.
+    share = F.pmod(F.xxhash64(*SNAPSHOT_KEY), F.lit(TASKS_AN_HOUR))
+    gathered = first_seen_within(rows, lateness).repartition(*PARTITION_COLUMNS, share)
+    writer = gathered.writeStream.format("parquet").partitionBy(*PARTITION_COLUMNS).option("path", silver_path)
     return _started(writer, checkpoint, trigger or {"processingTime": "1 minute"})
 
 

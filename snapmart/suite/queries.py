@@ -756,11 +756,14 @@ def _waves(records):
 def stream_first_seen_within(spark, sf_dir):
     """Snapshots that arrive in four waves, with repeats, late and too late ones, between
     which the stream is stopped and started again."""
-    source, target, progress = [scratch_path(spark, x) for x in ("bronze", "stream", "progress")]
+    source, target, progress, held = [scratch_path(spark, x) for x in ("bronze", "stream", "progress", "waves")]
     records = _waves(adapter.records(spark, sf_dir)).withColumn(
         "batch_ingested_at", F.to_timestamp("batch_ingested_at"))
+    # Events are widened to records once, not for every wave anew.
+    records.write.partitionBy("wave").parquet(held)
+    held_records = spark.read.schema(records.schema).parquet(held)
     for wave in range(1, 5):
-        arriving = records.filter(F.col("wave") == wave).drop("wave")
+        arriving = held_records.filter(F.col("wave") == wave).drop("wave")
         bronze.write_bronze(bronze.build_envelopes(arriving, "test_events", max_records=500), source, "lines")
         rows = ingest.stream_rows(spark, source, "lines")
         _drain(ingest.start_first_seen_within(rows, target, progress, LATENESS, availableNow=True))

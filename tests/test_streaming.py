@@ -145,6 +145,17 @@ def test_first_seen_within_forgets_and_drops(spark, scratch):
     assert read_silver(spark, silver).groupBy("ingestion_id", "coin_id").count().filter("count > 1").count() == 0
 
 
+def test_first_seen_within_gathers_rows_by_hour(spark, scratch):
+    """A trigger writes a few files per hour, however many tasks its state is dealt to."""
+    bronze, silver = f"{scratch}/bronze", f"{scratch}/silver"
+    land(bronze, "a.json", "b1", day(1), *[record(id=f"c{i}") for i in range(200)])
+    rows = ingest.stream_rows(spark, bronze)
+    drain(ingest.start_first_seen_within(rows, silver, f"{scratch}/progress", "2 days", availableNow=True))
+    stored = read_silver(spark, silver)
+    assert stored.count() == 200
+    assert len(stored.inputFiles()) <= ingest.TASKS_AN_HOUR < int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_landing_keeps_rows_and_damage_once(spark, scratch):
     bronze, rows, damaged, progress = [f"{scratch}/{x}" for x in ("bronze", "rows", "damaged", "progress")]
 
