@@ -48,11 +48,11 @@ def _collect_blocks(path: str, block_ids: int) -> Callable:
                 "n_ids": pa.array([total], pa.int64()), "ids": pa.array([b"".join(held)], pa.binary())})
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                ids = own.encode(text.as_py()) + end
-                doc_ids.append(doc_id.as_py())
-                sizes.append(len(ids) // own.kind.itemsize)
-                held.append(ids)
+            encoded = own.encode_all(text.as_py() for text in batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded):
+                doc_ids.append(doc_id)
+                sizes.append(len(ids) // own.kind.itemsize + 1)
+                held += (ids, end)
                 total += sizes[-1]
                 if total >= block_ids:
                     yield block()

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from snapmart.session import materialise
@@ -16,6 +18,8 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 # Words a task remembers; twice as many at most.
 REMEMBERED = 300_000
+# Bytes of text whose words are told apart at once.
+AT_ONCE = 1 << 23
 CONTEXT_BUCKET = 1_024
 
 
@@ -32,6 +36,8 @@ _PARTS = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9{_DIGIT_LIKE}]|[^a-z0-9{_LATIN}{_DIGIT_LIKE}\s]+")
 # A lower-case word of common letters, in UTF-8, and the signs behind it.
 _COMMON = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([.,;:!?]*)")
+# Signs of ASCII but the apostrophe, between a common letter and white space (RE2, on bytes).
+_SIGNED = r"([a-z]|\xc3[\xa0-\xb6\xb8-\xbf])([!-&(-/:-@\[-`{-~]+)([\t-\r ])"
 
 
 class _Recent(dict):
@@ -90,12 +96,43 @@ class WordEncoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join([self.id_bytes[i] for i in ids])
 
+    def _lowered(self, text: bytes | None) -> bytes:
+        text = text or b""
+        return text.lower() if self.plain and b"<|" not in text else text
+
     def encode(self, text: bytes | None) -> bytes:
         """Little-endian ids of a UTF-8 text, ``kind`` wide each; none for NULL."""
-        text = text or b""
-        if self.plain and b"<|" not in text:
-            text = text.lower()
-        return b"".join(map(self.words.__getitem__, text.split()))
+        return b"".join(map(self.words.__getitem__, self._lowered(text).split()))
+
+    def encode_all(self, texts: Iterable[bytes | None], at_once: int = AT_ONCE) -> Iterator[bytes]:
+        """What :meth:`encode` gives for every text. Each word is looked up once in texts
+        of ``at_once`` bytes together."""
+        held, size = [], 0
+        for text in texts:
+            held.append(self._lowered(text))
+            size += len(held[-1])
+            if size >= at_once:
+                yield from self._encode_held(held)
+                held, size = [], 0
+        if held:
+            yield from self._encode_held(held)
+
+    def _encode_held(self, texts: list[bytes]) -> Iterator[bytes]:
+        column = pa.array(texts, pa.large_binary())
+        if self.plain:
+            # Where letters end and signs begin the tokenizer cuts anyway, so that signs
+            # can be words of their own.
+            cut = pc.replace_substring_regex(column, _SIGNED, r"\1 \2\3")
+            column = pc.if_else(pc.match_substring(column, "<|"), column, cut)
+        words = pc.ascii_split_whitespace(column.view(pa.large_string()))
+        told = words.flatten().dictionary_encode()
+        known = told.dictionary.view(pa.large_binary()).to_pylist()
+        ids = pa.array([self.words[word] for word in known], pa.large_binary()).take(told.indices)
+        _, ends, data = ids.buffers()
+        bounds = np.frombuffer(ends, np.int64, len(ids) + 1)[words.offsets.to_numpy()]
+        view = memoryview(data or b"")
+        for a, b in pairwise(bounds.tolist()):
+            yield bytes(view[a:b])
 
 
 def _byte_letters() -> dict[int, str]:
@@ -132,8 +169,8 @@ def encoded_lengths(documents: DataFrame, path: str | None = None) -> DataFrame:
         own = encoder(path)
         totals: dict[int, int] = {}
         for batch in batches:
-            for text in batch.column(0):
-                n = len(own.encode(text.as_py())) // own.kind.itemsize
+            for ids in own.encode_all(text.as_py() for text in batch.column(0)):
+                n = len(ids) // own.kind.itemsize
                 totals[n] = totals.get(n, 0) + 1
         yield pa.RecordBatch.from_pydict({
             "length": pa.array(list(totals), pa.int64()),

@@ -51,6 +51,41 @@ def test_words_are_remembered_once():
     assert {b"zebra", "caf\u00e9s".encode()} < set(own.words) and set(own.parts) == {",", "!?", "."}
 
 
+SIGNED = [
+    "Ab, ab. ab... é! Él?? ab&&& x** y-z- it's, it'll. 'S a', b'. (c) d) [e] f] _g_ h_ \U0001f44d. i\u0301. j.\u0301 k=\u0338 l= \u0338",
+    "<|endoftext|> a<|startoftext|> b. c|> d", None, "", " ", "\t.\n", "ab", "ab.", "ab ,", "a\xa0b. c\x85. d\x1c. ²! ß. ÷. ĳ."]
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 1 << 20])
+def test_texts_encode_together_as_alone(encoder, at_once):
+    texts = SIGNED * 3
+    got = list(encoder.encode_all([t if t is None else t.encode() for t in texts], at_once))
+    assert [np.frombuffer(g, encoder.kind).tolist() for g in got] == [ids_of(t) for t in texts]
+    broken = [b"\xff. a\xc3 b\xc3. \xa9. c\xff, d", b"\xe9, ", b""]
+    assert list(encoder.encode_all(broken, at_once)) == [encoder.encode(t) for t in broken]
+    assert list(encoder.encode_all([])) == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("aB\u00e9\u00c9\u0301\u0338.,;'&=<|> \t\n\xa01", max_size=25), max_size=4))
+def test_signs_encode_as_in_whole_texts(texts):
+    own = tokens.encoder(PATH)
+    got = own.encode_all([t.encode() for t in texts], 30)
+    assert [np.frombuffer(g, own.kind).tolist() for g in got] == [ids_of(t) for t in texts]
+
+
+def test_words_of_many_texts_are_looked_up_once():
+    class Counting(dict):
+        def __missing__(self, word):
+            asked.append(word)
+            return b""
+
+    own, asked = tokens.WordEncoder(PATH), []
+    own.words = Counting()
+    list(own.encode_all([b"Zebra, apple. zebra", b"apple, Zebra. \xc3\xa9t\xc3\xa9."] * 50))
+    assert sorted(filter(None, asked)) == [b",", b".", b"apple", b"zebra", "\u00e9t\u00e9.".encode()]
+
+
 def cheapest(counts):
     heap = [int(c) for c in counts if c]
     heapq.heapify(heap)
