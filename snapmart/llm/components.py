@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapmart.session import scratch_path
+from snapmart.session import gathered, scratch_path
 from snapmart.sources.files import remove
 
 
@@ -21,7 +21,7 @@ def _rank(node: Column, turn: int) -> Column:
     return node if turn % 2 == 0 else F.xxhash64(node, F.lit(turn))
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """``links`` has two columns of type long. Returns (node, component), one row per
     node that has a link to another; nodes have the same component exactly if a path
     joins them. Its value is one of the nodes.
@@ -30,15 +30,16 @@ def connected_components(links: DataFrame) -> DataFrame:
     one step further, and every link is replaced by one between the nodes pointed at;
     links within a node disappear. Tables are written to the shared scratch folder, so
     no turn depends on earlier ones being computed again. The last one stays there.
+    ``rows``, if known, is about how many links there are.
     """
     spark = links.sparkSession
     root = scratch_path(spark, "components")
     a, b = links.columns
-    left = _written(
-        links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-        .filter("a < b").distinct(), f"{root}/links0")
-    turn, pointers = 0, []
-    while not left.isEmpty():
+    left = links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a < b").distinct()
+    left = _written(left if rows is None else gathered(left, rows), f"{root}/links0")
+    turn, pointers, first_size = 0, [], left.count()
+    size = first_size
+    while size:
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy(F.col("a").alias("node")).agg(
             F.min(F.struct(_rank(F.col("b"), turn).alias("rank"), F.col("b").alias("to"))).alias("best"))
@@ -46,7 +47,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         first = near.select("node", F.least("best", own)["to"].alias("to"))
         ahead = first.select(F.col("node").alias("to"), F.col("to").alias("next"))
         pointer = _written(
-            first.join(ahead, "to").select("node", F.col("next").alias("to")),
+            gathered(first.join(ahead, "to").select("node", F.col("next").alias("to")), 2 * size),
             f"{root}/pointers{turn}")
         pointers.append(pointer)
         at_a = pointer.select(F.col("node").alias("a"), F.col("to").alias("new_a"))
@@ -54,7 +55,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         moved = left.join(at_a, "a").join(at_b, "b").select(
             F.least("new_a", "new_b").alias("a"), F.greatest("new_a", "new_b").alias("b"))
         turn += 1
-        left = _written(moved.filter("a < b").distinct(), f"{root}/links{turn}")
+        left = _written(gathered(moved.filter("a < b").distinct(), size), f"{root}/links{turn}")
+        size = left.count()
     if not pointers:
         return spark.createDataFrame([], "node bigint, component bigint")
     found = pointers[0].withColumnRenamed("to", "component")
@@ -62,6 +64,6 @@ def connected_components(links: DataFrame) -> DataFrame:
         step = pointer.select(F.col("node").alias("component"), F.col("to").alias("next"))
         found = found.join(step, "component", "left").select(
             "node", F.coalesce("next", "component").alias("component"))
-    result = _written(found, scratch_path(spark, "component_of"))
+    result = _written(gathered(found, 2 * first_size), scratch_path(spark, "component_of"))
     remove(spark, root)
     return result

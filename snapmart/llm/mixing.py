@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapmart.llm.text import fresh, words
-from snapmart.session import materialise
+from snapmart.session import gathered, materialise
 
 # Weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -92,16 +92,17 @@ def source_targets(sized: DataFrame) -> DataFrame:
         F.least(F.col("level") * F.col("weight"), limit.cast("double")).alias("target"))
 
 
-def _starts(sized: DataFrame) -> DataFrame:
+def _starts(sized: DataFrame, rows: int) -> DataFrame:
     """Add ``start``: words of the same source in documents before this one.
 
     Documents are ordered by id (NULL last), size and text hash. Slices of that order
-    are added up one by one, then their totals, so a large source is not one task.
+    are added up one by one, then their totals, so a large source is not one task. They
+    are numbered before they are gathered in files for ``rows`` rows.
     """
     order = [F.col("rank"), F.col("doc_id").asc_nulls_last(), F.col("size"), F.col("mark")]
     partitions = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = materialise(
-        sized.repartitionByRange(partitions, *order).withColumn("slice", F.spark_partition_id()), "slices")
+    sliced = materialise(gathered(
+        sized.repartitionByRange(partitions, *order).withColumn("slice", F.spark_partition_id()), rows), "slices")
     within = Window.partitionBy("slice", "rank").orderBy(*order[1:])
     upto = within.rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice and source in it.
@@ -161,7 +162,7 @@ def _planned(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     targets = materialise(source_targets(sized.select("source", "size")), "targets")
     placed = _starts(sized.join(
         targets, F.equal_null(sized["source"], targets["source"])
-    ).select(*[sized[c] for c in sized.columns], "rank", "source_size", "target"))
+    ).select(*[sized[c] for c in sized.columns], "rank", "source_size", "target"), sized.count())
     return placed, targets
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from snapmart.sources.files import remove
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Rows of a few numbers that are worth a file of their own.
+ROWS_A_FILE = 1 << 14
 
 
 def get_spark(app_name: str = "snapmart") -> SparkSession:
@@ -57,6 +59,16 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, rows: int, per_file: int = ROWS_A_FILE) -> DataFrame:
+    """``df``, of about ``rows`` rows, for writing: without a file for every shuffle partition.
+
+    Every file that an executor creates costs calls to the store; Hadoop's local file system
+    even starts processes for it (chmod), which count the executor's memory twice while
+    they begin. The number of tasks grows with the rows, and is never raised.
+    """
+    return df.coalesce(rows // per_file + 1)
+
+
 _scopes: list[list[str]] = []
 
 

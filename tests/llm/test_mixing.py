@@ -104,3 +104,24 @@ def test_shards_share_all_slots(documents):
 
 def test_empty_table(empty):
     assert mixing.mixed_sizes(empty).count() == 0 and mixing.mix(empty).count() == 0
+
+
+def test_slices_keep_their_order_in_few_files(spark):
+    """Slices that are gathered in one file still follow each other by document."""
+    docs = spark.createDataFrame([(i * 37 % 500, "w " * (i % 23), "ab"[i % 2]) for i in range(500)],
+                                 "doc_id bigint, text string, source string")
+    sized = docs.select(F.col("doc_id").alias("row"), "doc_id", F.length("text").alias("size"),
+                        F.xxhash64("text").alias("mark"), F.ascii("source").alias("rank"))
+    settings = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = mixing._starts(sized, 500).orderBy("rank", "doc_id").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    total = {}
+    for r in rows:
+        assert r.start == total.get(r["rank"], 0)
+        total[r["rank"]] = r.start + r["size"]
