@@ -5,7 +5,7 @@ from pathlib import Path
 import corpus_pipeline
 from pyspark.sql import functions as F
 from snapmart import session
-from snapmart.llm import components, similar, simhash
+from snapmart.llm import bitmaps, components, similar, simhash
 from test_simhash import Sets
 
 RNG = random.Random(11)
@@ -173,3 +173,29 @@ def test_gathered_grows_with_the_rows(spark):
     for rows, want in ((0, 1), (999, 1), (5_000, 6), (10**9, 50)):
         assert session.gathered(many, rows, 1_000).rdd.getNumPartitions() == want
         assert session.gathered(many, rows, 1_000).count() == 1000
+
+
+def test_plans_do_not_grow_with_the_texts_that_are_looked_for(spark):
+    """The driver keeps the text of plans: a bitmap of the corpus is no part of one."""
+    documents = spark.range(4_000).select(F.concat(F.lit("text "), "id").alias("text"))
+    mark, length = F.xxhash64("text"), {}
+    for n in (30, 3_000):
+        of = documents.limit(n).select(mark.alias("mark"), mark.alias("key"))
+        found = similar._texts(documents, mark, of)
+        length[n] = len(found._jdf.queryExecution().toString())
+        assert {bytes(r.text).decode() for r in found.collect()} == {f"text {i}" for i in range(n)}
+    assert length[3_000] < 1.1 * length[30]
+
+
+def test_bitmap_as_table_is_the_bitmap(spark, monkeypatch):
+    """NULLs, columns named as its own, no hashes, more hashes than the largest bitmap is meant for."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 7 != 0, F.xxhash64("id")).alias("code"), "id", F.lit("x").alias("_chunk"), F.lit("y").alias("_words"))
+    for n, most in ((0, bitmaps.MAX_BITS), (1, bitmaps.MAX_BITS), (5_000, bitmaps.MAX_BITS), (5_000, 1 << 14)):
+        monkeypatch.setattr(bitmaps, "MAX_BITS", most)
+        hashes = spark.range(n).select(F.xxhash64("id").alias("hash"))
+        got = bitmaps.in_bitmap_table(rows, bitmaps.bitmap_table(hashes), "code")
+        want = rows.filter(bitmaps.in_bitmap(bitmaps.bitmap_of(hashes), F.col("code")))
+        assert got.columns == rows.columns and sorted(got.collect()) == sorted(want.collect())
+        ids = {r.id for r in got.collect()}
+        assert {i for i in range(n) if i % 7} <= ids and (most < bitmaps.MIN_BITS or len(ids) < 1.1 * n + 1)
